@@ -1,4 +1,21 @@
 from headway.functions.event_time import EVENT_PARTITIONS, event_parts, with_event_parts
-from headway.functions.service_time import service_date, service_time_epoch
+from headway.functions.service_time import (
+    is_service_time,
+    local_epoch,
+    seconds_late,
+    service_date,
+    service_seconds,
+    service_time_epoch,
+)
 
-__all__ = ["EVENT_PARTITIONS", "event_parts", "service_date", "service_time_epoch", "with_event_parts"]
+__all__ = [
+    "EVENT_PARTITIONS",
+    "event_parts",
+    "is_service_time",
+    "local_epoch",
+    "seconds_late",
+    "service_date",
+    "service_seconds",
+    "service_time_epoch",
+    "with_event_parts",
+]

@@ -5,20 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_SERVICE_TIME = r"^\s*\d{1,6}:[0-5]?\d:[0-5]?\d\s*$"
+
 
 def service_date(text: Column) -> Column:
     """Date from ``yyyyMMdd`` text; NULL when it is not one."""
     return F.try_to_date(text, "yyyyMMdd")
 
 
-def service_time_epoch(date: Column, time: Column, zone: str) -> Column:
-    """UTC epoch seconds of a local service time; NULL when any part is missing or malformed.
+def is_service_time(time: Column) -> Column:
+    """Whether the text is a usable ``HH:MM:SS``; one test, so that it stays cheap as a pushed-down filter."""
+    return time.rlike(_SERVICE_TIME)
+
+
+def service_seconds(time: Column) -> Column:
+    """Seconds into the service day; NULL when the text is not ``HH:MM:SS``. Hours from 24 on are later days."""
+    parts = F.split(time, ":")
+    hour, minute, second = (F.get(parts, F.lit(i)).try_cast("bigint") for i in range(3))
+    return F.when(is_service_time(time), hour * 3600 + minute * 60 + second)
+
+
+def local_epoch(date: Column, seconds: Column, zone: str) -> Column:
+    """UTC epoch seconds of a wall clock given as a date and seconds into it.
 
-    Hours from 24 on run into the following days. The local wall clock is built in seconds and then shifted
-    from ``zone`` to UTC, which is where daylight saving is resolved.
+    The wall clock is built arithmetically and then shifted from ``zone`` to UTC, which is where daylight saving
+    is resolved. The session time zone has no part in it.
     """
-    fields = F.split(time, ":")
-    hour, minute, second = (F.get(fields, F.lit(i)).try_cast("int") for i in range(3))
-    valid = (hour >= 0) & minute.between(0, 59) & second.between(0, 59)
-    wall_clock = F.unix_date(date).cast("long") * 86400 + hour.cast("long") * 3600 + minute * 60 + second
-    return F.when(valid, F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(wall_clock), zone)))
+    wall_clock = F.unix_date(date).cast("long") * 86400 + seconds
+    return F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(wall_clock), zone))
+
+
+def service_time_epoch(date: Column, time: Column, zone: str) -> Column:
+    """UTC epoch seconds of a local service time; NULL when any part is missing or malformed."""
+    return local_epoch(date, service_seconds(time), zone)
+
+
+def seconds_late(effective: Column, scheduled: Column) -> Column:
+    """Delay in seconds, negative when early; NULL when either time is unknown or absurd."""
+    return F.try_subtract(effective, scheduled)

@@ -8,20 +8,19 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.functions import service_date, service_time_epoch
 from headway.sources.static import read_static
 
 
-def join_static(realtime: DataFrame, static: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on same-named keys: all realtime columns, then the static columns they do not already have.
+def join_static(realtime: DataFrame, static: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on same-named keys: all realtime columns, then the static columns they do not already have.
 
     No broadcast is forced: Spark picks it from the static side's measured size, and otherwise shuffles with
-    adaptive splitting of hot keys. Duplicate static keys multiply realtime rows, as in any left join.
+    adaptive splitting of hot keys. Duplicate static keys multiply realtime rows, as in any join.
     """
     added = [name for name in static.columns if name not in realtime.columns]
     rt, st = realtime.alias("rt"), static.select(*keys, *added).alias("st")
     condition = reduce(lambda a, b: a & b, (F.col(f"rt.{k}") == F.col(f"st.{k}") for k in keys))
-    return rt.join(st, condition, "left").select("rt.*", *(F.col(f"st.{name}") for name in added))
+    return rt.join(st, condition, how).select("rt.*", *(F.col(f"st.{name}") for name in added))
 
 
 def join_schedule(
@@ -47,22 +46,6 @@ def with_effective_time(df: DataFrame) -> DataFrame:
     )
 
 
-def with_scheduled_time(df: DataFrame, zone: str) -> DataFrame:
-    """Parse ``start_date`` and turn the static ``arrival_time`` into ``scheduled_stop_time`` epoch seconds."""
-    return (
-        df.withColumn("start_date", service_date(F.col("start_date")))
-        .withColumn("arrival_time", service_time_epoch(F.col("start_date"), F.col("arrival_time"), zone))
-        .withColumnRenamed("arrival_time", "scheduled_stop_time")
-    )
-
-
-def with_delay(df: DataFrame) -> DataFrame:
-    """Seconds late (negative when early), for rows where both times are known."""
-    effective, scheduled = F.col("effective_stop_time"), F.col("scheduled_stop_time")
-    known = df.filter(effective.isNotNull() & scheduled.isNotNull())
-    return known.withColumn("delay_seconds", F.try_subtract(effective, scheduled))
-
-
 def with_resolved_names(df: DataFrame) -> DataFrame:
     """Display names with their fallbacks."""
     return df.withColumns(

@@ -5,14 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions import with_event_parts
-from headway.operators.enrich import (
-    join_static,
-    with_delay,
-    with_effective_time,
-    with_resolved_names,
-    with_scheduled_time,
-)
+from headway.functions import is_service_time, local_epoch, seconds_late, service_seconds, with_event_parts
+from headway.operators.enrich import join_static, with_effective_time, with_resolved_names
 from headway.operators.messages import flatten_trip_updates, flatten_vehicle_positions, parse_value
 from headway.schemas import TRIP_UPDATE_MESSAGE, VEHICLE_POSITION_MESSAGE
 
@@ -24,16 +18,29 @@ TRIP_COLUMNS = ("trip_id", "trip_headsign")
 
 def silver_trip_updates(records: DataFrame, stop_times: DataFrame, zone: str) -> DataFrame:
     """Stop updates with their schedule, delay and event hour; rows without a schedule or a time are dropped."""
-    stops = with_effective_time(flatten_trip_updates(parse_value(records, TRIP_UPDATE_MESSAGE)))
+    stops = flatten_trip_updates(parse_value(records, TRIP_UPDATE_MESSAGE), typed_date=True)
     return delayed_stops(stops, stop_times, zone)
 
 
 def delayed_stops(stops: DataFrame, stop_times: DataFrame, zone: str) -> DataFrame:
-    """Join flat stop updates with ``stop_times`` and derive delay and event hour."""
-    scheduled = join_static(stops, stop_times.select(*STOP_TIME_COLUMNS), STOP_TIME_KEYS)
-    # A stop without a schedule has no delay and is dropped below; said here, the join becomes an inner one.
-    scheduled = scheduled.filter(F.col("arrival_time").isNotNull())
-    return with_event_parts(with_delay(with_scheduled_time(scheduled, zone)))
+    """Join flat stop updates (``start_date`` a date) with ``stop_times``; derive delay and event hour.
+
+    Only rows whose effective and scheduled times are known have a delay. The schedule time is known when its
+    date and its time of day are, so each side is filtered by itself and the join can be an inner one. Times of
+    day are parsed on the schedule side, once per scheduled stop.
+    """
+    timed = with_effective_time(stops).filter("effective_stop_time IS NOT NULL AND start_date IS NOT NULL")
+    arrival = F.col("arrival_time")
+    schedule = stop_times.filter(is_service_time(arrival)).select(
+        *STOP_TIME_KEYS, service_seconds(arrival).alias("service_seconds"), "departure_time"
+    )
+    joined = join_static(timed, schedule, STOP_TIME_KEYS, how="inner")
+    delayed = joined.select(
+        *timed.columns,
+        local_epoch(F.col("start_date"), F.col("service_seconds"), zone).alias("scheduled_stop_time"),
+        "departure_time",
+    ).withColumn("delay_seconds", seconds_late(F.col("effective_stop_time"), F.col("scheduled_stop_time")))
+    return with_event_parts(delayed)
 
 
 def silver_vehicle_positions(records: DataFrame) -> DataFrame:

@@ -15,6 +15,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.streaming.stateless.enabled": "true",
+    # Group on all keys. Reusing a shuffle on some of them would put a hot trip into one task, and would do away
+    # with the per-task reduction before the shuffle.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
 }
 
 

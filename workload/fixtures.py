@@ -5,15 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.operators.messages import encode_value
 from headway.plans.silver import delayed_stops
-from headway.operators.enrich import with_effective_time
 
 ZONE = "Australia/Melbourne"
 
 
+# The columns that are read; declared, so that opening a table needs no job to infer them.
+SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+    " l_returnflag STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+}
+
+# Columns whose hash spreads a table over the cores when its file has too few splits to do so.
+SPREAD_BY = {"lineitem": ("l_orderkey", "l_linenumber", "l_partkey"), "events": ("event_id",)}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the driver's tables.
+
+    A test-size table is one file with one row group, which a single task would read and carry through every
+    narrow step. It is spread over the cores; a table with enough splits of its own is left alone.
+    """
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, *SPREAD_BY[name])
+    return df
 
 
 def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,15 +129,14 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(event_id % 181 - 90 AS DOUBLE) AS latitude",
         "CAST(event_id % 361 - 180 AS DOUBLE) AS longitude",
         # The column is a local timestamp without zone; read as UTC whatever the session zone is.
-        "CAST(timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ)) AS BIGINT)"
+        "CAST(timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS BIGINT)"
         " AS position_timestamp",
     )
 
 
 def silver_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows straight from the flat updates, without the message encoding in between."""
-    flat = updates(spark, sf_dir).withColumn("start_date", F.date_format("start_date", "yyyyMMdd"))
-    return delayed_stops(with_effective_time(flat), stop_times(spark, sf_dir), ZONE)
+    return delayed_stops(updates(spark, sf_dir), stop_times(spark, sf_dir), ZONE)
 
 
 HEADER = "named_struct('gtfs_realtime_version', '2.0', 'incrementality', 0, 'timestamp', {}) AS header"
@@ -188,7 +208,3 @@ def vehicle_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
                 'trip_update', CAST(NULL AS {TRIP_ENTITY}))) AS entity""",
     )
 
-
-def topic_records(messages: DataFrame) -> DataFrame:
-    """Messages encoded as topic records."""
-    return encode_value(messages)
