@@ -1,0 +1,43 @@
+"""Every registered query against its SQL counterpart in DuckDB, on the smallest data."""
+
+import collections
+import glob
+import os
+
+import duckdb
+import pytest
+from conftest import SF_DIR
+
+import __spark_entry__ as entry_point
+
+SQL = entry_point.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        connection.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def bag(rows, names):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return collections.Counter(tuple(repr(row[i]) for i in order) for row in rows)
+
+
+def test_every_query_has_sql():
+    assert set(SQL) == set(entry_point.queries())
+
+
+@pytest.mark.parametrize("name", list(entry_point.queries()))
+def test_query_equals_sql(spark, duck, name):
+    ours = entry_point.queries()[name](spark, SF_DIR)
+    cursor = duck.execute(SQL[name])
+    names = [column[0] for column in cursor.description]
+    assert sorted(ours.columns) == sorted(names)
+    assert bag(ours.collect(), ours.columns) == bag(cursor.fetchall(), names)
+
+
+def test_flagship(spark):
+    assert entry_point.entry(spark).count() > 0

@@ -1,0 +1,84 @@
+import datetime as dt
+
+import pytest
+
+from headway.config import JobConfig, parse_flag
+from headway.session import shared_dir
+from headway.sources.feeds import FEEDS, TRIP_UPDATES
+from headway.sources.static import load_published_tables, read_gtfs_csv, read_snapshots
+from headway.sources.topics import ReadMode, kafka_options, replay_topic
+
+
+def test_kafka_options():
+    stream = kafka_options("trip_updates", "host:9092")
+    assert stream == {
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "trip_updates",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+    }
+    batch = kafka_options("t", "h", ReadMode.BATCH, minPartitions="64")
+    assert batch["startingOffsets"] == "earliest" and batch["minPartitions"] == "64"
+
+
+def test_replay_has_the_topic_columns(spark, rows, tmp_path):
+    rows([(bytearray(b"{}"),)], "value binary").write.parquet(str(tmp_path / "t"))
+    columns = ["key", "value", "topic", "partition", "offset", "timestamp"]
+    assert replay_topic(spark, str(tmp_path / "t"), ReadMode.BATCH).columns == columns
+    assert replay_topic(spark, str(tmp_path / "t")).isStreaming
+
+
+def test_six_feeds_two_topics():
+    assert len(FEEDS) == 6 and len({f.topic for f in FEEDS}) == 2
+    assert {(f.mode, f.interval_seconds) for f in FEEDS if f.topic == TRIP_UPDATES} == {
+        ("tram", 60), ("bus", 5), ("metro", 5)
+    }
+
+
+def test_config_from_environment():
+    config = JobConfig.from_env({"ENABLE_LIVE_SINK": "false", "ENABLE_SILVER_SINK": "True", "STATIC_DATA_PATH": "/s"})
+    assert not config.enable_live_sink and config.enable_silver_sink
+    assert config.static_paths("trips") == ["/s/bus/trips", "/s/metro/trips", "/s/tram/trips"]
+    assert JobConfig.from_env({}) == JobConfig()
+    with pytest.raises(ValueError):
+        parse_flag("maybe")
+
+
+def test_shared_dir_comes_from_the_session(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_published_csv(spark, tmp_path):
+    folder = tmp_path / "feed" / "4"
+    folder.mkdir(parents=True)
+    (folder / "stops.txt").write_text(
+        '﻿stop_id,stop_name,stop_lat,stop_lon\n007,"Main ""A"" St, North",-37.5,145.25\n8,Plain,bad,\n',
+        encoding="utf-8",
+    )
+    got = read_gtfs_csv(spark, str(folder / "stops.txt")).collect()
+    assert [tuple(r) for r in got] == [("007", 'Main "A" St, North', -37.5, 145.25), ("8", "Plain", None, None)]
+
+    clock = dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
+    source, target = str(tmp_path / "feed"), str(tmp_path / "lake")
+    assert load_published_tables(spark, source, target, "2024-01-01", ingested_at=clock) == [f"{source}/4/stops.txt"]
+    (folder / "stops.txt").write_text("stop_name,platform,stop_id\nMain,2,007\n")
+    load_published_tables(spark, source, target, "2024-02-01", ingested_at=clock)
+    stored = read_snapshots(spark, f"{target}/stops")
+    got = stored.selectExpr(
+        "stop_id", "stop_name", "platform", "transport_mode", "CAST(valid_from AS STRING)", "unix_seconds(ingested_at)"
+    ).collect()
+    at = int(clock.timestamp())
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(
+        map(
+            str,
+            [
+                ("007", 'Main "A" St, North', None, "bus", "2024-01-01", at),
+                ("8", "Plain", None, "bus", "2024-01-01", at),
+                ("007", "Main", "2", "bus", "2024-02-01", at),
+            ],
+        )
+    )
+    assert sorted(p.name for p in (tmp_path / "lake" / "stops" / "transport_mode=bus").iterdir()) == [
+        "valid_from=2024-01-01",
+        "valid_from=2024-02-01",
+    ]
