@@ -1,21 +1,19 @@
-from headway.functions.event_time import EVENT_PARTITIONS, event_parts, with_event_parts
+from headway.functions.event_time import EVENT_PARTITIONS, from_hour, with_event_parts
 from headway.functions.service_time import (
     is_service_time,
     local_epoch,
     seconds_late,
     service_date,
     service_seconds,
-    service_time_epoch,
 )
 
 __all__ = [
     "EVENT_PARTITIONS",
-    "event_parts",
+    "from_hour",
     "is_service_time",
     "local_epoch",
     "seconds_late",
     "service_date",
     "service_seconds",
-    "service_time_epoch",
     "with_event_parts",
 ]

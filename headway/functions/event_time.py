@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,21 +14,29 @@ _FIRST_SECOND = -62135596800
 _LAST_SECOND = 253402300799
 
 
-def event_parts(epoch: Column) -> dict[str, Column]:
-    """``event_ts`` and the UTC ``year``, ``month``, ``day`` and ``hour`` of an epoch-second column.
+def with_event_parts(df: DataFrame, epoch: str = "source_timestamp") -> DataFrame:
+    """Add ``event_ts`` and the UTC ``year``, ``month``, ``day`` and ``hour`` of an epoch-second column.
 
     Pure arithmetic, so the partition a row lands in never depends on the session time zone.
     """
-    seconds = F.when(epoch.between(_FIRST_SECOND, _LAST_SECOND), epoch)
-    date = F.date_from_unix_date(F.floor(seconds / 86400).cast("int"))
-    return {
-        "event_ts": F.timestamp_seconds(seconds),
-        "year": F.year(date),
-        "month": F.month(date),
-        "day": F.dayofmonth(date),
-        "hour": F.floor(F.pmod(seconds, F.lit(86400)) / 3600).cast("int"),
-    }
-
-
-def with_event_parts(df: DataFrame, epoch_column: str = "source_timestamp") -> DataFrame:
-    return df.withColumns(event_parts(F.col(epoch_column)))
+    seconds = f"CASE WHEN {epoch} BETWEEN {_FIRST_SECOND} AND {_LAST_SECOND} THEN {epoch} END"
+    date = f"date_from_unix_date(CAST(floor(({seconds}) / 86400) AS INT))"
+    return df.selectExpr(
+        "*",
+        f"timestamp_seconds({seconds}) AS event_ts",
+        f"year({date}) AS year",
+        f"month({date}) AS month",
+        f"dayofmonth({date}) AS day",
+        f"CAST(pmod({seconds}, 86400) DIV 3600 AS INT) AS hour",
+    )
+
+
+def from_hour(epoch: int) -> Column:
+    """Partition filter for the hour of ``epoch`` and later.
+
+    Spark cannot derive it from a bound on the timestamp itself. Written on the partition columns it selects
+    directories before anything is read.
+    """
+    at = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=epoch)
+    bound = ", ".join(f"'{name}', {getattr(at, name)}" for name in EVENT_PARTITIONS)
+    return F.expr(f"struct({', '.join(EVENT_PARTITIONS)}) >= named_struct({bound})")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +16,11 @@ def join_static(realtime: DataFrame, static: DataFrame, keys: Sequence[str], how
     No broadcast is forced: Spark picks it from the static side's measured size, and otherwise shuffles with
     adaptive splitting of hot keys. Duplicate static keys multiply realtime rows, as in any join.
     """
-    added = [name for name in static.columns if name not in realtime.columns]
-    rt, st = realtime.alias("rt"), static.select(*keys, *added).alias("st")
-    condition = reduce(lambda a, b: a & b, (F.col(f"rt.{k}") == F.col(f"st.{k}") for k in keys))
-    return rt.join(st, condition, how).select("rt.*", *(F.col(f"st.{name}") for name in added))
+    have = set(realtime.columns)
+    added = [name for name in static.columns if name not in have]
+    condition = F.expr(" AND ".join(f"rt.`{key}` = st.`{key}`" for key in keys))
+    joined = realtime.alias("rt").join(static.alias("st"), condition, how)
+    return joined.selectExpr("rt.*", *(f"st.`{name}`" for name in added))
 
 
 def join_schedule(
@@ -36,23 +36,18 @@ def join_schedule(
 
 def with_effective_time(df: DataFrame) -> DataFrame:
     """Arrival time, else departure time, and which of the two it is."""
-    arrival, departure = F.col("stop_arrival_time"), F.col("stop_departure_time")
-    method = F.when(arrival.isNotNull(), "arrival").when(departure.isNotNull(), "departure")
-    return df.withColumns(
-        {
-            "effective_stop_time": F.coalesce(arrival, departure),
-            "effective_stop_time_calculation_method": method,
-        }
+    return df.selectExpr(
+        "*",
+        "coalesce(stop_arrival_time, stop_departure_time) AS effective_stop_time",
+        "CASE WHEN stop_arrival_time IS NOT NULL THEN 'arrival'"
+        " WHEN stop_departure_time IS NOT NULL THEN 'departure' END AS effective_stop_time_calculation_method",
     )
 
 
 def with_resolved_names(df: DataFrame) -> DataFrame:
     """Display names with their fallbacks."""
-    return df.withColumns(
-        {
-            "resolved_route_name": F.coalesce(
-                "route_short_name", "route_long_name", "route_id", F.lit("UNKNOWN_ROUTE")
-            ),
-            "resolved_headsign": F.coalesce("trip_headsign", F.lit("UNKNOWN_DESTINATION")),
-        }
+    return df.selectExpr(
+        "*",
+        "coalesce(route_short_name, route_long_name, route_id, 'UNKNOWN_ROUTE') AS resolved_route_name",
+        "coalesce(trip_headsign, 'UNKNOWN_DESTINATION') AS resolved_headsign",
     )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.functions import EVENT_PARTITIONS, event_parts
+from headway.functions import EVENT_PARTITIONS, from_hour
 from headway.operators.latest import latest_by
 from headway.storage import child_names, delete, exists
 
@@ -29,17 +29,6 @@ def max_mark(table: DataFrame, column: str = "source_timestamp") -> DataFrame:
     return table.agg(F.max(column).alias(column))
 
 
-def from_hour(epoch: int) -> Column:
-    """Partition filter for the hour of ``epoch`` and later.
-
-    Spark cannot derive it from a bound on the timestamp itself. Written on the partition columns it selects
-    directories before anything is read.
-    """
-    parts = event_parts(F.lit(epoch).cast("long"))
-    bound = F.struct(*(parts[name].alias(name) for name in EVENT_PARTITIONS))
-    return F.struct(*EVENT_PARTITIONS) >= bound
-
-
 def rows_after(source: DataFrame, mark: int | None, column: str = "source_timestamp") -> DataFrame:
     """Source rows strictly after ``mark``; all of them when there is none yet."""
     if mark is None:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 
@@ -36,6 +35,7 @@ def latest_by(
     Spark keep one row per key in each input task before the shuffle, so a hot key costs one row per task.
     """
     ranking = total_order(df, keys, order) if ties is None else [*order, *ties]
-    newest_first: list[Column] = [F.col(name).desc_nulls_last() for name in ranking]
-    window = Window.partitionBy(*keys).orderBy(*newest_first)
-    return df.withColumn("row_num", F.row_number().over(window)).filter("row_num = 1").drop("row_num")
+    newest_first = ", ".join(f"`{name}` DESC NULLS LAST" for name in ranking)
+    per_key = ", ".join(f"`{name}`" for name in keys)
+    ranked = df.selectExpr("*", f"row_number() OVER (PARTITION BY {per_key} ORDER BY {newest_first}) AS row_num")
+    return ranked.filter("row_num = 1").drop("row_num")

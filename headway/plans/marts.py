@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from headway.functions import EVENT_PARTITIONS
+from headway.operators.enrich import join_static
 from headway.operators.incremental import UpsertSpec, upsert_latest
 from headway.operators.latest import latest_by
 from headway.schemas import SILVER_TRIP_UPDATES
@@ -33,9 +34,9 @@ def latest_version(dimension: DataFrame, keys: Sequence[str], columns: Sequence[
     return latest_by(dimension.select(*wanted, "ingested_at"), keys, ["ingested_at"]).select(*wanted)
 
 
-def on_time() -> Column:
-    """1 when less than the limit late (early included), 0 otherwise or when the delay is unknown."""
-    return F.when(F.col("delay_seconds") < ON_TIME_BELOW_SECONDS, 1).otherwise(0)
+# A stop is on time when less than the limit late, early included; an unknown delay is not.
+_TOTAL_STOPS = "count(*) AS total_stops"
+_ON_TIME_STOPS = f"sum(CASE WHEN delay_seconds < {ON_TIME_BELOW_SECONDS} THEN 1 ELSE 0 END) AS on_time_stops"
 
 
 def stop_hourly(deduped: DataFrame, stops: DataFrame, by_mode: bool = False) -> DataFrame:
@@ -44,7 +45,7 @@ def stop_hourly(deduped: DataFrame, stops: DataFrame, by_mode: bool = False) ->
     Ids of different modes share one namespace unless ``by_mode`` is set, which also matches ``transport_mode``.
     """
     stats = deduped.groupBy("stop_id", "mode", *EVENT_PARTITIONS).agg(
-        F.count("*").alias("total_stops"), F.sum(on_time()).alias("on_time_stops")
+        F.expr(_TOTAL_STOPS), F.expr(_ON_TIME_STOPS)
     )
     return _look_up(stats, stops, "stop_id", ["stop_name"], by_mode)
 
@@ -58,11 +59,11 @@ def route_hourly(deduped: DataFrame, trips: DataFrame, routes: DataFrame, by_mod
     """
     hour = ("mode", *EVENT_PARTITIONS)
     per_trip = deduped.groupBy("trip_id", *hour).agg(
-        F.count("*").alias("total_stops"), F.sum(on_time()).alias("on_time_stops")
+        F.expr(_TOTAL_STOPS), F.expr(_ON_TIME_STOPS)
     )
     per_route = _look_up(per_trip, trips, "trip_id", ["route_id"], by_mode)
     stats = per_route.groupBy("route_id", *hour).agg(
-        F.sum("total_stops").alias("total_stops"), F.sum("on_time_stops").alias("on_time_stops")
+        F.expr("sum(total_stops) AS total_stops"), F.expr("sum(on_time_stops) AS on_time_stops")
     )
     return _look_up(stats, routes, "route_id", ["route_short_name", "route_long_name"], by_mode)
 
@@ -70,9 +71,9 @@ def route_hourly(deduped: DataFrame, trips: DataFrame, routes: DataFrame, by_mod
 def _look_up(facts: DataFrame, dimension: DataFrame, key: str, columns: list[str], by_mode: bool) -> DataFrame:
     """Left join with the newest version of a dimension; adds ``columns``."""
     if not by_mode:
-        return facts.join(latest_version(dimension, [key], columns), key, "left").select(*facts.columns, *columns)
+        return join_static(facts, latest_version(dimension, [key], columns), [key])
     current = latest_version(dimension, [key, "transport_mode"], columns).withColumnRenamed("transport_mode", "mode")
-    return facts.join(current, [key, "mode"], "left").select(*facts.columns, *columns)
+    return join_static(facts, current, [key, "mode"])
 
 
 def refresh_marts(

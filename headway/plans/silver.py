@@ -30,16 +30,16 @@ def delayed_stops(stops: DataFrame, stop_times: DataFrame, zone: str) -> DataFra
     day are parsed on the schedule side, once per scheduled stop.
     """
     timed = with_effective_time(stops).filter("effective_stop_time IS NOT NULL AND start_date IS NOT NULL")
-    arrival = F.col("arrival_time")
-    schedule = stop_times.filter(is_service_time(arrival)).select(
-        *STOP_TIME_KEYS, service_seconds(arrival).alias("service_seconds"), "departure_time"
+    schedule = stop_times.filter(is_service_time("arrival_time")).select(
+        *STOP_TIME_KEYS, service_seconds("arrival_time").alias("service_seconds"), "departure_time"
     )
     joined = join_static(timed, schedule, STOP_TIME_KEYS, how="inner")
-    delayed = joined.select(
-        *timed.columns,
-        local_epoch(F.col("start_date"), F.col("service_seconds"), zone).alias("scheduled_stop_time"),
+    scheduled = joined.select(
+        F.expr("* EXCEPT (service_seconds, departure_time)"),
+        local_epoch("start_date", "service_seconds", zone).alias("scheduled_stop_time"),
         "departure_time",
-    ).withColumn("delay_seconds", seconds_late(F.col("effective_stop_time"), F.col("scheduled_stop_time")))
+    )
+    delayed = scheduled.select("*", seconds_late("effective_stop_time", "scheduled_stop_time").alias("delay_seconds"))
     return with_event_parts(delayed)
 
 

@@ -9,14 +9,23 @@ from pyspark.sql.types import StructType
 from headway.functions import EVENT_PARTITIONS
 
 
-def append_silver(df: DataFrame, path: str, table_format: str = "parquet") -> None:
-    """Batch append by event hour.
+def gather_hours(df: DataFrame) -> DataFrame:
+    """Bring the rows of an hour together, so that a write makes few files per hour instead of one per task.
 
-    The rebalance gathers each hour into few files, and adaptive execution splits an hour that is too large
-    for one of them.
+    Adaptive execution splits an hour that is too large for one task; without it, rows stay where they are.
     """
-    rows = df.hint("rebalance", *EVENT_PARTITIONS)
-    rows.write.mode("append").format(table_format).partitionBy(*EVENT_PARTITIONS).save(path)
+    conf = df.sparkSession.conf
+    adaptive = ["spark.sql.adaptive.enabled"]
+    if df.isStreaming:
+        adaptive.append("spark.sql.adaptive.streaming.stateless.enabled")
+    if not all(conf.get(name) == "true" for name in adaptive):
+        return df
+    return df.hint("rebalance", *EVENT_PARTITIONS)
+
+
+def append_silver(df: DataFrame, path: str, table_format: str = "parquet") -> None:
+    """Batch append by event hour."""
+    gather_hours(df).write.mode("append").format(table_format).partitionBy(*EVENT_PARTITIONS).save(path)
 
 
 def start_silver(
@@ -29,7 +38,8 @@ def start_silver(
 ) -> StreamingQuery:
     """Checkpointed streaming append by event hour; one commit per minute unless ``trigger`` says otherwise."""
     return (
-        df.writeStream.queryName(query_name)
+        gather_hours(df)
+        .writeStream.queryName(query_name)
         .format(table_format)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)

@@ -1,9 +1,9 @@
 from conftest import SF_DIR, plan_of
 from pyspark.sql import functions as F
 
-from headway.functions import with_event_parts
+from headway.functions import from_hour, with_event_parts
 from headway.operators import incremental
-from headway.operators.incremental import UpsertSpec, from_hour, newest_hour, rows_after, upsert_latest
+from headway.operators.incremental import UpsertSpec, newest_hour, rows_after, upsert_latest
 from headway.plans.marts import DEDUP, dedup_latest
 from headway.sinks.tables import append_silver, read_table
 from workload import fixtures as fx

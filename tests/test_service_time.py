@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from headway.functions import service_date, service_time_epoch, with_event_parts
+from headway.functions import local_epoch, service_date, service_seconds, with_event_parts
 
 ZONE = "Australia/Melbourne"
 
@@ -30,7 +30,8 @@ def test_edge_rows(spark, rows, session_zone):
     df = rows(cases, "d string, t string, expected bigint")
     spark.conf.set("spark.sql.session.timeZone", session_zone)
     try:
-        got = df.select("*", service_time_epoch(service_date(F.col("d")), F.col("t"), ZONE).alias("got")).collect()
+        typed = df.select("*", service_date("d").alias("date"), service_seconds("t").alias("seconds"))
+        got = typed.select("*", local_epoch("date", "seconds", ZONE).alias("got")).collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert [(r.d, r.t, r.got) for r in got] == cases

@@ -25,7 +25,7 @@ def run(start, spark, config, topic):
 
 
 def config_at(spark, path, **sinks):
-    static = write_static(spark, SF_DIR, f"{path}/static").static_path
+    static = write_static(spark, SF_DIR, f"{path}/static", "stop_times", "routes", "trips").static_path
     return JobConfig(
         static_path=static,
         timezone=fx.ZONE,

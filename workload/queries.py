@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.config import MODES, JobConfig
-from headway.functions import service_date, service_time_epoch, with_event_parts
+from headway.functions import local_epoch, service_date, service_seconds, with_event_parts
 from headway.operators.enrich import join_schedule, with_effective_time
 from headway.operators.incremental import UpsertSpec, max_mark, upsert_latest
 from headway.operators.live import DELAY_VIEW, VEHICLE_VIEW, live_view
@@ -83,13 +83,15 @@ def service_time(spark, sf_dir):
     dated = fx.stop_times(spark, sf_dir).withColumn(
         "start_date", F.expr("date_format(DATE '2024-03-20' + CAST(CAST(trip_id AS BIGINT) % 30 AS INT), 'yyyyMMdd')")
     )
-    date = service_date(F.col("start_date"))
-    return dated.select(
+    typed = dated.withColumn("start_date", service_date("start_date")).withColumns(
+        {"arrival": service_seconds("arrival_time"), "departure": service_seconds("departure_time")}
+    )
+    return typed.select(
         "trip_id",
         "stop_sequence",
-        date.alias("start_date"),
-        service_time_epoch(date, F.col("arrival_time"), fx.ZONE).alias("scheduled_stop_time"),
-        service_time_epoch(date, F.col("departure_time"), "UTC").alias("utc_departure_time"),
+        "start_date",
+        local_epoch("start_date", "arrival", fx.ZONE).alias("scheduled_stop_time"),
+        local_epoch("start_date", "departure", "UTC").alias("utc_departure_time"),
     )
 
 
@@ -188,14 +190,16 @@ def trip_explode(spark, sf_dir):
 # --- Static data
 
 
-def write_static(spark, sf_dir, base: str) -> JobConfig:
-    """Per-mode schedule directories; the tram one has no departure_time."""
-    stop_times = fx.stop_times(spark, sf_dir)
-    routes, trips = fx.routes(spark, sf_dir), marts.latest_version(
-        fx.trips(spark, sf_dir), ["trip_id"], ["route_id", "trip_headsign"]
-    )
-    tables = {"stop_times": ("trip_id", stop_times), "routes": ("route_id", routes), "trips": ("trip_id", trips)}
-    for name, (key, table) in tables.items():
+def write_static(spark, sf_dir, base: str, *names: str) -> JobConfig:
+    """Per-mode directories of the named schedule tables; the tram ones have no departure_time."""
+    tables = {
+        "stop_times": ("trip_id", fx.stop_times),
+        "routes": ("route_id", fx.routes),
+        "trips": ("trip_id", _current_trips),
+    }
+    for name in names:
+        key, build = tables[name]
+        table = build(spark, sf_dir)
         for number, mode in enumerate(MODES):
             part = table.filter(F.col(key).cast("bigint") % len(MODES) == number)
             part = part.drop("departure_time") if mode == "tram" else part
@@ -203,15 +207,19 @@ def write_static(spark, sf_dir, base: str) -> JobConfig:
     return JobConfig(static_path=base, timezone=fx.ZONE)
 
 
+def _current_trips(spark, sf_dir) -> DataFrame:
+    return marts.latest_version(fx.trips(spark, sf_dir), ["trip_id"], ["route_id", "trip_headsign"])
+
+
 @query
 def schedule_union(spark, sf_dir):
-    config = write_static(spark, sf_dir, fresh_dir(spark, "static"))
+    config = write_static(spark, sf_dir, fresh_dir(spark, "static"), "stop_times")
     return read_static(spark, config.static_paths("stop_times"), STOP_TIME_COLUMNS)
 
 
 @query
 def schedule_join(spark, sf_dir):
-    config = write_static(spark, sf_dir, fresh_dir(spark, "static"))
+    config = write_static(spark, sf_dir, fresh_dir(spark, "static"), "stop_times")
     updates = fx.updates(spark, sf_dir).select("trip_id", "stop_sequence", "source_timestamp", "route_id")
     return join_schedule(spark, updates, config.static_paths("stop_times"), STOP_TIME_KEYS, STOP_TIME_COLUMNS)
 
@@ -277,12 +285,20 @@ def vehicle_enriched(spark, sf_dir):
     )
 
 
-def _run_job(start, records, spark, sf_dir, **sinks) -> JobConfig:
-    """Record a topic, run a streaming job over it until it has caught up, and return its configuration."""
+# For each topic: how to start its job, how to record it, and the schedule tables the job reads.
+_JOBS = {
+    TRIP_UPDATES: (start_trip_updates, trip_records, ["stop_times"]),
+    VEHICLE_POSITIONS: (start_vehicle_positions, vehicle_records, ["routes", "trips"]),
+}
+
+
+def _run_job(topic: str, spark, sf_dir, **sinks) -> JobConfig:
+    """Record a topic, run its streaming job over it until it has caught up, and return the configuration."""
+    start, records, static = _JOBS[topic]
     base = fresh_dir(spark, "job")
-    config = write_static(spark, sf_dir, f"{base}/static")
+    write_static(spark, sf_dir, f"{base}/static", *static)
     config = JobConfig(
-        static_path=config.static_path,
+        static_path=f"{base}/static",
         timezone=fx.ZONE,
         lake_path=f"{base}/silver",
         live_path=f"{base}/live",
@@ -291,21 +307,20 @@ def _run_job(start, records, spark, sf_dir, **sinks) -> JobConfig:
     )
     records(spark, sf_dir).write.parquet(f"{base}/topic")
     replay = replay_topic(spark, f"{base}/topic", max_files_per_trigger=4)
-    started = start(spark, config, replay, {"availableNow": True}, lambda: NOW)
-    for running in started:
+    for running in start(spark, config, replay, {"availableNow": True}, lambda: NOW):
         running.awaitTermination()
     return config
 
 
 @query
 def silver_trip_updates_stream(spark, sf_dir):
-    config = _run_job(start_trip_updates, trip_records, spark, sf_dir, enable_silver_sink=True)
+    config = _run_job(TRIP_UPDATES, spark, sf_dir, enable_silver_sink=True)
     return _epoch(read_table(spark, config.silver_table(TRIP_UPDATES)), "event_ts")
 
 
 @query
 def silver_vehicle_positions_stream(spark, sf_dir):
-    config = _run_job(start_vehicle_positions, vehicle_records, spark, sf_dir, enable_silver_sink=True)
+    config = _run_job(VEHICLE_POSITIONS, spark, sf_dir, enable_silver_sink=True)
     return _epoch(read_table(spark, config.silver_table(VEHICLE_POSITIONS)), "event_ts")
 
 
@@ -319,7 +334,7 @@ def live_delay(spark, sf_dir):
 
 @query
 def live_delay_stream(spark, sf_dir):
-    config = _run_job(start_trip_updates, trip_records, spark, sf_dir, enable_live_sink=True)
+    config = _run_job(TRIP_UPDATES, spark, sf_dir, enable_live_sink=True)
     return LiveTable(spark, config.live_table(TRIP_UPDATES), DELAY_VIEW).read(NOW)
 
 
@@ -332,7 +347,7 @@ def live_vehicle(spark, sf_dir):
 
 @query
 def live_vehicle_stream(spark, sf_dir):
-    config = _run_job(start_vehicle_positions, vehicle_records, spark, sf_dir, enable_live_sink=True)
+    config = _run_job(VEHICLE_POSITIONS, spark, sf_dir, enable_live_sink=True)
     return LiveTable(spark, config.live_table(VEHICLE_POSITIONS), VEHICLE_VIEW).read(NOW)
 
 
