@@ -103,7 +103,7 @@ def _write_hours(df: DataFrame, path: str, table_format: str, overwrite: str) ->
 
 def _publish(spark: SparkSession, staging: str, target: str, table_format: str) -> None:
     """Move the staged hours into the target; repeating it is harmless."""
-    if newest_hour(spark, staging) is not None or child_names(spark, f"{staging}/year=__HIVE_DEFAULT_PARTITION__"):
+    if any(name.startswith(f"{EVENT_PARTITIONS[0]}=") for name in child_names(spark, staging)):
         staged = spark.read.option("mergeSchema", True).parquet(staging)
         _write_hours(staged, target, table_format, "dynamic")
     delete(spark, staging)

@@ -62,19 +62,26 @@ def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _id(key: str, unmatched: str) -> str:
+    """A key as text. Where ``unmatched`` holds it gets a form that realtime rows never use."""
+    return f"CASE WHEN {unmatched} THEN concat('x', {key}) ELSE CAST({key} AS STRING) END"
+
+
 def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per scheduled stop; one trip in ten is unknown to the realtime side."""
+    hour_minute = (
+        "concat(lpad(CAST(4 + (l_orderkey*7 + l_linenumber) % 22 AS STRING), 2, '0'), ':',"
+        " lpad(CAST((l_orderkey*11 + l_linenumber*3) % 60 AS STRING), 2, '0'), '{}')"
+    )
     return (
         table(spark, sf_dir, "lineitem")
-        .filter("l_orderkey % 10 <> 0")
         .select("l_orderkey", "l_linenumber")
         .distinct()
         .selectExpr(
-            "CAST(l_orderkey AS STRING) AS trip_id",
+            f"{_id('l_orderkey', 'l_orderkey % 10 = 0')} AS trip_id",
             "l_linenumber AS stop_sequence",
-            "concat(lpad(CAST(4 + (l_orderkey*7 + l_linenumber) % 22 AS STRING), 2, '0'), ':',"
-            " lpad(CAST((l_orderkey*11 + l_linenumber*3) % 60 AS STRING), 2, '0'), ':00') AS arrival_time",
-            "concat(lpad(CAST(4 + (l_orderkey*7 + l_linenumber) % 22 AS STRING), 2, '0'), ':',"
-            " lpad(CAST((l_orderkey*11 + l_linenumber*3) % 60 AS STRING), 2, '0'), ':20') AS departure_time",
+            f"{hour_minute.format(':00')} AS arrival_time",
+            f"{hour_minute.format(':20')} AS departure_time",
         )
     )
 
@@ -87,35 +94,33 @@ def _versions(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 17 <> 0")
-    trip_id, headsign = "CAST(o_orderkey AS STRING) AS trip_id", "o_orderpriority AS trip_headsign"
+    """Two versions of each trip; the second moves one in three to another route. One in 17 is unknown."""
+    orders = table(spark, sf_dir, "orders")
+    trip_id = f"{_id('o_orderkey', 'o_orderkey % 17 = 0')} AS trip_id"
+    moved = "(o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END) % 50"
     return _versions(
-        orders.selectExpr(trip_id, "CAST(o_custkey % 50 AS STRING) AS route_id", headsign),
-        orders.filter("o_orderkey % 3 = 0").selectExpr(
-            trip_id, "CAST((o_custkey + 1) % 50 AS STRING) AS route_id", headsign
-        ),
+        orders.selectExpr(trip_id, "CAST(o_custkey % 50 AS STRING) AS route_id", "o_orderpriority AS trip_headsign"),
+        orders.selectExpr(trip_id, f"CAST({moved} AS STRING) AS route_id", "o_orderpriority AS trip_headsign"),
     )
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "customer")
-        .filter("c_custkey < 50 AND c_custkey % 13 <> 0")
-        .selectExpr(
-            "CAST(c_custkey AS STRING) AS route_id",
-            "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS route_short_name",
-            "c_name AS route_long_name",
-            "timestamp_seconds(1704067200) AS ingested_at",
-        )
+    """Each customer is a version of one of 50 routes, of which every 13th is unknown."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        f"{_id('c_custkey % 50', 'c_custkey % 50 % 13 = 0')} AS route_id",
+        "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS route_short_name",
+        "c_name AS route_long_name",
+        "timestamp_seconds(1704067200 + c_custkey) AS ingested_at",
     )
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = table(spark, sf_dir, "supplier").filter("s_suppkey % 9 <> 0")
-    stop_id = "CAST(s_suppkey AS STRING) AS stop_id"
+    """Two versions of each stop; the second renames every other one. One in nine is unknown."""
+    suppliers = table(spark, sf_dir, "supplier")
+    stop_id = f"{_id('s_suppkey', 's_suppkey % 9 = 0')} AS stop_id"
     return _versions(
         suppliers.selectExpr(stop_id, "s_name AS stop_name"),
-        suppliers.filter("s_suppkey % 2 = 0").selectExpr(stop_id, "concat(s_name, ' v2') AS stop_name"),
+        suppliers.selectExpr(stop_id, "concat(s_name, IF(s_suppkey % 2 = 0, ' v2', '')) AS stop_name"),
     )
 
 

@@ -14,6 +14,13 @@ _HH_MM = (
     " lpad(CAST((l.l_orderkey*11 + l.l_linenumber*3) % 60 AS VARCHAR), 2, '0'), {})"
 )
 
+
+def _id(key: str, unmatched: str) -> str:
+    return f"CASE WHEN {unmatched} THEN concat('x', {key}) ELSE CAST({key} AS VARCHAR) END"
+
+
+_TRAM = "ascii(right(trip_id, 1)) % 3 = 2"
+
 _VIEWS = {
     "updates": f"""
         SELECT CAST(l.l_orderkey AS VARCHAR) AS trip_id, CAST(o.o_custkey % 50 AS VARCHAR) AS route_id,
@@ -25,27 +32,29 @@ _VIEWS = {
             CASE WHEN l.l_partkey % 53 = 0 THEN NULL ELSE {_DUE} + 20 END AS stop_departure_time
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "stop_times": f"""
-        SELECT DISTINCT CAST(l.l_orderkey AS VARCHAR) AS trip_id, l.l_linenumber AS stop_sequence,
+        SELECT DISTINCT {_id("l.l_orderkey", "l.l_orderkey % 10 = 0")} AS trip_id, l.l_linenumber AS stop_sequence,
             {_HH_MM.format("':00'")} AS arrival_time, {_HH_MM.format("':20'")} AS departure_time
-        FROM lineitem l WHERE l.l_orderkey % 10 <> 0""",
-    "trips": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey % 50 AS VARCHAR) AS route_id,
+        FROM lineitem l""",
+    "trips": f"""
+        SELECT {_id("o_orderkey", "o_orderkey % 17 = 0")} AS trip_id, CAST(o_custkey % 50 AS VARCHAR) AS route_id,
             o_orderpriority AS trip_headsign, 1 AS version
-        FROM orders WHERE o_orderkey % 17 <> 0
+        FROM orders
         UNION ALL
-        SELECT CAST(o_orderkey AS VARCHAR), CAST((o_custkey + 1) % 50 AS VARCHAR), o_orderpriority, 2
-        FROM orders WHERE o_orderkey % 17 <> 0 AND o_orderkey % 3 = 0""",
-    "routes": """
-        SELECT CAST(c_custkey AS VARCHAR) AS route_id,
+        SELECT {_id("o_orderkey", "o_orderkey % 17 = 0")},
+            CAST((o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END) % 50 AS VARCHAR), o_orderpriority, 2
+        FROM orders""",
+    "routes": f"""
+        SELECT {_id("c_custkey % 50", "c_custkey % 50 % 13 = 0")} AS route_id,
             CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS route_short_name,
-            c_name AS route_long_name, 1 AS version
-        FROM customer WHERE c_custkey < 50 AND c_custkey % 13 <> 0""",
-    "stops": """
-        SELECT CAST(s_suppkey AS VARCHAR) AS stop_id, s_name AS stop_name, 1 AS version
-        FROM supplier WHERE s_suppkey % 9 <> 0
+            c_name AS route_long_name, c_custkey AS version
+        FROM customer""",
+    "stops": f"""
+        SELECT {_id("s_suppkey", "s_suppkey % 9 = 0")} AS stop_id, s_name AS stop_name, 1 AS version
+        FROM supplier
         UNION ALL
-        SELECT CAST(s_suppkey AS VARCHAR), concat(s_name, ' v2'), 2
-        FROM supplier WHERE s_suppkey % 9 <> 0 AND s_suppkey % 2 = 0""",
+        SELECT {_id("s_suppkey", "s_suppkey % 9 = 0")},
+            concat(s_name, CASE WHEN s_suppkey % 2 = 0 THEN ' v2' ELSE '' END), 2
+        FROM supplier""",
     "positions": """
         SELECT CAST(event_id AS VARCHAR) AS entity_id,
             CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS trip_id,
@@ -108,7 +117,7 @@ _SILVER_TRIPS = """
 
 # The streaming jobs read per-mode schedule files, of which the tram ones have no departure_time.
 _SILVER_TRIPS_STREAM = f"""
-    SELECT * REPLACE (CASE WHEN CAST(trip_id AS BIGINT) % 3 = 2 THEN NULL ELSE departure_time END AS departure_time)
+    SELECT * REPLACE (CASE WHEN {_TRAM} THEN NULL ELSE departure_time END AS departure_time)
     FROM ({_SILVER_TRIPS})"""
 
 _SILVER_VEHICLES = f"""
@@ -158,7 +167,7 @@ def _route_hourly(deduped: str) -> str:
 _NAMED = """
     SELECT p.*, coalesce(r.route_short_name, r.route_long_name, p.route_id, 'UNKNOWN_ROUTE') AS resolved_route_name,
         coalesce(t.trip_headsign, 'UNKNOWN_DESTINATION') AS resolved_headsign
-    FROM positions p LEFT JOIN routes r ON p.route_id = r.route_id
+    FROM positions p LEFT JOIN latest_routes r ON p.route_id = r.route_id
     LEFT JOIN latest_trips t ON p.trip_id = t.trip_id"""
 
 
@@ -210,7 +219,9 @@ _ORACLES = {
         SELECT trip_id, stop_sequence, start_date,
             {_scheduled("start_date", "arrival_time", "Australia/Melbourne")} AS scheduled_stop_time,
             {_scheduled("start_date", "departure_time", "UTC")} AS utc_departure_time
-        FROM (SELECT *, DATE '2024-03-20' + CAST(CAST(trip_id AS BIGINT) % 30 AS INT) AS start_date FROM stop_times)""",
+        FROM (
+            SELECT *, DATE '2024-03-20' + CAST((ascii(right(trip_id, 1)) - 48) * 3 + stop_sequence % 3 AS INT) AS start_date
+            FROM stop_times)""",
     "event_parts": f"""
         SELECT trip_id, stop_sequence, source_timestamp, source_timestamp AS event_ts, {_parts("source_timestamp")}
         FROM updates""",
@@ -250,13 +261,13 @@ _ORACLES = {
             0 AS trip_schedule_relationship, stop_sequence, stop_id, stop_arrival_time, stop_departure_time,
             schedule_relationship
         FROM stops""",
-    "schedule_union": """
+    "schedule_union": f"""
         SELECT trip_id, arrival_time, stop_sequence,
-            CASE WHEN CAST(trip_id AS BIGINT) % 3 = 2 THEN NULL ELSE departure_time END AS departure_time
+            CASE WHEN {_TRAM} THEN NULL ELSE departure_time END AS departure_time
         FROM stop_times""",
-    "schedule_join": """
+    "schedule_join": f"""
         SELECT u.trip_id, u.stop_sequence, u.source_timestamp, u.route_id, s.arrival_time,
-            CASE WHEN CAST(u.trip_id AS BIGINT) % 3 = 2 THEN NULL ELSE s.departure_time END AS departure_time
+            CASE WHEN {_TRAM.replace("trip_id", "u.trip_id")} THEN NULL ELSE s.departure_time END AS departure_time
         FROM updates u LEFT JOIN stop_times s ON u.trip_id = s.trip_id AND u.stop_sequence = s.stop_sequence""",
     "static_snapshot": """
         SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS trip_id, CAST(o_custkey % 50 AS VARCHAR) AS route_id,

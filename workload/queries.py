@@ -81,7 +81,10 @@ def effective_time(spark, sf_dir):
 @query
 def service_time(spark, sf_dir):
     dated = fx.stop_times(spark, sf_dir).withColumn(
-        "start_date", F.expr("date_format(DATE '2024-03-20' + CAST(CAST(trip_id AS BIGINT) % 30 AS INT), 'yyyyMMdd')")
+        "start_date",
+        F.expr(
+            "date_format(DATE '2024-03-20' + (ascii(right(trip_id, 1)) - 48) * 3 + stop_sequence % 3, 'yyyyMMdd')"
+        ),
     )
     typed = dated.withColumn("start_date", service_date("start_date")).withColumns(
         {"arrival": service_seconds("arrival_time"), "departure": service_seconds("departure_time")}
@@ -194,23 +197,19 @@ def write_static(spark, sf_dir, base: str, *names: str) -> JobConfig:
     """Per-mode directories of the named schedule tables; the tram ones have no departure_time."""
     tables = {
         "stop_times": ("trip_id", fx.stop_times),
-        "routes": ("route_id", fx.routes),
-        "trips": ("trip_id", _current_trips),
+        "routes": ("route_id", latest_routes),
+        "trips": ("trip_id", latest_trips),
     }
     for name in names:
         key, build = tables[name]
         table = build(spark, sf_dir)
         for number, mode in enumerate(MODES):
-            part = table.filter(F.col(key).cast("bigint") % len(MODES) == number)
+            part = table.filter(f"ascii(right({key}, 1)) % {len(MODES)} = {number}")
             part = part.drop("departure_time") if mode == "tram" else part
             part.write.parquet(f"{base}/{mode}/{name}")
     return JobConfig(static_path=base, timezone=fx.ZONE)
 
 
-def _current_trips(spark, sf_dir) -> DataFrame:
-    return marts.latest_version(fx.trips(spark, sf_dir), ["trip_id"], ["route_id", "trip_headsign"])
-
-
 @query
 def schedule_union(spark, sf_dir):
     config = write_static(spark, sf_dir, fresh_dir(spark, "static"), "stop_times")
@@ -275,12 +274,14 @@ def silver_vehicle_positions(spark, sf_dir):
     return _epoch(silver.silver_vehicle_positions(vehicle_records(spark, sf_dir)), "event_ts")
 
 
+def _named_positions(spark, sf_dir) -> DataFrame:
+    positions = silver.silver_vehicle_positions(vehicle_records(spark, sf_dir))
+    return named_positions(positions, latest_routes(spark, sf_dir), latest_trips(spark, sf_dir))
+
+
 @query
 def vehicle_enriched(spark, sf_dir):
-    positions = silver.silver_vehicle_positions(vehicle_records(spark, sf_dir))
-    trips = marts.latest_version(fx.trips(spark, sf_dir), ["trip_id"], ["trip_headsign"])
-    named = named_positions(positions, fx.routes(spark, sf_dir), trips)
-    return named.select(
+    return _named_positions(spark, sf_dir).select(
         "entity_id", "trip_id", "route_id", "mode", "position_timestamp", "resolved_route_name", "resolved_headsign"
     )
 
@@ -340,9 +341,7 @@ def live_delay_stream(spark, sf_dir):
 
 @query
 def live_vehicle(spark, sf_dir):
-    positions = silver.silver_vehicle_positions(vehicle_records(spark, sf_dir))
-    trips = marts.latest_version(fx.trips(spark, sf_dir), ["trip_id"], ["trip_headsign"])
-    return live_view(named_positions(positions, fx.routes(spark, sf_dir), trips), VEHICLE_VIEW, NOW)
+    return live_view(_named_positions(spark, sf_dir), VEHICLE_VIEW, NOW)
 
 
 @query
