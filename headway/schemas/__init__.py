@@ -89,6 +89,28 @@ SILVER_TRIP_UPDATES = fields(
     hour=INT,
 )
 
+# The silver table of vehicle positions; the service date stays text.
+SILVER_VEHICLE_POSITIONS = fields(
+    mode=TEXT,
+    gtfs_realtime_version=TEXT,
+    source_timestamp=LONG,
+    entity_id=TEXT,
+    trip_id=TEXT,
+    route_id=TEXT,
+    start_time=TEXT,
+    start_date=TEXT,
+    vehicle_id=TEXT,
+    label=TEXT,
+    latitude=DOUBLE,
+    longitude=DOUBLE,
+    position_timestamp=LONG,
+    event_ts=TimestampType(),
+    year=INT,
+    month=INT,
+    day=INT,
+    hour=INT,
+)
+
 
 def load_schema(path: str) -> StructType:
     """Read a schema from a file in Spark's own JSON schema format."""

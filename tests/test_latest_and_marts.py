@@ -150,3 +150,53 @@ def test_latest_version_reads_only_what_it_needs(spark, tmp_path):
                               ).write.parquet(str(tmp_path / "d"))
     plan = plan_of(latest_version(spark.read.parquet(str(tmp_path / "d")), ["trip_id"], ["route_id"]))
     assert "shape" not in plan
+
+
+def test_a_hot_trip_is_split_in_the_schedule_join(spark, tmp_path):
+    """A third of all rows belongs to one stop of one trip; the join splits it, in a batch and in a stream."""
+    from headway.plans.silver import delayed_stops
+
+    update = (
+        "IF(id % 3 = 0, 'hot', CAST(id % 5000 AS STRING)) AS trip_id, IF(id % 3 = 0, 1, CAST(id % 7 AS INT)) AS stop_sequence,"
+        " DATE '2024-01-15' AS start_date, 1705266000 + id % 999 AS source_timestamp, 1705266000 + id AS stop_arrival_time,"
+        " CAST(NULL AS BIGINT) AS stop_departure_time"
+    )
+    spark.range(0, 60000, 1, 8).createOrReplaceTempView("ids")
+    spark.sql(f"SELECT {update} FROM ids").write.parquet(str(tmp_path / "updates"))
+    scheduled = spark.sql("SELECT CAST(id AS STRING) AS trip_id FROM ids WHERE id < 5000").unionByName(
+        spark.sql("SELECT 'hot' AS trip_id")
+    )
+    scheduled.selectExpr(
+        "trip_id", "explode(sequence(0, 6)) AS stop_sequence", "'08:00:00' AS arrival_time", "'x' AS departure_time"
+    ).write.parquet(str(tmp_path / "schedule"))
+    updates, schedule = (spark.read.parquet(str(tmp_path / name)) for name in ("updates", "schedule"))
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    before = {key: spark.conf.get(key) for key in settings if key != "spark.sql.adaptive.autoBroadcastJoinThreshold"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        delayed = delayed_stops(updates, schedule, "Australia/Melbourne")
+        joined = delayed.selectExpr("count(*)", "max(delay_seconds)", "max(event_ts)")
+        assert joined.collect()[0][0] == 60000
+        assert "skew=true" in plan_of(joined)
+        stream = delayed_stops(spark.readStream.schema(updates.schema).parquet(str(tmp_path / "updates")), schedule, "UTC")
+        query = (
+            stream.writeStream.format("parquet")
+            .option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True)
+            .start(str(tmp_path / "out"))
+        )
+        query.awaitTermination()
+        plan = query._jsq.explainInternal(False)
+        assert spark.read.parquet(str(tmp_path / "out")).count() == 60000
+        assert "skew=true" in plan
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -8,6 +8,7 @@ from headway.operators.messages import encode_value, flatten_trip_updates, flatt
 from headway.schemas import (
     FEED_SNAPSHOT,
     SILVER_TRIP_UPDATES,
+    SILVER_VEHICLE_POSITIONS,
     TRIP_UPDATE_MESSAGE,
     VEHICLE_POSITION_MESSAGE,
     load_schema,
@@ -141,11 +142,16 @@ def test_schema_round_trips_through_json(tmp_path):
 
 
 def test_declared_silver_schema_is_what_the_stream_writes(spark):
-    from headway.plans.silver import silver_trip_updates
+    from headway.plans.silver import silver_trip_updates, silver_vehicle_positions
     from headway.schemas import TOPIC_RECORD
 
     stop_times = spark.createDataFrame(
         [], "trip_id string, stop_sequence int, arrival_time string, departure_time string"
     )
-    silver = silver_trip_updates(spark.createDataFrame([], TOPIC_RECORD), stop_times, "Australia/Melbourne")
-    assert [(f.name, f.dataType) for f in silver.schema] == [(f.name, f.dataType) for f in SILVER_TRIP_UPDATES]
+    records = spark.createDataFrame([], TOPIC_RECORD)
+    written = [
+        (SILVER_TRIP_UPDATES, silver_trip_updates(records, stop_times, "Australia/Melbourne")),
+        (SILVER_VEHICLE_POSITIONS, silver_vehicle_positions(records)),
+    ]
+    for declared, df in written:
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in declared]

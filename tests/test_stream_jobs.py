@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from headway.__main__ import main
 from headway.config import JobConfig
 from headway.operators.live import DELAY_VIEW, live_view
+from headway.plans.marts import dedup_latest, refresh_marts
 from headway.plans.silver import silver_trip_updates
 from headway.sinks.live import LiveTable
 from headway.sinks.tables import read_table
@@ -54,6 +55,12 @@ def test_both_sinks_resume_and_equal_the_batch(spark, tmp_path):
     live = LiveTable(spark, config.live_table(TRIP_UPDATES), DELAY_VIEW).read(NOW)
     assert sorted(map(str, live.collect())) == sorted(map(str, live_view(expected, DELAY_VIEW, NOW).collect()))
 
+    for name, dimension in {"stops": fx.stops, "trips": fx.trips, "routes": fx.routes}.items():
+        dimension(spark, SF_DIR).write.parquet(f"{tmp_path}/dims/{name}")
+    refresh_marts(spark, config.silver_table(TRIP_UPDATES), f"{tmp_path}/dims", f"{tmp_path}/gold")
+    deduped = read_table(spark, f"{tmp_path}/gold/trip_updates_deduped").select(expected.columns)
+    assert sorted(map(str, deduped.collect())) == sorted(map(str, dedup_latest(expected).collect()))
+
     hours = {p.name for p in (tmp_path / "silver" / TRIP_UPDATES).glob("year=*/month=*/day=*/*")}
     assert hours == {"hour=0", "hour=1", "hour=2"}
 

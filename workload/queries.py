@@ -16,7 +16,7 @@ from headway.operators.live import DELAY_VIEW, VEHICLE_VIEW, live_view
 from headway.operators.messages import encode_value, flatten_trip_updates, parse_value
 from headway.plans import marts, silver
 from headway.plans.silver import STOP_TIME_COLUMNS, STOP_TIME_KEYS, named_positions
-from headway.schemas import TRIP_UPDATE_MESSAGE
+from headway.schemas import SILVER_TRIP_UPDATES, SILVER_VEHICLE_POSITIONS, TRIP_UPDATE_MESSAGE
 from headway.session import configure, fresh_dir
 from headway.sinks.live import LiveTable
 from headway.sinks.tables import append_silver, read_table
@@ -316,13 +316,15 @@ def _run_job(topic: str, spark, sf_dir, **sinks) -> JobConfig:
 @query
 def silver_trip_updates_stream(spark, sf_dir):
     config = _run_job(TRIP_UPDATES, spark, sf_dir, enable_silver_sink=True)
-    return _epoch(read_table(spark, config.silver_table(TRIP_UPDATES)), "event_ts")
+    stored = read_table(spark, config.silver_table(TRIP_UPDATES), schema=SILVER_TRIP_UPDATES)
+    return _epoch(stored, "event_ts")
 
 
 @query
 def silver_vehicle_positions_stream(spark, sf_dir):
     config = _run_job(VEHICLE_POSITIONS, spark, sf_dir, enable_silver_sink=True)
-    return _epoch(read_table(spark, config.silver_table(VEHICLE_POSITIONS)), "event_ts")
+    stored = read_table(spark, config.silver_table(VEHICLE_POSITIONS), schema=SILVER_VEHICLE_POSITIONS)
+    return _epoch(stored, "event_ts")
 
 
 # --- Live views, as a batch and as a stream
