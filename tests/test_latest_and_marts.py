@@ -157,8 +157,9 @@ def test_a_hot_trip_is_split_in_the_schedule_join(spark, tmp_path):
     from headway.plans.silver import delayed_stops
 
     update = (
-        "IF(id % 3 = 0, 'hot', CAST(id % 5000 AS STRING)) AS trip_id, IF(id % 3 = 0, 1, CAST(id % 7 AS INT)) AS stop_sequence,"
-        " DATE '2024-01-15' AS start_date, 1705266000 + id % 999 AS source_timestamp, 1705266000 + id AS stop_arrival_time,"
+        "IF(id % 3 = 0, 'hot', CAST(id % 5000 AS STRING)) AS trip_id,"
+        " IF(id % 3 = 0, 1, CAST(id % 7 AS INT)) AS stop_sequence, DATE '2024-01-15' AS start_date,"
+        " 1705266000 + id % 999 AS source_timestamp, 1705266000 + id AS stop_arrival_time,"
         " CAST(NULL AS BIGINT) AS stop_departure_time"
     )
     spark.range(0, 60000, 1, 8).createOrReplaceTempView("ids")
