@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from headway.llm.common import BLANK
 
 BUCKETS = 1 << 14
+FILTER_WORDS = 1 << 17
 SMOOTHING = 1.0
 THRESHOLD = -0.1
 WINDOW = 8
@@ -45,13 +46,34 @@ def _bucket(h: Column) -> Column:
     return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def bucket_counts(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
-    """(bucket, raw, trusted): n-grams of all documents, and of those whose ``doc_id`` is in ``trusted_ids``."""
-    marks = trusted_ids.select("doc_id").distinct().withColumn("trusted", F.lit(1))
-    grams = hashed_words(docs.select("doc_id", "text").join(marks, "doc_id", "left"))
+def _may_be_among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose ``doc_id`` may be in ``ids``, with none that is in it missing.
+
+    The hashed ids set bits in ``FILTER_WORDS`` 64-bit words. That bounds what is broadcast, however many ids there are.
+    """
+    h = F.xxhash64("doc_id")
+    word, bit = h.bitwiseAND(F.lit(FILTER_WORDS - 1)), F.pmod(F.shiftrightunsigned(h, 32), F.lit(64)).cast("int")
+    marked = ids.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("mark"))
+    filters = marked.groupBy("_word").agg(F.bit_or("mark").alias("_bits"))
+    near = docs.withColumn("_word", word).join(F.broadcast(filters), "_word")
+    return near.filter(F.getbit("_bits", bit) == 1).drop("_word", "_bits")
+
+
+def _bucketed(docs: DataFrame, name: str) -> DataFrame:
     both = F.concat(F.transform("h1", _bucket), F.transform(_first("h2", 1), _bucket))
-    exploded = grams.select("trusted", F.explode(both).alias("bucket"))
-    return exploded.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("trusted"))
+    exploded = hashed_words(docs.select("text")).select(F.explode(both).alias("bucket"))
+    return exploded.groupBy("bucket").agg(F.count("*").alias(name))
+
+
+def bucket_counts(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
+    """(bucket, raw, trusted): n-grams of all documents, and of those whose ``doc_id`` is in ``trusted_ids``.
+
+    Only texts that may be trusted are shuffled to be joined with the ids, by a join that does not depend on their number.
+    """
+    texts = docs.select("doc_id", "text")
+    ids = trusted_ids.select("doc_id").filter("doc_id IS NOT NULL").distinct()
+    trusted = _may_be_among(texts, ids).join(ids.hint("merge"), "doc_id", "left_semi")
+    return _bucketed(texts, "raw").join(_bucketed(trusted, "trusted"), "bucket", "left").fillna(0)
 
 
 def log_ratios(counts: DataFrame) -> list[int]:
