@@ -9,7 +9,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import bpe, mixing, pii, quality_rules, simhash, toxicity
+from headway.llm import bpe, mixing, pii, quality_rules, simhash, topk, toxicity, url_filters, warc, weak_labels
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,14 +23,31 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest_columns(pii.find_pii(docs))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest_columns(table(spark, sf_dir, "documents"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_columns(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
     return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
@@ -59,7 +76,19 @@ def on_workers(run: Query) -> Query:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {run.__name__: on_workers(run) for run in (op1_pii, op4_simhash, op6_bpe, op8_quality_rules, op9_mixing, op10_toxicity)}
+    operators = (
+        op1_pii,
+        op2_url_filters,
+        op3_warc,
+        op4_simhash,
+        op5_topk,
+        op6_bpe,
+        op7_weak_labels,
+        op8_quality_rules,
+        op9_mixing,
+        op10_toxicity,
+    )
+    return {run.__name__: on_workers(run) for run in operators}
 
 
 def mixing_sql() -> str:
@@ -93,4 +122,4 @@ FROM copied"""
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op9_mixing": mixing_sql()}
+    return {"op2_url_filters": url_filters.judge_sql(), "op9_mixing": mixing_sql()}
