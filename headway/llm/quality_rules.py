@@ -72,7 +72,8 @@ def bucket_counts(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     """
     texts = docs.select("doc_id", "text")
     ids = trusted_ids.select("doc_id").filter("doc_id IS NOT NULL").distinct()
-    trusted = _may_be_among(texts, ids).join(ids.hint("merge"), "doc_id", "left_semi")
+    # An inner join with distinct ids: Spark would move a semi join below the filter.
+    trusted = _may_be_among(texts, ids).join(ids.hint("merge"), "doc_id")
     return _bucketed(texts, "raw").join(_bucketed(trusted, "trusted"), "bucket", "left").fillna(0)
 
 
