@@ -16,7 +16,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -218,36 +217,35 @@ def train(
                 change = {b: math.log1p(after.get(b, 0)) - math.log1p(counts.get(b, 0)) for b in {*counts, *after}}
                 found[0].append(sorted((b, math.log1p(n)) for b, n in counts.items()))
                 found[1].append(sorted((b, v) for b, v in change.items() if v))
-            kind = pa.list_(pa.struct([("b", pa.int32()), ("v", pa.float64())]))
-            own = [[dict(b=b, v=v) for b, v in row] for row in found[0]], [[dict(b=b, v=v) for b, v in row] for row in found[1]]
-            yield with_columns(batch.select(["doc_id", "toxic"]), {"x": pa.array(own[0], kind), "swap": pa.array(own[1], kind)})
-
-    pairs = "array<struct<b:int,v:double>>"
-    vectors = sample.mapInArrow(rows, f"doc_id bigint, toxic int, x {pairs}, swap {pairs}")
+            kinds = pa.list_(pa.int32()), pa.list_(pa.float32())
+            new = {
+                name + part: pa.array([[entry[i] for entry in row] for row in found[which]], kinds[i])
+                for which, name in enumerate(("x", "swap"))
+                for i, part in enumerate("bv")
+            }
+            yield with_columns(batch.select(["doc_id", "toxic"]), new)
+
+    vectors = sample.mapInArrow(rows, "doc_id bigint, toxic int, xb array<int>, xv array<float>, swapb array<int>, swapv array<float>")
     return _trained(vectors, totals, chosen, l1, counterfactual)
 
 
 def _trained(vectors: DataFrame, totals: dict, chosen: list[int], l1: float, counterfactual: float) -> ToxicityModel:
     """Fetch the sample's vectors, whose number and length are bounded, and fit."""
+    fetched = vectors.toArrow().sort_by("doc_id").combine_chunks()
+    labels = fetched["toxic"].to_numpy().astype(float)
 
-    def flat(column: str) -> pd.DataFrame:
-        exploded = vectors.select("doc_id", "toxic", F.explode(column).alias("e"))
-        return exploded.select("doc_id", "toxic", "e.b", F.col("e.v").cast("float").alias("v")).toPandas()
-
-    docs = vectors.select("doc_id", "toxic").toPandas().sort_values("doc_id")
-    ids, labels = docs["doc_id"].to_numpy(), docs["toxic"].to_numpy(float)
-
-    def sparse(column: str) -> Sparse:
-        entries = flat(column).sort_values(["doc_id", "b"])
-        index = np.searchsorted(ids, entries["doc_id"].to_numpy())
-        if column == "swap":
-            _, index = np.unique(index, return_inverse=True)
-        rows = len(ids) if column == "x" else int(index.max(initial=-1)) + 1
-        return Sparse(index, entries["b"].to_numpy(), entries["v"].to_numpy(float), rows, len(chosen))
+    def sparse(name: str, drop_empty: bool) -> Sparse:
+        lists = fetched[name + "b"].combine_chunks()
+        sizes = lists.value_lengths().to_numpy()
+        sizes = sizes[sizes > 0] if drop_empty else sizes
+        values = fetched[name + "v"].combine_chunks().flatten().to_numpy().astype(float)
+        places = np.repeat(np.arange(len(sizes)), sizes)
+        return Sparse(places, lists.flatten().to_numpy(), values, len(sizes), len(chosen))
 
     sampled = {k: max(int((labels == k).sum()), 1) for k in (0, 1)}
     weight = np.array([totals.get(int(k), 0) / sampled[int(k)] for k in labels])
-    weights, bias = fit(sparse("x"), labels, weight, sparse("swap"), l1, counterfactual)
+    x, swaps = sparse("x", drop_empty=False), sparse("swap", drop_empty=True)
+    weights, bias = fit(x, labels, weight, swaps, l1, counterfactual)
     return ToxicityModel(bias, {chosen[i]: float(weights[i]) for i in np.flatnonzero(weights)})
 
 
