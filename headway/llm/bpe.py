@@ -7,6 +7,7 @@ leaves. A word of n bytes thus takes O(n log n), however long it is.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 from functools import lru_cache
@@ -15,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from headway.llm.common import Batches, texts_of, with_columns
@@ -207,20 +207,19 @@ def decode_ids(docs: DataFrame, path: str, ids: str = "token_ids", text: str = "
 
 def digest_columns(docs: DataFrame, path: str) -> DataFrame:
     """Per ``doc_id``: number of ids, digest of the ids, digest of the text they decode to."""
-    encoded = encode_texts(docs.select("doc_id", "text"), path)
+    encoded = encode_texts(docs.select("doc_id", "text"), path).drop("text")
 
     def run(batches: Batches) -> Batches:
-        import hashlib
-
+        decode = vocabulary(path).decode
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("token_ids"))
-            digests = [hashlib.sha256(np.asarray(row.values, "<u4").tobytes()).hexdigest() for row in lists]
-            sizes = lists.value_lengths().cast(pa.int64())
-            keep = {"n_tokens": sizes, "ids_sha256": pa.array(digests, pa.string())}
-            yield with_columns(batch.select(["doc_id", "token_ids"]), keep)
-
-    schema = "doc_id bigint, token_ids array<int>, n_tokens bigint, ids_sha256 string"
-    counted = encoded.drop("text").mapInArrow(run, schema)
-    return decode_ids(counted, path).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+            ids = [np.asarray(row.values, "<u4").tobytes() for row in lists]
+            new = {
+                "n_tokens": lists.value_lengths().cast(pa.int64()),
+                "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                "decoded_sha256": pa.array([hashlib.sha256(decode(x).encode()).hexdigest() for x in ids], pa.string()),
+            }
+            yield with_columns(batch.select(["doc_id"]), new)
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return encoded.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
