@@ -27,8 +27,11 @@ def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
 
 
 def row_key(df: DataFrame, seed: int = 0) -> Column:
-    """64-bit hash over all columns of a row; equal rows share it."""
-    fields = [F.to_json(F.struct(f"`{n}`")) if "map<" in kind else F.col(f"`{n}`") for n, kind in df.dtypes]
+    """64-bit hash over all columns of a row and over which of them are null; equal rows share it."""
+    fields = []
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        fields += [F.isnull(column), F.to_json(F.struct(column)) if "map<" in kind else column]
     return F.xxhash64(F.lit(seed), *fields)
 
 

@@ -54,15 +54,15 @@ def fingerprint(text: str | None, length: int = SHINGLE) -> int:
 
 
 def with_fingerprints(docs: DataFrame, length: int = SHINGLE, text: str = "text") -> DataFrame:
-    """(doc_id, row, fp): the fingerprint as a signed 64-bit number, and a hash of the whole row."""
-    narrow = docs.select("doc_id", row_key(docs).alias("row"), F.col(text).alias("text"))
+    """(doc_id, row, row2, fp): the fingerprint as a signed 64-bit number, and two hashes of the whole row."""
+    narrow = docs.select("doc_id", row_key(docs).alias("row"), row_key(docs, 1).alias("row2"), F.col(text).alias("text"))
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             found = np.fromiter((fingerprint(x, length) for x in texts_of(batch)), "<u8", batch.num_rows)
-            yield with_columns(batch.select(["doc_id", "row"]), {"fp": pa.array(found.view("<i8"))})
+            yield with_columns(batch.select(["doc_id", "row", "row2"]), {"fp": pa.array(found.view("<i8"))})
 
-    return narrow.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, row bigint, fp bigint")
+    return narrow.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, row bigint, row2 bigint, fp bigint")
 
 
 # --- Partitions and thresholds
@@ -266,14 +266,15 @@ def keep_one(docs: DataFrame, length: int = SHINGLE, distance: int = DISTANCE) -
     Of rows equal in every column one stays.
     """
     rows = stored(with_fingerprints(docs, length), "simhash")
-    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row", "row2")
     least = rows.groupBy("fp").agg(F.min(order).alias("least"))
     rooted = stored(groups(rows, distance).join(least, "fp"), "simhash-groups")
-    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.row")
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("row").alias("_kept_row"))
-    keyed = docs.withColumn("_row", row_key(docs))
-    same = (F.col("_row") == F.col("_kept_row")) & F.col("doc_id").eqNullSafe(F.col("_kept_id"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["_row", "doc_id"]).drop("_row")
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    kept = kept.select(F.col("least.row").alias("_row"), F.col("least.row2").alias("_row2"))
+    keyed = docs.withColumns({"_row": row_key(docs), "_row2": row_key(docs, 1)})
+    # Repeated rows share both hashes, so dropping them needs no shuffle beside the join's.
+    keys = ["_row", "_row2"]
+    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)
 
 
 def digest_columns(docs: DataFrame) -> DataFrame:
