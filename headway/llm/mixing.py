@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.common import row_key
+
 SEED = 20_240_601
 DIGITS = 13  # hexadecimal digits of the hash: numbers below 2 ** 52
 RANGE = 1 << 4 * DIGITS
@@ -82,7 +84,8 @@ def mix(
     number = F.explode(F.when(count > 0, F.sequence(F.lit(1), count)))
     copied = docs.select(*[F.col(f"`{name}`") for name in docs.columns], number.alias("_copy"))
     keyed = copied.withColumn("_mix_key", _hash(seed + 1, "doc_id", "_copy"))
-    ordered = keyed.orderBy("_mix_key", "doc_id", "_copy")
+    # Rows of one id differ in the last key only.
+    ordered = keyed.orderBy("_mix_key", "doc_id", "_copy", row_key(docs))
     if extra:
         return ordered.withColumnsRenamed({"_copy": "copy", "_mix_key": "mix_key"})
     return ordered.drop("_copy", "_mix_key")

@@ -80,7 +80,7 @@ def estimate(patterns: dict[str, int], rounds: int = ROUNDS) -> tuple[dict[str,
     """
     names = sorted(patterns)
     weight = np.array([patterns[name] for name in names], float)
-    seen = np.array([[[c == vote for vote in VOTES] for c in name] for name in names], float).reshape(len(names), -1, 3)
+    seen = np.array([[[c == vote for vote in VOTES] for c in name] for name in names], float).reshape(len(names), len(LIMITS), 3)
     balance = np.array([name.count("g") - 2 * name.count("b") for name in names], float)
     good = 1 / (1 + np.exp(-balance))
     tables = np.full((2, len(LIMITS), 3), 1 / 3)

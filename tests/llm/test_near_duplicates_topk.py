@@ -1,0 +1,196 @@
+"""SimHash groups, components and top-k search against brute force."""
+
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from headway.llm import simhash, topk
+from headway.llm.components import connected_components
+from headway.llm.queries import on_workers, op4_simhash, op5_topk
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module", autouse=True)
+def importable(spark):
+    on_workers(lambda session, folder: None)(spark, "")
+
+
+def brute_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_roots(values, distance):
+    parent = {v: v for v in values}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    ordered = sorted(values)
+    for i, a in enumerate(ordered):
+        for b in ordered[i + 1 :]:
+            if (a ^ b).bit_count() <= distance:
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {v: find(v) for v in values}
+
+
+@pytest.mark.parametrize("text", [None, "", " \t\n", "One", "ONE two", "É A b", "a b c", "x\x1cy z w v", "la la la la " * 50])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == brute_fingerprint(text)
+
+
+def partition_of(rows, key, value):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[value], set()).add(row[key])
+    return {frozenset(group) for group in groups.values()}
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2, 3])
+@pytest.mark.parametrize("crowded", [False, True])
+def test_links_equal_all_pairs(spark, monkeypatch, distance, crowded):
+    if crowded:
+        monkeypatch.setattr(simhash, "BUCKET", 3)
+    rng = random.Random(distance)
+    values = {rng.getrandbits(64) for _ in range(60)}
+    for base in list(values)[:12]:
+        for _ in range(8):
+            near = base
+            for bit in rng.sample(range(64), rng.randint(1, 4)):
+                near ^= 1 << bit
+            values.add(near)
+    table = spark.createDataFrame([(simhash._signed(v),) for v in values], "fp bigint")
+    found = simhash.groups(table, distance).collect()
+    roots = brute_roots(values, distance)
+    expected = {}
+    for value, root in roots.items():
+        expected.setdefault(root, set()).add(simhash._signed(value))
+    assert partition_of(found, "fp", "root") == {frozenset(group) for group in expected.values()}
+
+
+def test_plan_covers_every_difference():
+    rng = np.random.default_rng(1)
+    bits = rng.integers(0, 2, (500, 64)).astype(float)
+    bits[:, 1] = bits[:, 0]
+    for distance in range(5):
+        for number in (500, 10**6, 10**10):
+            plan = simhash.make_plan(bits.T @ bits * number / 500, number, distance)
+            assert sum(t + 1 for t in plan.thresholds) == distance + 1
+            assert not any(a & b for i, a in enumerate(plan.masks) for b in plan.masks[i + 1 :])
+
+
+def test_large_inputs_get_unequal_thresholds():
+    counts = np.full((64, 64), 0.25 * 10**10)
+    np.fill_diagonal(counts, 0.5 * 10**10)
+    assert len(set(simhash.make_plan(counts, 10**10, 2).thresholds)) > 1
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 60)] + [(5, 5), (None, 3)]
+    roots = {row["node"]: row["root"] for row in connected_components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
+    assert roots == {**{i: 0 for i in range(1, 201)}, **{1000 + i: 1000 for i in range(1, 60)}}
+    assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_near_duplicates_on_odd_rows(spark):
+    long = "alpha beta gamma delta " * 20_000
+    data = [(7, None, "x"), (3, "", "x"), (None, " ", "x"), (9, long, "y"), (9, long, "y"), (8, long, "z"), (None, "only here", "w")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, fp string")
+    found = {(row["doc_id"], row["component_id"]) for row in simhash.near_duplicates(docs).collect()}
+    assert found == {(7, 3), (3, 3), (None, 3), (9, 8), (8, 8), (None, None)}
+    kept = simhash.keep_one(docs)
+    assert kept.schema == docs.schema
+    assert {(row["doc_id"], row["fp"]) for row in kept.collect()} == {(3, "x"), (8, "z"), (None, "w")} and kept.count() == 3
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_repeated_rows_keep_one(spark):
+    docs = spark.createDataFrame([(1, "a b c d")] * 5 + [(None, "q r s t")] * 4, "doc_id bigint, text string")
+    assert sorted(row["text"] for row in simhash.keep_one(docs).collect()) == ["a b c d", "q r s t"]
+
+
+def test_op4_equals_brute_force(spark):
+    docs = {row["doc_id"]: brute_fingerprint(row["text"]) for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    roots = brute_roots(set(docs.values()), 2)
+    least = {}
+    for doc, value in docs.items():
+        least[roots[value]] = min(least.get(roots[value], doc), doc)
+    rows = op4_simhash(spark, SF_DIR).collect()
+    assert {row["doc_id"]: (row["fingerprint"], row["component_id"]) for row in rows} == {
+        doc: (f"{value:016x}", least[roots[value]]) for doc, value in docs.items()
+    }
+
+
+# --- Top-k
+
+
+def brute_top(rows, k=10, step=100):
+    vectors = []
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            vectors.append((i, [math.floor(1024 * x) for x in v]))
+    result = set()
+    for i, q in {i: v for i, v in sorted(vectors, key=lambda r: (r[0], r[1]), reverse=True)}.items():
+        if i % step == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in vectors if j != i)[:k]
+            result |= {(i, rank + 1, j, -s) for rank, (s, j) in enumerate(scored)}
+    return result
+
+
+def as_tuples(df):
+    return {tuple(row) for row in df.select("query_id", "rank", "vec_id", "score").collect()}
+
+
+@pytest.mark.parametrize("block", [7, 150, 4096])
+def test_top_k_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    monkeypatch.setattr(topk, "POSSIBLE", 4)
+    rng = random.Random(block)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(16)]) for i in range(500)]
+    same = [0.5, -0.25] * 8
+    rows += [(1000 + i, same) for i in range(160)]
+    rows += [(600, None), (601, []), (602, [math.nan] * 16), (603, [math.inf] * 16), (604, [None] * 16), (605, [0.5] * 3), (None, same)]
+    table = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id bigint, embedding array<float>, rank int")
+    assert as_tuples(topk.top_k(table)) == brute_top(
+        [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+    )
+
+
+def test_top_k_beyond_double_precision(spark):
+    rows = [(i, [float(2**20 + i), -float(2**19 - i)]) for i in range(0, 400, 7)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert as_tuples(topk.top_k(table)) == brute_top(rows)
+    assert topk.top_k(table.limit(0)).count() == 0
+
+
+def test_segments_are_skipped_on_proof():
+    rng = np.random.default_rng(5)
+    weights = np.floor(rng.normal(0, 40, (2000, 32)))
+    weights[:20] += 900 * np.sign(rng.normal(size=(20, 32)))
+    block = topk.Block(np.arange(2000), weights)
+    queries = weights[:3].copy()
+    full, stopped = block.best(queries, np.arange(3), 5), []
+    block.segments = [(p, r) for p, r in block.segments]
+    for i in range(3):
+        exact = weights @ queries[i]
+        exact[i] = -np.inf
+        stopped.append(set(np.argsort(-exact, kind="stable")[:5]))
+    assert [set(places) for places, _ in full] == stopped
+
+
+def test_op5_equals_brute_force(spark):
+    rows = [(row["vec_id"], row["embedding"]) for row in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
+    assert as_tuples(op5_topk(spark, SF_DIR)) == brute_top(rows)
