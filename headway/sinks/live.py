@@ -9,21 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.live import LiveView, live_entries, merge_live, visible
-from headway.storage import child_names, delete, exists
+from headway.storage import child_names, delete, exists, modified_at
 
 
 class LiveTable:
     """Each upsert writes one new version; a version counts once its ``_SUCCESS`` marker exists.
 
     Entries that have expired are left out of the next version, so its size follows the number of trips seen
-    within one lifetime and not the length of the stream. ``keep`` versions stay for readers that are under way.
+    within one lifetime and not the length of the stream. A version goes ``retain_seconds`` after a newer one
+    took its place, by the store's own clock; choose it not shorter than the longest read.
     """
 
-    def __init__(self, spark: SparkSession, path: str, view: LiveView, keep: int = 3):
+    def __init__(self, spark: SparkSession, path: str, view: LiveView, retain_seconds: float = 3600):
         self.spark = spark
         self.path = path
         self.view = view
-        self.keep = keep
+        self.retain_seconds = retain_seconds
 
     def _versions(self) -> list[int]:
         names = child_names(self.spark, self.path)
@@ -40,8 +41,14 @@ class LiveTable:
         merged = merge_live(entries, stored, now, self.view.ttl_seconds)
         version = versions[-1] + 1 if versions else 0
         merged.write.mode("overwrite").parquet(self._folder(version))
-        for old in [*versions, version][: -self.keep]:
-            delete(self.spark, self._folder(old))
+        self._forget([*versions, version])
+
+    def _forget(self, versions: list[int]) -> None:
+        """Delete the versions whose successor is older than the retention."""
+        written = [modified_at(self.spark, f"{self._folder(v)}/_SUCCESS") for v in versions]
+        for version, replaced in zip(versions, written[1:]):
+            if written[-1] - replaced > self.retain_seconds:
+                delete(self.spark, self._folder(version))
 
     def read(self, now: int | None = None) -> DataFrame:
         """Entries that are still alive at ``now``."""

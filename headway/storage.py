@@ -23,6 +23,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(location)]
 
 
+def modified_at(spark: SparkSession, path: str) -> float:
+    """Epoch seconds at which a file was last written, by the store's clock."""
+    fs, location = _locate(spark, path)
+    return fs.getFileStatus(location).getModificationTime() / 1000
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, location = _locate(spark, path)
     fs.delete(location, True)

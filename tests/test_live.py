@@ -34,13 +34,23 @@ def test_an_expired_row_is_forgotten_even_if_newer(spark, rows, tmp_path):
     assert shown(table.read(1122)) == [("delay:trip:t", 1, 9, 1241)]
 
 
+def test_a_reader_outlives_many_batches(spark, rows, tmp_path):
+    table = LiveTable(spark, str(tmp_path / "live"), DELAY_VIEW)
+    batch = live_entries(rows([("t", 10, 1, 5)], ROWS), DELAY_VIEW)
+    table.upsert(batch, 1000)
+    early = table.read(1000)
+    for _ in range(11):
+        table.upsert(batch, 1000)
+    assert shown(early) == shown(table.read(1000))
+
+
 def test_repeating_a_batch_and_old_versions(spark, rows, tmp_path):
-    table = LiveTable(spark, str(tmp_path / "live"), DELAY_VIEW, keep=2)
+    table = LiveTable(spark, str(tmp_path / "live"), DELAY_VIEW, retain_seconds=-1)
     batch = live_entries(rows([("t", 10, 1, 5)], ROWS), DELAY_VIEW)
     for _ in range(5):
         table.upsert(batch, 1000)
     assert shown(table.read(1000)) == [("delay:trip:t", 1, 5, 1120)]
-    assert sorted(p.name for p in (tmp_path / "live").iterdir()) == ["version=3", "version=4"]
+    assert sorted(p.name for p in (tmp_path / "live").iterdir()) == ["version=4"]
 
 
 def test_an_unfinished_version_is_ignored(spark, rows, tmp_path):
