@@ -12,14 +12,9 @@ from headway.functions import EVENT_PARTITIONS
 def gather_hours(df: DataFrame) -> DataFrame:
     """Bring the rows of an hour together, so that a write makes few files per hour instead of one per task.
 
-    Adaptive execution splits an hour that is too large for one task; without it, rows stay where they are.
+    Adaptive execution, which ``configure`` turns on for batches and streams, splits an hour that is too large for
+    one task.
     """
-    conf = df.sparkSession.conf
-    adaptive = ["spark.sql.adaptive.enabled"]
-    if df.isStreaming:
-        adaptive.append("spark.sql.adaptive.streaming.stateless.enabled")
-    if not all(conf.get(name) == "true" for name in adaptive):
-        return df
     return df.hint("rebalance", *EVENT_PARTITIONS)
 
 

@@ -20,21 +20,10 @@ SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
 }
 
-# Columns whose hash spreads a table over the cores when its file has too few splits to do so.
-SPREAD_BY = {"lineitem": ("l_orderkey", "l_linenumber", "l_partkey"), "events": ("event_id",)}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables.
-
-    A test-size table is one file with one row group, which a single task would read and carry through every
-    narrow step. It is spread over the cores; a table with enough splits of its own is left alone.
-    """
-    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, *SPREAD_BY[name])
-    return df
+    """One of the driver's tables."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
