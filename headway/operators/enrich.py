@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 from headway.sources.static import read_static
 
 
-def join_static(realtime: DataFrame, static: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join on same-named keys: all realtime columns, then the static columns they do not already have.
+def join_static(
+    realtime: DataFrame, static: DataFrame, keys: Sequence[str], how: str = "left", suffix: str | None = None
+) -> DataFrame:
+    """Realtime columns, then the static ones, of rows that agree in the ``keys``.
 
-    No broadcast is forced: Spark picks it from the static side's measured size, and otherwise shuffles with
-    adaptive splitting of hot keys. Duplicate static keys multiply realtime rows, as in any join.
+    A static column that realtime has as well gets ``suffix``; without one it is an error. No broadcast is forced:
+    Spark picks it from the static side's measured size, and otherwise shuffles with adaptive splitting of hot keys.
+    Duplicate static keys multiply realtime rows, as in any join.
     """
-    have = set(realtime.columns)
-    added = [name for name in static.columns if name not in have]
-    condition = F.expr(" AND ".join(f"rt.`{key}` = st.`{key}`" for key in keys))
-    joined = realtime.alias("rt").join(static.alias("st"), condition, how)
-    return joined.selectExpr("rt.*", *(f"st.`{name}`" for name in added))
+    shared = sorted(set(realtime.columns) & set(static.columns) - set(keys))
+    if shared and suffix is None:
+        raise ValueError(f"both sides have {shared}; give a suffix for the static ones")
+    named = static.withColumnsRenamed({name: f"{name}{suffix}" for name in shared})
+    added = [name for name in named.columns if name not in keys]
+    return realtime.join(named, list(keys), how).select(*realtime.columns, *added)
 
 
 def join_schedule(
@@ -36,18 +40,19 @@ def join_schedule(
 
 def with_effective_time(df: DataFrame) -> DataFrame:
     """Arrival time, else departure time, and which of the two it is."""
-    return df.selectExpr(
+    arrival, departure = F.col("stop_arrival_time"), F.col("stop_departure_time")
+    method = F.when(arrival.isNotNull(), "arrival").when(departure.isNotNull(), "departure")
+    return df.select(
         "*",
-        "coalesce(stop_arrival_time, stop_departure_time) AS effective_stop_time",
-        "CASE WHEN stop_arrival_time IS NOT NULL THEN 'arrival'"
-        " WHEN stop_departure_time IS NOT NULL THEN 'departure' END AS effective_stop_time_calculation_method",
+        F.coalesce(arrival, departure).alias("effective_stop_time"),
+        method.alias("effective_stop_time_calculation_method"),
     )
 
 
 def with_resolved_names(df: DataFrame) -> DataFrame:
     """Display names with their fallbacks."""
-    return df.selectExpr(
+    return df.select(
         "*",
-        "coalesce(route_short_name, route_long_name, route_id, 'UNKNOWN_ROUTE') AS resolved_route_name",
-        "coalesce(trip_headsign, 'UNKNOWN_DESTINATION') AS resolved_headsign",
+        F.coalesce("route_short_name", "route_long_name", "route_id", F.lit("UNKNOWN_ROUTE")).alias("resolved_route_name"),
+        F.coalesce("trip_headsign", F.lit("UNKNOWN_DESTINATION")).alias("resolved_headsign"),
     )

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headway.operators.feeds import trip_update_messages, union_feeds, vehicle_messages
 from headway.schemas import FEED_SNAPSHOT
-from headway.sources.topics import ReadMode
 
 VEHICLE_POSITIONS = "vehicle_positions"
 TRIP_UPDATES = "trip_updates"
@@ -36,12 +35,16 @@ FEEDS = tuple(
 _MESSAGES = {VEHICLE_POSITIONS: vehicle_messages, TRIP_UPDATES: trip_update_messages}
 
 
-def read_feeds(spark: SparkSession, base: str, topic: str, mode: ReadMode = ReadMode.STREAM) -> DataFrame:
-    """Decoded snapshots of every mode that feeds ``topic``, merged and tagged with their mode."""
-    reader = spark.read if mode is ReadMode.BATCH else spark.readStream
-    return union_feeds(
-        {feed.mode: reader.schema(FEED_SNAPSHOT).parquet(feed.path(base)) for feed in FEEDS if feed.topic == topic}
-    )
+def read_feeds(spark: SparkSession, base: str, topic: str) -> DataFrame:
+    """Landed snapshots of every mode that feeds ``topic``, merged and tagged with their mode."""
+    landed = spark.read.schema(FEED_SNAPSHOT)
+    return union_feeds({feed.mode: landed.parquet(feed.path(base)) for feed in FEEDS if feed.topic == topic})
+
+
+def stream_feeds(spark: SparkSession, base: str, topic: str) -> DataFrame:
+    """The same as a stream of the snapshots as they land."""
+    landing = spark.readStream.schema(FEED_SNAPSHOT)
+    return union_feeds({feed.mode: landing.parquet(feed.path(base)) for feed in FEEDS if feed.topic == topic})
 
 
 def feed_messages(snapshots: DataFrame, topic: str) -> DataFrame:

@@ -33,18 +33,34 @@ NUMERIC_COLUMNS = {
 }
 
 
+# Endings of the names of text columns, whatever type a directory stores them in.
+_TEXT_ENDINGS = ("_id", "_name", "_headsign", "_time")
+
+
+def declared_types(df: DataFrame) -> DataFrame:
+    """Published columns in their declared types: numbers where they are ones (else NULL), ids and names as text."""
+    typed = {}
+    for name, kind in df.dtypes:
+        if name in NUMERIC_COLUMNS and kind != NUMERIC_COLUMNS[name]:
+            typed[name] = F.col(name).try_cast(NUMERIC_COLUMNS[name])
+        elif name not in NUMERIC_COLUMNS and name.endswith(_TEXT_ENDINGS) and kind != "string":
+            typed[name] = F.col(name).cast("string")
+    return df.withColumns(typed) if typed else df
+
+
 def read_static(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Union Parquet directories by name; a column that some directories lack is NULL for their rows."""
     return union_static([spark.read.parquet(path) for path in paths], columns)
 
 
 def union_static(tables: Sequence[DataFrame], columns: Sequence[str] | None = None) -> DataFrame:
-    """UNION ALL by name. With ``columns`` each table is first narrowed to those of them it has."""
+    """UNION ALL by name, in declared types. With ``columns`` each table is first narrowed to those of them it has."""
     if columns:
         missing = [c for c in columns if not any(c in t.columns for t in tables)]
         if missing:
             raise ValueError(f"no table has {missing}")
         tables = [t.select(*(c for c in columns if c in t.columns)) for t in tables]
+    tables = [declared_types(t) for t in tables]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     return union.select(*columns) if columns else union
 

@@ -22,7 +22,7 @@ from headway.sinks.live import start_live
 from headway.sinks.tables import start_silver
 from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS
 from headway.sources.static import read_static
-from headway.sources.topics import read_topic
+from headway.sources.topics import stream_topic
 
 
 def start_trip_updates(
@@ -36,7 +36,7 @@ def start_trip_updates(
 
     ``records`` replaces the Kafka topic (a replay, say); ``trigger`` replaces both sinks' own triggers.
     """
-    records = records or read_topic(spark, TRIP_UPDATES, config.kafka_bootstrap_servers)
+    records = records or stream_topic(spark, TRIP_UPDATES, config.kafka_bootstrap_servers)
     stop_times = read_static(spark, config.static_paths("stop_times"), STOP_TIME_COLUMNS)
     updates = silver_trip_updates(records, stop_times, config.timezone)
     return _start_sinks(config, TRIP_UPDATES, updates, updates, DELAY_VIEW, trigger, clock)
@@ -50,7 +50,7 @@ def start_vehicle_positions(
     clock: Callable[[], int] | None = None,
 ) -> list[StreamingQuery]:
     """Vehicle positions: silver rows as received, and the live view with route and trip names."""
-    records = records or read_topic(spark, VEHICLE_POSITIONS, config.kafka_bootstrap_servers)
+    records = records or stream_topic(spark, VEHICLE_POSITIONS, config.kafka_bootstrap_servers)
     positions = silver_vehicle_positions(records)
     routes = read_static(spark, config.static_paths("routes"), ROUTE_COLUMNS)
     trips = read_static(spark, config.static_paths("trips"), TRIP_COLUMNS)

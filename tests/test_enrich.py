@@ -58,9 +58,23 @@ def test_duplicate_schedule_rows_multiply_realtime_rows(rows):
 def test_static_join_keeps_realtime_rows_and_columns(rows):
     realtime = rows([("r1", "x"), ("r2", "y"), (None, "z")], "route_id string, name string")
     static = rows([("r1", "other", "short"), (None, "other", "null")], "route_id string, name string, extra string")
-    got = join_static(realtime, static, ["route_id"])
-    assert got.columns == ["route_id", "name", "extra"]
-    assert sorted((r.name, r.extra) for r in got.collect()) == [("x", "short"), ("y", None), ("z", None)]
+    got = join_static(realtime, static, ["route_id"], suffix="_static")
+    assert got.columns == ["route_id", "name", "name_static", "extra"]
+    assert sorted((r.name, r.name_static, r.extra) for r in got.collect()) == [
+        ("x", "other", "short"),
+        ("y", None, None),
+        ("z", None, None),
+    ]
+    with pytest.raises(ValueError, match="name"):
+        join_static(realtime, static, ["route_id"])
+
+
+def test_modes_with_different_id_types_are_united(rows):
+    numbers = rows([(1, "7", 2)], "trip_id bigint, stop_sequence string, direction_id int")
+    texts = rows([("A-1", 3), (None, None)], "trip_id string, stop_sequence int")
+    got = union_static([numbers, texts], ["trip_id", "stop_sequence"])
+    assert dict(got.dtypes) == {"trip_id": "string", "stop_sequence": "int"}
+    assert {tuple(r) for r in got.collect()} == {("1", 7), ("A-1", 3), (None, None)}
 
 
 def test_schedule_directories_are_pruned_and_united(spark, rows, tmp_path):

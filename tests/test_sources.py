@@ -6,25 +6,25 @@ from headway.config import JobConfig, parse_flag
 from headway.session import shared_dir
 from headway.sources.feeds import FEEDS, TRIP_UPDATES
 from headway.sources.static import load_published_tables, read_gtfs_csv, read_snapshots
-from headway.sources.topics import ReadMode, kafka_options, replay_topic
+from headway.sources.topics import batch_options, recorded_topic, replay_topic, stream_options
 
 
 def test_kafka_options():
-    stream = kafka_options("trip_updates", "host:9092")
+    stream = stream_options("trip_updates", "host:9092")
     assert stream == {
         "kafka.bootstrap.servers": "host:9092",
         "subscribe": "trip_updates",
         "startingOffsets": "latest",
         "failOnDataLoss": "false",
     }
-    batch = kafka_options("t", "h", ReadMode.BATCH, minPartitions="64")
+    batch = batch_options("t", "h", minPartitions="64")
     assert batch["startingOffsets"] == "earliest" and batch["minPartitions"] == "64"
 
 
 def test_replay_has_the_topic_columns(spark, rows, tmp_path):
     rows([(bytearray(b"{}"),)], "value binary").write.parquet(str(tmp_path / "t"))
     columns = ["key", "value", "topic", "partition", "offset", "timestamp"]
-    assert replay_topic(spark, str(tmp_path / "t"), ReadMode.BATCH).columns == columns
+    assert recorded_topic(spark, str(tmp_path / "t")).columns == columns
     assert replay_topic(spark, str(tmp_path / "t")).isStreaming
 
 
