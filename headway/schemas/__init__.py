@@ -89,6 +89,43 @@ SILVER_TRIP_UPDATES = fields(
     hour=INT,
 )
 
+# Where in a trip-update message the silver columns come from, and where in one of its stop updates.
+TRIP_UPDATE_SOURCES = {
+    "mode": "mode",
+    "gtfs_realtime_version": "header.gtfs_realtime_version",
+    "source_timestamp": "header.timestamp",
+    "entity_id": "entity_id",
+    "trip_id": "trip_update.trip.trip_id",
+    "route_id": "trip_update.trip.route_id",
+    "start_time": "trip_update.trip.start_time",
+    "start_date": "trip_update.trip.start_date",
+    "trip_schedule_relationship": "trip_update.trip.schedule_relationship",
+}
+STOP_UPDATE_SOURCES = {
+    "stop_sequence": "stop_sequence",
+    "stop_id": "stop_id",
+    "stop_arrival_time": "arrival.time",
+    "stop_departure_time": "departure.time",
+    "schedule_relationship": "schedule_relationship",
+}
+
+# Where in a vehicle message the silver columns come from.
+VEHICLE_POSITION_SOURCES = {
+    "mode": "mode",
+    "gtfs_realtime_version": "header.gtfs_realtime_version",
+    "source_timestamp": "header.timestamp",
+    "entity_id": "entity_id",
+    "trip_id": "vehicle.trip.trip_id",
+    "route_id": "vehicle.trip.route_id",
+    "start_time": "vehicle.trip.start_time",
+    "start_date": "vehicle.trip.start_date",
+    "vehicle_id": "vehicle.vehicle.vehicle_id",
+    "label": "vehicle.vehicle.label",
+    "latitude": "vehicle.position.latitude",
+    "longitude": "vehicle.position.longitude",
+    "position_timestamp": "vehicle.timestamp",
+}
+
 # The silver table of vehicle positions; the service date stays text.
 SILVER_VEHICLE_POSITIONS = fields(
     mode=TEXT,
