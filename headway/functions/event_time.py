@@ -19,15 +19,15 @@ def with_event_parts(df: DataFrame, epoch: str = "source_timestamp") -> DataFram
 
     Pure arithmetic, so the partition a row lands in never depends on the session time zone.
     """
-    seconds = f"CASE WHEN {epoch} BETWEEN {_FIRST_SECOND} AND {_LAST_SECOND} THEN {epoch} END"
-    date = f"date_from_unix_date(CAST(floor(({seconds}) / 86400) AS INT))"
-    return df.selectExpr(
+    seconds = F.when(F.col(epoch).between(_FIRST_SECOND, _LAST_SECOND), F.col(epoch))
+    date = F.date_from_unix_date(F.floor(seconds / 86400).cast("int"))
+    return df.select(
         "*",
-        f"timestamp_seconds({seconds}) AS event_ts",
-        f"year({date}) AS year",
-        f"month({date}) AS month",
-        f"dayofmonth({date}) AS day",
-        f"CAST(pmod({seconds}, 86400) DIV 3600 AS INT) AS hour",
+        F.timestamp_seconds(seconds).alias("event_ts"),
+        F.year(date).alias("year"),
+        F.month(date).alias("month"),
+        F.dayofmonth(date).alias("day"),
+        F.floor(F.pmod(seconds, F.lit(86400)) / 3600).cast("int").alias("hour"),
     )
 
 
@@ -37,6 +37,11 @@ def from_hour(epoch: int) -> Column:
     Spark cannot derive it from a bound on the timestamp itself. Written on the partition columns it selects
     directories before anything is read.
     """
+    bound = F.struct(*(F.lit(value).alias(name) for name, value in zip(EVENT_PARTITIONS, hour_of(epoch))))
+    return F.struct(*EVENT_PARTITIONS) >= bound
+
+
+def hour_of(epoch: int) -> tuple[int, ...]:
+    """Year, month, day and hour of an instant in UTC."""
     at = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=epoch)
-    bound = ", ".join(f"'{name}', {getattr(at, name)}" for name in EVENT_PARTITIONS)
-    return F.expr(f"struct({', '.join(EVENT_PARTITIONS)}) >= named_struct({bound})")
+    return tuple(getattr(at, name) for name in EVENT_PARTITIONS)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.functions import EVENT_PARTITIONS, from_hour
+from headway.functions import EVENT_PARTITIONS, from_hour, hour_of
 from headway.operators.latest import latest_by
 from headway.storage import child_names, delete, exists
 
@@ -16,12 +17,14 @@ from headway.storage import child_names, delete, exists
 class UpsertSpec:
     """Which columns identify a row, which epoch-second column orders versions, and what breaks ties.
 
-    The table's hour partitions must derive from ``mark``.
+    The table's hour partitions must derive from ``mark``. Rows up to ``late_seconds`` older than the stored mark are
+    still taken in; the stored hours they may fall into are read back with them.
     """
 
     keys: tuple[str, ...]
     mark: str = "source_timestamp"
     ties: tuple[str, ...] | None = None
+    late_seconds: int = 0
 
 
 def max_mark(table: DataFrame, column: str = "source_timestamp") -> DataFrame:
@@ -36,6 +39,11 @@ def rows_after(source: DataFrame, mark: int | None, column: str = "source_timest
     return source.filter(from_hour(mark) & (F.col(column) > mark))
 
 
+def dated(source: DataFrame) -> DataFrame:
+    """Rows that have an event hour. Others, whose clock is missing or out of range, belong to no partition."""
+    return source.filter(F.col(EVENT_PARTITIONS[-1]).isNotNull())
+
+
 def append_columns(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     """Union by name; columns that only one side has are NULL for the other."""
     return stored.unionByName(fresh, allowMissingColumns=True)
@@ -44,7 +52,8 @@ def append_columns(stored: DataFrame, fresh: DataFrame) -> DataFrame:
 def newest_hour(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame | None:
     """The rows of the newest hour partition, or None for a table without one.
 
-    For Parquet the hour is found by listing one directory per partition level, not by scanning the table.
+    For Parquet the hour is found by listing one directory per partition level, not by scanning the table. Folders
+    that hold no files are passed over.
     """
     if table_format != "parquet":
         if not exists(spark, path):
@@ -52,15 +61,34 @@ def newest_hour(spark: SparkSession, path: str, table_format: str = "parquet") -
         table = spark.read.format(table_format).load(path)
         newest = table.agg(F.max(F.struct(*EVENT_PARTITIONS)).alias("p")).select("p.*").first()
         return table.filter(F.struct(*EVENT_PARTITIONS) == F.struct(*(F.lit(v) for v in newest)))
-    folder = path
-    for level in EVENT_PARTITIONS:
-        prefix = f"{level}="
-        values = [name.removeprefix(prefix) for name in child_names(spark, folder) if name.startswith(prefix)]
-        numbers = [int(value) for value in values if value.isdigit()]
-        if not numbers:
-            return None
-        folder = f"{folder}/{prefix}{max(numbers)}"
-    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(folder)
+    folder = next(hour_folders(spark, path), None)
+    return None if folder is None else _read_hours(spark, path, [folder])
+
+
+def hour_folders(spark: SparkSession, path: str, first: tuple[int, ...] = (), levels=EVENT_PARTITIONS) -> Iterator[str]:
+    """Hour folders that hold files, newest first; ``first`` is the oldest hour (year to hour) to look at."""
+    if not levels:
+        if any(name.endswith(".parquet") for name in child_names(spark, path)):
+            yield path
+        return
+    prefix = f"{levels[0]}="
+    values = [name.removeprefix(prefix) for name in child_names(spark, path) if name.startswith(prefix)]
+    for number in sorted((int(value) for value in values if value.isdigit()), reverse=True):
+        if first and number < first[0]:
+            return
+        # Only below the oldest year (month, day) is there more to compare.
+        below = first[1:] if first and number == first[0] else ()
+        yield from hour_folders(spark, f"{path}/{prefix}{number}", below, levels[1:])
+
+
+def _read_hours(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*folders)
+
+
+def hours_from(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
+    """The rows of a Parquet table in the hour of ``epoch`` and later; opens the files of those hours only."""
+    folders = list(hour_folders(spark, path, hour_of(epoch)))
+    return _read_hours(spark, path, folders) if folders else None
 
 
 def upsert_latest(
@@ -70,7 +98,8 @@ def upsert_latest(
 
     A new row replaces the stored row of the same key. New rows lie in the mark's hour or later and stored rows
     in that hour or earlier, so only that one hour is read back and only touched hours are overwritten. Late
-    rows at or below the mark are skipped.
+    rows at or below the mark are skipped, unless ``late_seconds`` moves the mark back. Rows without an event hour
+    are never stored.
 
     Replacing Parquet partitions is not atomic. The result is therefore written to ``{target}_staging`` first;
     a run that finds a complete staging table left by a lost driver publishes it before anything else.
@@ -80,7 +109,11 @@ def upsert_latest(
         _publish(spark, staging, target, table_format)
     stored = newest_hour(spark, target, table_format)
     mark = None if stored is None else max_mark(stored, spec.mark).first()[0]
-    fresh = rows_after(source, mark, spec.mark)
+    if mark is not None and spec.late_seconds:
+        mark -= spec.late_seconds
+        whole = spark.read.format(table_format).load(target) if table_format != "parquet" else None
+        stored = hours_from(spark, target, mark) if whole is None else whole.filter(from_hour(mark))
+    fresh = rows_after(dated(source), mark, spec.mark)
     merged = fresh if mark is None else append_columns(stored, fresh)
     newest = latest_by(merged, spec.keys, [spec.mark], spec.ties)
     if table_format == "parquet":

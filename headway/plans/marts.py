@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from headway.functions import EVENT_PARTITIONS
 from headway.operators.enrich import join_static
-from headway.operators.incremental import UpsertSpec, upsert_latest
+from headway.operators.incremental import UpsertSpec, dated, hours_from, max_mark, newest_hour, upsert_latest
 from headway.operators.latest import latest_by
 from headway.schemas import SILVER_TRIP_UPDATES
 from headway.sinks.tables import read_table, rebuild_table
@@ -24,8 +24,8 @@ DEDUP = UpsertSpec(keys=DEDUP_KEYS)
 
 
 def dedup_latest(updates: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
-    """The newest prediction for each stop of a trip within each event hour."""
-    return latest_by(updates, DEDUP_KEYS, ["source_timestamp"], ties)
+    """The newest prediction for each stop of a trip within each event hour; rows without an hour are left out."""
+    return latest_by(dated(updates), DEDUP_KEYS, ["source_timestamp"], ties)
 
 
 def latest_version(dimension: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -76,20 +76,33 @@ def _look_up(facts: DataFrame, dimension: DataFrame, key: str, columns: list[str
     return join_static(facts, current, [key, "mode"])
 
 
+def _grown_schema(spark: SparkSession, silver_path: str, deduped_path: str, table_format: str) -> StructType:
+    """The declared silver columns, and those the silver files of the hours that are still to be read have besides.
+
+    The first run, which reads everything, looks at the newest hour: columns are only ever added.
+    """
+    if table_format != "parquet":
+        return SILVER_TRIP_UPDATES  # such a table keeps its own schema, which a read takes as it is
+    stored = newest_hour(spark, deduped_path)
+    mark = None if stored is None else max_mark(stored, DEDUP.mark).first()[0]
+    unread = newest_hour(spark, silver_path) if mark is None else hours_from(spark, silver_path, mark - DEDUP.late_seconds)
+    found = [] if unread is None else unread.schema.fields
+    return StructType([*SILVER_TRIP_UPDATES.fields, *(f for f in found if f.name not in SILVER_TRIP_UPDATES.names)])
+
+
 def refresh_marts(
     spark: SparkSession,
     silver_path: str,
     static_path: str,
     target_path: str,
     table_format: str = "parquet",
-    silver_schema: StructType | None = SILVER_TRIP_UPDATES,
 ) -> None:
     """Fold new silver rows into the deduplicated table and rebuild both marts from it.
 
-    When silver has gained columns, give its new schema, or None to merge the schemas of all its files.
+    Columns that silver has gained go with them: they are looked for in the files of the hours to be read.
     """
     deduped_path = f"{target_path}/trip_updates_deduped"
-    silver = read_table(spark, silver_path, table_format, silver_schema)
+    silver = read_table(spark, silver_path, table_format, _grown_schema(spark, silver_path, deduped_path, table_format))
     upsert_latest(spark, silver, deduped_path, DEDUP, table_format)
     deduped = read_table(spark, deduped_path, table_format, SILVER_TRIP_UPDATES)
 

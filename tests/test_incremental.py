@@ -53,11 +53,23 @@ def test_new_columns_are_appended(spark, rows, tmp_path):
     assert sorted(tuple(r) for r in got) == [("a", 3, "x"), ("b", 2, None), ("c", 1, None)]
 
 
-def test_rows_without_a_usable_time_are_kept_but_set_no_mark(spark, rows, tmp_path):
-    target = str(tmp_path / "t")
-    upsert_latest(spark, silver(rows, [("a", HOUR, 1), ("x", 9_000_000_000_000_000, 2)]), target, SPEC)
-    assert upsert_latest(spark, silver(rows, [("b", HOUR + 1, 3)]), target, SPEC) == HOUR
-    assert {r.trip_id for r in read_table(spark, target).collect()} == {"a", "b", "x"}
+def test_incremental_equals_full_with_unusable_clocks_and_late_rows(spark, rows, tmp_path):
+    early = [("a", HOUR, 1), ("x", 9_000_000_000_000_000, 2), ("y", None, 2), ("z", None, 9)]
+    late = [("b", HOUR + 1, 3), ("w", 9_000_000_000_000_000, 2), ("y", None, 5), ("c", HOUR - 4000, 6), ("a", HOUR - 20, 7)]
+    whole, parts = str(tmp_path / "whole"), str(tmp_path / "parts")
+    spec = UpsertSpec(keys=SPEC.keys, late_seconds=7200)
+    upsert_latest(spark, silver(rows, early + late), whole, spec)
+    upsert_latest(spark, silver(rows, early), parts, spec)
+    assert upsert_latest(spark, silver(rows, late), parts, spec) == HOUR - 7200
+    assert contents(spark, parts) == contents(spark, whole)
+    assert {row[0] for row in contents(spark, parts)} == {"a", "b", "c"}
+
+
+def test_empty_hour_folders_are_passed_over(spark, rows, tmp_path):
+    target = tmp_path / "t"
+    upsert_latest(spark, silver(rows, [("a", HOUR, 1)]), str(target), SPEC)
+    (target / "year=2024" / "month=2" / "day=1").mkdir(parents=True)
+    assert newest_hour(spark, str(target)).count() == 1
 
 
 def test_a_lost_driver_between_staging_and_publishing(spark, rows, tmp_path, monkeypatch):

@@ -295,6 +295,11 @@ _ORACLES = {
     "live_vehicle_stream": _LIVE_VEHICLE,
     "dedup_latest": "SELECT * FROM deduped_all_ties",
     "incremental_dedup": "SELECT * FROM deduped_all_ties",
+    "late_rows": "SELECT * FROM deduped_all_ties",
+    "schema_growth_refresh": f"""
+        SELECT {_KEYS}, source_timestamp,
+               CASE WHEN source_timestamp > {SPLIT} AND stop_id IS NOT NULL THEN TRUE END AS noted
+        FROM deduped_all_ties""",
     "high_water_mark": "SELECT max(source_timestamp) AS source_timestamp FROM flat_silver",
     "stop_hourly": _stop_hourly("deduped"),
     "stop_hourly_refresh": _stop_hourly("deduped_all_ties"),

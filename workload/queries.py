@@ -22,7 +22,7 @@ from headway.sinks.live import LiveTable
 from headway.sinks.tables import append_silver, read_table
 from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS, feed_messages, read_feeds
 from headway.sources.static import append_snapshot, load_published_tables, read_snapshots, read_static
-from headway.sources.topics import ReadMode, replay_topic
+from headway.sources.topics import replay_topic
 from headway.streaming.jobs import start_trip_updates, start_vehicle_positions
 from workload import fixtures as fx
 
@@ -160,7 +160,7 @@ def feed_union(spark, sf_dir):
     snapshots = fx.trip_snapshots(spark, sf_dir)
     for mode in MODES:
         snapshots.filter(F.col("mode") == mode).drop("mode").write.parquet(f"{base}/{mode}/{TRIP_UPDATES}")
-    merged = read_feeds(spark, base, TRIP_UPDATES, ReadMode.BATCH)
+    merged = read_feeds(spark, base, TRIP_UPDATES)
     return merged.select(
         "mode",
         F.col("header.timestamp").alias("source_timestamp"),
@@ -395,6 +395,22 @@ def incremental_dedup(spark, sf_dir):
     return _epoch(_two_runs(spark, sf_dir, marts.DEDUP), "event_ts")
 
 
+@query
+def late_rows(spark, sf_dir):
+    """Two runs, of which the second finds rows up to three days older than the mark of the first."""
+    base = fresh_dir(spark, "late")
+    landed, target = f"{base}/silver", f"{base}/deduped"
+    updates = fx.silver_updates(spark, sf_dir)
+    clock, days = F.col("source_timestamp"), 3 * 86400
+    late = (clock > SPLIT) | (clock > SPLIT - days) & (F.col("stop_sequence") == 2)
+    spec = UpsertSpec(keys=marts.DEDUP_KEYS, late_seconds=days)
+    append_silver(updates.filter(~late), landed)
+    upsert_latest(spark, read_table(spark, landed), target, spec)
+    append_silver(updates.filter(late), landed)
+    upsert_latest(spark, read_table(spark, landed), target, spec)
+    return _epoch(read_table(spark, target), "event_ts")
+
+
 @query
 def schema_append(spark, sf_dir):
     column = "effective_stop_time_calculation_method"
@@ -402,15 +418,33 @@ def schema_append(spark, sf_dir):
     return _two_runs(spark, sf_dir, spec, column).select(*marts.DEDUP_KEYS, "source_timestamp", column)
 
 
-def _refreshed(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both marts built from stored tables: silver, versioned dimensions, deduplicated table."""
-    base = fresh_dir(spark, "marts")
-    append_silver(_batch_trip_updates(spark, sf_dir), f"{base}/silver")
+def _store_dimensions(spark, sf_dir, base: str) -> None:
     for name, dimension in {"stops": fx.stops, "trips": fx.trips, "routes": fx.routes}.items():
         tagged = dimension(spark, sf_dir).withColumns(
             {"transport_mode": F.lit("bus"), "valid_from": F.to_date("ingested_at")}
         )
         append_snapshot(tagged, f"{base}/static/{name}")
+
+
+@query
+def schema_growth_refresh(spark, sf_dir):
+    """Silver gains a column between two refreshes of the marts; the deduplicated table has it from then on."""
+    base = fresh_dir(spark, "growth")
+    _store_dimensions(spark, sf_dir, base)
+    updates = fx.silver_updates(spark, sf_dir)
+    for grown in (False, True):
+        rows = updates.filter((F.col("source_timestamp") > SPLIT) == grown)
+        append_silver(rows.withColumn("note", F.col("stop_id")) if grown else rows, f"{base}/silver")
+        marts.refresh_marts(spark, f"{base}/silver", f"{base}/static", f"{base}/gold")
+    stored = read_table(spark, f"{base}/gold/trip_updates_deduped")
+    return stored.select(*marts.DEDUP_KEYS, "source_timestamp", (F.col("note") == F.col("stop_id")).alias("noted"))
+
+
+def _refreshed(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both marts built from stored tables: silver, versioned dimensions, deduplicated table."""
+    base = fresh_dir(spark, "marts")
+    append_silver(_batch_trip_updates(spark, sf_dir), f"{base}/silver")
+    _store_dimensions(spark, sf_dir, base)
     marts.refresh_marts(spark, f"{base}/silver", f"{base}/static", f"{base}/gold")
     return read_table(spark, f"{base}/gold/{table}")
 
