@@ -20,10 +20,20 @@ SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
 }
 
+# Columns whose hash spreads a table evenly.
+SPREAD_BY = {"lineitem": ("l_orderkey", "l_linenumber", "l_partkey"), "events": ("event_id",)}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables."""
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    """One of the driver's tables.
+
+    The large ones are single files that one task would read and carry through every narrow step. They are spread over
+    the session's shuffle partitions, at every size alike.
+    """
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    if name not in SPREAD_BY:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *SPREAD_BY[name])
 
 
 def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
