@@ -1,4 +1,4 @@
-from headway.functions.event_time import EVENT_PARTITIONS, from_hour, hour_of, with_event_parts
+from headway.functions.event_time import EVENT_PARTITIONS, epoch_of, from_hour, hour_of, with_event_parts
 from headway.functions.service_time import (
     is_service_time,
     local_epoch,
@@ -9,6 +9,7 @@ from headway.functions.service_time import (
 
 __all__ = [
     "EVENT_PARTITIONS",
+    "epoch_of",
     "from_hour",
     "is_service_time",
     "local_epoch",

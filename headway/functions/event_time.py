@@ -45,3 +45,8 @@ def hour_of(epoch: int) -> tuple[int, ...]:
     """Year, month, day and hour of an instant in UTC."""
     at = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=epoch)
     return tuple(getattr(at, name) for name in EVENT_PARTITIONS)
+
+
+def epoch_of(hour: tuple[int, ...]) -> int:
+    """The first second of an hour given as year, month, day and hour in UTC."""
+    return int((dt.datetime(*hour) - dt.datetime(1970, 1, 1)).total_seconds())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import EVENT_PARTITIONS, from_hour, hour_of
 from headway.operators.latest import latest_by
-from headway.storage import child_names, delete, exists
+from headway.storage import child_names, delete, exists, make_dir, move
 
 
 @dataclass(frozen=True)
@@ -101,13 +101,9 @@ def upsert_latest(
     rows at or below the mark are skipped, unless ``late_seconds`` moves the mark back. Rows without an event hour
     are never stored.
 
-    Replacing Parquet partitions is not atomic. The result is therefore written to ``{target}_staging`` first;
-    a run that finds a complete staging table left by a lost driver publishes it before anything else.
+    A lost driver loses nothing: see ``replace_hours``.
     """
-    staging = f"{target}_staging"
-    if exists(spark, f"{staging}/_SUCCESS"):
-        _publish(spark, staging, target, table_format)
-    stored = newest_hour(spark, target, table_format)
+    stored = stored_hour(spark, target, table_format)
     mark = None if stored is None else max_mark(stored, spec.mark).first()[0]
     if mark is not None and spec.late_seconds:
         mark -= spec.late_seconds
@@ -116,14 +112,36 @@ def upsert_latest(
     fresh = rows_after(dated(source), mark, spec.mark)
     merged = fresh if mark is None else append_columns(stored, fresh)
     newest = latest_by(merged, spec.keys, [spec.mark], spec.ties)
-    if table_format == "parquet":
-        _write_hours(newest.hint("rebalance", *EVENT_PARTITIONS), staging, "parquet", "static")
-        _publish(spark, staging, target, "parquet")
-    else:
-        _write_hours(newest.hint("rebalance", *EVENT_PARTITIONS), target, table_format, "dynamic")
+    replace_hours(newest, target, table_format, first=mark is None)
     return mark
 
 
+def stored_hour(spark: SparkSession, target: str, table_format: str = "parquet") -> DataFrame | None:
+    """The rows of the newest hour, after what a lost driver left of ``replace_hours`` has been dealt with."""
+    if exists(spark, f"{target}_staging/_SUCCESS"):
+        _publish(spark, f"{target}_staging", target)
+    return None if exists(spark, f"{target}_loading") else newest_hour(spark, target, table_format)
+
+
+def replace_hours(df: DataFrame, target: str, table_format: str = "parquet", first: bool = False) -> None:
+    """Replace the hours of the table at ``target`` that ``df`` has rows of.
+
+    Replacing Parquet partitions is not atomic. They are therefore written to ``{target}_staging`` and then moved;
+    a finished staging table that a lost driver left is published by the next ``stored_hour``. The ``first`` rows of
+    a table need no staging: as long as ``{target}_loading`` exists, the table counts as empty and is loaded anew.
+    """
+    spark, gathered = df.sparkSession, df.hint("rebalance", *EVENT_PARTITIONS)
+    if table_format != "parquet":
+        _write_hours(gathered, target, table_format, "dynamic")
+    elif first:
+        make_dir(spark, f"{target}_loading")
+        _write_hours(gathered, target, "parquet", "static")
+        delete(spark, f"{target}_loading")
+    else:
+        _write_hours(gathered, f"{target}_staging", "parquet", "static")
+        _publish(spark, f"{target}_staging", target)
+
+
 def _write_hours(df: DataFrame, path: str, table_format: str, overwrite: str) -> None:
     (
         df.write.mode("overwrite")
@@ -134,9 +152,8 @@ def _write_hours(df: DataFrame, path: str, table_format: str, overwrite: str) ->
     )
 
 
-def _publish(spark: SparkSession, staging: str, target: str, table_format: str) -> None:
-    """Move the staged hours into the target; repeating it is harmless."""
-    if any(name.startswith(f"{EVENT_PARTITIONS[0]}=") for name in child_names(spark, staging)):
-        staged = spark.read.option("mergeSchema", True).parquet(staging)
-        _write_hours(staged, target, table_format, "dynamic")
+def _publish(spark: SparkSession, staging: str, target: str) -> None:
+    """Move the staged hours into the target; repeating it moves those that are still there."""
+    for folder in list(hour_folders(spark, staging)):
+        move(spark, folder, f"{target}{folder.removeprefix(staging)}")
     delete(spark, staging)

@@ -8,17 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from headway.functions import EVENT_PARTITIONS
+from headway.functions import EVENT_PARTITIONS, epoch_of, from_hour
 from headway.operators.enrich import join_static
-from headway.operators.incremental import UpsertSpec, dated, hours_from, max_mark, newest_hour, upsert_latest
+from headway.operators.incremental import (
+    UpsertSpec,
+    dated,
+    hours_from,
+    max_mark,
+    newest_hour,
+    replace_hours,
+    stored_hour,
+    upsert_latest,
+)
 from headway.operators.latest import latest_by
 from headway.schemas import SILVER_TRIP_UPDATES
-from headway.sinks.tables import read_table, rebuild_table
+from headway.sinks.tables import read_table, replace_mart
 from headway.sources.static import read_snapshots
 
 # Identity of a deduplicated stop update, and the on-time limit.
 DEDUP_KEYS = ("trip_id", "route_id", *EVENT_PARTITIONS, "stop_sequence")
 ON_TIME_BELOW_SECONDS = 30
+HOUR = ("mode", *EVENT_PARTITIONS)
 
 DEDUP = UpsertSpec(keys=DEDUP_KEYS)
 
@@ -34,9 +44,13 @@ def latest_version(dimension: DataFrame, keys: Sequence[str], columns: Sequence[
     return latest_by(dimension.select(*wanted, "ingested_at"), keys, ["ingested_at"]).select(*wanted)
 
 
-# A stop is on time when less than the limit late, early included; an unknown delay is not.
-_TOTAL_STOPS = "count(*) AS total_stops"
-_ON_TIME_STOPS = f"sum(CASE WHEN delay_seconds < {ON_TIME_BELOW_SECONDS} THEN 1 ELSE 0 END) AS on_time_stops"
+def hourly_counts(deduped: DataFrame, key: str) -> DataFrame:
+    """Stops made and stops on time per ``key``, mode and hour.
+
+    A stop is on time when it is less than the limit late, early included; an unknown delay is not.
+    """
+    on_time = F.count_if(F.col("delay_seconds") < ON_TIME_BELOW_SECONDS)
+    return deduped.groupBy(key, *HOUR).agg(F.count("*").alias("total_stops"), on_time.alias("on_time_stops"))
 
 
 def stop_hourly(deduped: DataFrame, stops: DataFrame, by_mode: bool = False) -> DataFrame:
@@ -44,10 +58,12 @@ def stop_hourly(deduped: DataFrame, stops: DataFrame, by_mode: bool = False) ->
 
     Ids of different modes share one namespace unless ``by_mode`` is set, which also matches ``transport_mode``.
     """
-    stats = deduped.groupBy("stop_id", "mode", *EVENT_PARTITIONS).agg(
-        F.expr(_TOTAL_STOPS), F.expr(_ON_TIME_STOPS)
-    )
-    return _look_up(stats, stops, "stop_id", ["stop_name"], by_mode)
+    return stop_mart(hourly_counts(deduped, "stop_id"), stops, by_mode)
+
+
+def stop_mart(per_stop: DataFrame, stops: DataFrame, by_mode: bool = False) -> DataFrame:
+    """The stop mart from its hourly counts."""
+    return _look_up(per_stop, stops, "stop_id", ["stop_name"], by_mode)
 
 
 def route_hourly(deduped: DataFrame, trips: DataFrame, routes: DataFrame, by_mode: bool = False) -> DataFrame:
@@ -57,13 +73,14 @@ def route_hourly(deduped: DataFrame, trips: DataFrame, routes: DataFrame, by_mod
     and hour, and only those counts are shuffled to the trips: a trip that dominates the data arrives there as
     one row per hour.
     """
-    hour = ("mode", *EVENT_PARTITIONS)
-    per_trip = deduped.groupBy("trip_id", *hour).agg(
-        F.expr(_TOTAL_STOPS), F.expr(_ON_TIME_STOPS)
-    )
+    return route_mart(hourly_counts(deduped, "trip_id"), trips, routes, by_mode)
+
+
+def route_mart(per_trip: DataFrame, trips: DataFrame, routes: DataFrame, by_mode: bool = False) -> DataFrame:
+    """The route mart from hourly counts per trip."""
     per_route = _look_up(per_trip, trips, "trip_id", ["route_id"], by_mode)
-    stats = per_route.groupBy("route_id", *hour).agg(
-        F.expr("sum(total_stops) AS total_stops"), F.expr("sum(on_time_stops) AS on_time_stops")
+    stats = per_route.groupBy("route_id", *HOUR).agg(
+        F.sum("total_stops").alias("total_stops"), F.sum("on_time_stops").alias("on_time_stops")
     )
     return _look_up(stats, routes, "route_id", ["route_short_name", "route_long_name"], by_mode)
 
@@ -83,13 +100,28 @@ def _grown_schema(spark: SparkSession, silver_path: str, deduped_path: str, tabl
     """
     if table_format != "parquet":
         return SILVER_TRIP_UPDATES  # such a table keeps its own schema, which a read takes as it is
-    stored = newest_hour(spark, deduped_path)
+    stored = stored_hour(spark, deduped_path)
     mark = None if stored is None else max_mark(stored, DEDUP.mark).first()[0]
     unread = newest_hour(spark, silver_path) if mark is None else hours_from(spark, silver_path, mark - DEDUP.late_seconds)
     found = [] if unread is None else unread.schema.fields
     return StructType([*SILVER_TRIP_UPDATES.fields, *(f for f in found if f.name not in SILVER_TRIP_UPDATES.names)])
 
 
+def refresh_counts(deduped: DataFrame, path: str, key: str, table_format: str = "parquet") -> DataFrame:
+    """Bring the stored hourly counts per ``key`` up to date with the deduplicated table, and read them.
+
+    An upsert changes no hour before the newest one it found, less the seconds it looks back, and the counts reach
+    up to that hour. Only from there on are hours recounted; a refresh that was lost in between is made up for.
+    """
+    spark = deduped.sparkSession
+    stored = stored_hour(spark, path, table_format)
+    newest = None if stored is None else stored.select(*EVENT_PARTITIONS).first()
+    changed = deduped if newest is None else deduped.filter(from_hour(epoch_of(newest) - DEDUP.late_seconds))
+    replace_hours(hourly_counts(changed, key), path, table_format, first=newest is None)
+    schema = changed.select(key, *HOUR).schema.add("total_stops", "long").add("on_time_stops", "long")
+    return read_table(spark, path, table_format, schema)
+
+
 def refresh_marts(
     spark: SparkSession,
     silver_path: str,
@@ -97,9 +129,11 @@ def refresh_marts(
     target_path: str,
     table_format: str = "parquet",
 ) -> None:
-    """Fold new silver rows into the deduplicated table and rebuild both marts from it.
+    """Fold new silver rows into the deduplicated table and bring both marts up to date.
 
-    Columns that silver has gained go with them: they are looked for in the files of the hours to be read.
+    Columns that silver has gained go with them: they are looked for in the files of the hours to be read. The
+    dimensions join counts of past hours anew, as a changed one alters them; the rows behind those counts are
+    not read again.
     """
     deduped_path = f"{target_path}/trip_updates_deduped"
     silver = read_table(spark, silver_path, table_format, _grown_schema(spark, silver_path, deduped_path, table_format))
@@ -109,7 +143,8 @@ def refresh_marts(
     def dimension(name: str) -> DataFrame:
         return read_snapshots(spark, f"{static_path}/{name}", table_format)
 
-    stops = stop_hourly(deduped, dimension("stops"))
-    rebuild_table(stops, f"{target_path}/stop_hourly", table_format)
-    routes = route_hourly(deduped, dimension("trips"), dimension("routes"))
-    rebuild_table(routes, f"{target_path}/route_hourly", table_format)
+    per_stop = refresh_counts(deduped, f"{target_path}/stop_counts", "stop_id", table_format)
+    replace_mart(stop_mart(per_stop, dimension("stops")), f"{target_path}/stop_hourly", table_format)
+    per_trip = refresh_counts(deduped, f"{target_path}/trip_counts", "trip_id", table_format)
+    routes = route_mart(per_trip, dimension("trips"), dimension("routes"))
+    replace_mart(routes, f"{target_path}/route_hourly", table_format)

@@ -1,4 +1,4 @@
-"""Keyed live table: complete versions side by side, readers take the newest."""
+"""Keyed live table."""
 
 from __future__ import annotations
 
@@ -9,53 +9,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.live import LiveView, live_entries, merge_live, visible
-from headway.storage import child_names, delete, exists, modified_at
+from headway.sinks.versions import RETAIN_SECONDS, Versions
 
 
 class LiveTable:
-    """Each upsert writes one new version; a version counts once its ``_SUCCESS`` marker exists.
+    """Each upsert writes one new version.
 
     Entries that have expired are left out of the next version, so its size follows the number of trips seen
-    within one lifetime and not the length of the stream. A version goes ``retain_seconds`` after a newer one
-    took its place, by the store's own clock; choose it not shorter than the longest read.
+    within one lifetime and not the length of the stream.
     """
 
-    def __init__(self, spark: SparkSession, path: str, view: LiveView, retain_seconds: float = 3600):
-        self.spark = spark
-        self.path = path
+    def __init__(self, spark: SparkSession, path: str, view: LiveView, retain_seconds: float = RETAIN_SECONDS):
+        self.versions = Versions(spark, path, retain_seconds)
         self.view = view
-        self.retain_seconds = retain_seconds
-
-    def _versions(self) -> list[int]:
-        names = child_names(self.spark, self.path)
-        numbers = sorted(int(name.removeprefix("version=")) for name in names if name.startswith("version="))
-        return [n for n in numbers if exists(self.spark, f"{self._folder(n)}/_SUCCESS")]
-
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/version={version}"
 
     def upsert(self, entries: DataFrame, now: int) -> None:
         """Fold a batch of ``live_entries`` into the table. Repeating a batch after a failure changes nothing."""
-        versions = self._versions()
-        stored = self.spark.read.parquet(self._folder(versions[-1])) if versions else None
-        merged = merge_live(entries, stored, now, self.view.ttl_seconds)
-        version = versions[-1] + 1 if versions else 0
-        merged.write.mode("overwrite").parquet(self._folder(version))
-        self._forget([*versions, version])
-
-    def _forget(self, versions: list[int]) -> None:
-        """Delete the versions whose successor is older than the retention."""
-        written = [modified_at(self.spark, f"{self._folder(v)}/_SUCCESS") for v in versions]
-        for version, replaced in zip(versions, written[1:]):
-            if written[-1] - replaced > self.retain_seconds:
-                delete(self.spark, self._folder(version))
+        self.versions.add(merge_live(entries, self.versions.newest(), now, self.view.ttl_seconds))
 
     def read(self, now: int | None = None) -> DataFrame:
         """Entries that are still alive at ``now``."""
-        versions = self._versions()
-        if not versions:
-            raise ValueError(f"nothing was written to {self.path} yet")
-        return visible(self.spark.read.parquet(self._folder(versions[-1])), _seconds(now))
+        stored = self.versions.newest()
+        if stored is None:
+            raise ValueError(f"nothing was written to {self.versions.path} yet")
+        return visible(stored, _seconds(now))
 
 
 def _seconds(now: int | None) -> int:

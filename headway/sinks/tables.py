@@ -1,4 +1,4 @@
-"""Hour-partitioned silver tables and fully rebuilt marts."""
+"""Hour-partitioned silver tables and marts."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from headway.functions import EVENT_PARTITIONS
+from headway.sinks.versions import Versions
 
 
 def gather_hours(df: DataFrame) -> DataFrame:
@@ -44,9 +45,22 @@ def start_silver(
     )
 
 
-def rebuild_table(df: DataFrame, path: str, table_format: str = "parquet") -> None:
-    """Replace a mart by a fresh result."""
-    df.write.mode("overwrite").format(table_format).save(path)
+def replace_mart(df: DataFrame, path: str, table_format: str = "parquet") -> None:
+    """Replace a mart by a fresh result; readers have the old one until the new one is complete."""
+    if table_format == "parquet":
+        Versions(df.sparkSession, path).add(df)
+    else:
+        df.write.mode("overwrite").format(table_format).save(path)
+
+
+def read_mart(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
+    """The newest complete state of a mart."""
+    if table_format != "parquet":
+        return spark.read.format(table_format).load(path)
+    mart = Versions(spark, path).newest()
+    if mart is None:
+        raise ValueError(f"nothing was written to {path} yet")
+    return mart
 
 
 def read_table(

@@ -32,3 +32,18 @@ def modified_at(spark: SparkSession, path: str) -> float:
 def delete(spark: SparkSession, path: str) -> None:
     fs, location = _locate(spark, path)
     fs.delete(location, True)
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, location = _locate(spark, path)
+    fs.mkdirs(location)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another one of the same store."""
+    fs, location = _locate(spark, source)
+    _, place = _locate(spark, target)
+    fs.delete(place, True)
+    fs.mkdirs(place.getParent())
+    if not fs.rename(location, place):
+        raise OSError(f"could not move {source} to {target}")

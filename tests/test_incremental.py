@@ -1,3 +1,4 @@
+import pytest
 from conftest import SF_DIR, plan_of
 from pyspark.sql import functions as F
 
@@ -90,6 +91,34 @@ def test_a_lost_driver_between_staging_and_publishing(spark, rows, tmp_path, mon
     assert contents(spark, target) == [("a", 0, 1), ("b", 9, 2), ("c", 20, 3)]
 
 
+def test_a_lost_driver_during_the_first_load(spark, rows, tmp_path):
+    target = str(tmp_path / "t")
+    upsert_latest(spark, silver(rows, [("half", HOUR + 7200, 1)]), target, SPEC)
+    (tmp_path / "t_loading").mkdir()
+    assert upsert_latest(spark, silver(rows, [("a", HOUR, 1), ("b", HOUR + 9, 2)]), target, SPEC) is None
+    assert contents(spark, target) == [("a", 0, 1), ("b", 9, 2)]
+    assert not (tmp_path / "t_loading").exists()
+
+
+def test_a_driver_lost_while_hours_are_moved(spark, rows, tmp_path, monkeypatch):
+    target = str(tmp_path / "t")
+    upsert_latest(spark, silver(rows, [("a", HOUR, 1)]), target, SPEC)
+    move, moved = incremental.move, []
+
+    def lost_after_one(*folders):
+        if moved:
+            raise RuntimeError("driver lost")
+        moved.append(folders)
+        move(*folders)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(incremental, "move", lost_after_one)
+        with pytest.raises(RuntimeError):
+            upsert_latest(spark, silver(rows, [("b", HOUR + 9, 2), ("c", HOUR + 3600, 3)]), target, SPEC)
+    assert upsert_latest(spark, silver(rows, []), target, SPEC) == HOUR + 3600
+    assert contents(spark, target) == [("a", 0, 1), ("b", 9, 2), ("c", 3600, 3)]
+
+
 def test_increment_reads_only_its_partitions(spark, rows, tmp_path):
     path = str(tmp_path / "silver")
     append_silver(silver(rows, [(str(i), HOUR + i * 3600, i) for i in range(6)]), path)

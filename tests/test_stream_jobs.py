@@ -7,7 +7,7 @@ from headway.operators.live import DELAY_VIEW, live_view
 from headway.plans.marts import dedup_latest, refresh_marts
 from headway.plans.silver import silver_trip_updates
 from headway.sinks.live import LiveTable
-from headway.sinks.tables import read_table
+from headway.sinks.tables import read_mart, read_table
 from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS
 from headway.sources.topics import replay_topic
 from headway.streaming.jobs import start_trip_updates, start_vehicle_positions
@@ -93,7 +93,7 @@ def test_command_line_marts(spark, tmp_path, monkeypatch):
         dimension(spark, SF_DIR).write.parquet(f"{tmp_path}/dims/{name}")
     main(["marts", "--static", f"{tmp_path}/dims", "--target", f"{tmp_path}/gold"])
     totals = [
-        spark.read.parquet(f"{tmp_path}/gold/{mart}").agg(F.sum("total_stops"), F.sum("on_time_stops")).first()
+        read_mart(spark, f"{tmp_path}/gold/{mart}").agg(F.sum("total_stops"), F.sum("on_time_stops")).first()
         for mart in ("stop_hourly", "route_hourly")
     ]
     assert totals[0] == totals[1] and totals[0][0] == 4721

@@ -19,7 +19,7 @@ from headway.plans.silver import STOP_TIME_COLUMNS, STOP_TIME_KEYS, named_positi
 from headway.schemas import SILVER_TRIP_UPDATES, SILVER_VEHICLE_POSITIONS, TRIP_UPDATE_MESSAGE
 from headway.session import configure, fresh_dir
 from headway.sinks.live import LiveTable
-from headway.sinks.tables import append_silver, read_table
+from headway.sinks.tables import append_silver, read_mart, read_table
 from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS, feed_messages, read_feeds
 from headway.sources.static import append_snapshot, load_published_tables, read_snapshots, read_static
 from headway.sources.topics import replay_topic
@@ -418,12 +418,12 @@ def schema_append(spark, sf_dir):
     return _two_runs(spark, sf_dir, spec, column).select(*marts.DEDUP_KEYS, "source_timestamp", column)
 
 
-def _store_dimensions(spark, sf_dir, base: str) -> None:
+def _store_dimensions(spark, sf_dir, base: str, versions: str = "TRUE") -> None:
     for name, dimension in {"stops": fx.stops, "trips": fx.trips, "routes": fx.routes}.items():
         tagged = dimension(spark, sf_dir).withColumns(
             {"transport_mode": F.lit("bus"), "valid_from": F.to_date("ingested_at")}
         )
-        append_snapshot(tagged, f"{base}/static/{name}")
+        append_snapshot(tagged.filter(versions), f"{base}/static/{name}")
 
 
 @query
@@ -441,12 +441,15 @@ def schema_growth_refresh(spark, sf_dir):
 
 
 def _refreshed(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both marts built from stored tables: silver, versioned dimensions, deduplicated table."""
+    """Marts after two refreshes, between which silver grew and the dimensions changed."""
     base = fresh_dir(spark, "marts")
-    append_silver(_batch_trip_updates(spark, sf_dir), f"{base}/silver")
-    _store_dimensions(spark, sf_dir, base)
-    marts.refresh_marts(spark, f"{base}/silver", f"{base}/static", f"{base}/gold")
-    return read_table(spark, f"{base}/gold/{table}")
+    updates = _batch_trip_updates(spark, sf_dir)
+    first_version = "ingested_at < TIMESTAMP '2024-01-01 00:01:00Z'"
+    for second in (False, True):
+        append_silver(updates.filter((F.col("source_timestamp") > SPLIT) == second), f"{base}/silver")
+        _store_dimensions(spark, sf_dir, base, f"NOT ({first_version})" if second else first_version)
+        marts.refresh_marts(spark, f"{base}/silver", f"{base}/static", f"{base}/gold")
+    return read_mart(spark, f"{base}/gold/{table}")
 
 
 @query
