@@ -1,4 +1,4 @@
-"""Command line: ``python -m headway trip-updates | vehicle-positions | marts | static`` (or via spark-submit)."""
+"""Command line: ``python -m headway publish | trip-updates | vehicle-positions | marts | static`` (or spark-submit)."""
 
 from __future__ import annotations
 
@@ -7,9 +7,9 @@ import argparse
 from headway.config import JobConfig
 from headway.plans.marts import refresh_marts
 from headway.session import build_session
-from headway.sources.feeds import TRIP_UPDATES
+from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS
 from headway.sources.static import load_published_tables
-from headway.streaming.jobs import start_trip_updates, start_vehicle_positions
+from headway.streaming.jobs import start_feed, start_trip_updates, start_vehicle_positions
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -17,6 +17,11 @@ def main(argv: list[str] | None = None) -> None:
     jobs = parser.add_subparsers(dest="job", required=True)
     jobs.add_parser("trip-updates", help="run the trip-update stream")
     jobs.add_parser("vehicle-positions", help="run the vehicle-position stream")
+    publish = jobs.add_parser("publish", help="send landed feed snapshots to their topics")
+    publish.add_argument("--landed", required=True, help="folder of the landed snapshots, {mode}/{topic} below it")
+    publish.add_argument("--checkpoint", required=True)
+    publish.add_argument("--recording", help="write topic files below this folder, not to the servers")
+    publish.add_argument("--once", action="store_true", help="stop when everything landed has been sent")
     marts = jobs.add_parser("marts", help="refresh the deduplicated table and the marts")
     marts.add_argument("--static", required=True, help="folder of the versioned dimensions")
     marts.add_argument("--target", required=True)
@@ -30,6 +35,16 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"headway-{args.job}")
     if args.job == "static":
         load_published_tables(spark, args.source, args.target, args.valid_from, table_format=config.table_format)
+    elif args.job == "publish":
+        trigger = {"availableNow": True} if args.once else None
+        for topic in (TRIP_UPDATES, VEHICLE_POSITIONS):
+            recording = f"{args.recording}/{topic}" if args.recording else None
+            checkpoint, servers = f"{args.checkpoint}/{topic}", config.kafka_bootstrap_servers
+            started = start_feed(spark, topic, args.landed, checkpoint, servers, recording, trigger)
+            if args.once:
+                started.awaitTermination()
+        if not args.once:
+            spark.streams.awaitAnyTermination()
     elif args.job == "marts":
         refresh_marts(spark, config.silver_table(TRIP_UPDATES), args.static, args.target, config.table_format)
     else:

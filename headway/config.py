@@ -25,30 +25,44 @@ def parse_flag(text: str | None) -> bool:
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Settings shared by the two streaming jobs.
+    """Settings shared by the streaming jobs.
 
     ``lake_path`` holds the silver tables, ``live_path`` the live views and ``checkpoint_path`` the stream
-    checkpoints; each job adds its own table name below them.
+    checkpoints; each job adds its own table name below them. The schedule comes from ``static_path``, a directory per
+    mode, or from ``snapshot_path``, where the ``static`` command keeps dated snapshots. An enabled sink needs the
+    paths it uses: there are no defaults, which would lie on one machine.
     """
 
     kafka_bootstrap_servers: str = "kafka:9092"
-    static_path: str = "static"
+    static_path: str | None = None
+    snapshot_path: str | None = None
     timezone: str = "Australia/Melbourne"
     enable_live_sink: bool = False
     enable_silver_sink: bool = False
-    lake_path: str = "lake/silver"
-    live_path: str = "lake/live"
-    checkpoint_path: str = "lake/checkpoint"
+    lake_path: str | None = None
+    live_path: str | None = None
+    checkpoint_path: str | None = None
     table_format: str = "parquet"
     silver_trigger: str = "1 minute"
     live_ttl_seconds: int = 120
 
+    def __post_init__(self):
+        needed = {"lake_path": self.enable_silver_sink, "live_path": self.enable_live_sink}
+        needed["checkpoint_path"] = self.enable_silver_sink or self.enable_live_sink
+        missing = [name for name, used in needed.items() if used and not getattr(self, name)]
+        if needed["checkpoint_path"] and not (self.static_path or self.snapshot_path):
+            missing.append("static_path or snapshot_path")
+        if missing:
+            raise ValueError(f"an enabled sink needs {', '.join(missing)}")
+
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> JobConfig:
         env = os.environ if env is None else env
+        # Names of the settings.
         texts = {
             "kafka_bootstrap_servers": "KAFKA_BOOTSTRAP_SERVERS",
             "static_path": "STATIC_DATA_PATH",
+            "snapshot_path": "STATIC_SNAPSHOT_PATH",
             "timezone": "APP_TIMEZONE",
             "lake_path": "SILVER_PATH",
             "live_path": "LIVE_PATH",

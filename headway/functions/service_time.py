@@ -1,7 +1,4 @@
-"""Schedule times: a service date plus ``HH:MM:SS``, where the hour may pass 24.
-
-Arguments are SQL texts, a column name or any expression; results are columns.
-"""
+"""Schedule times: a service date plus ``HH:MM:SS``, where the hour may pass 24. Arguments are column names."""
 
 from __future__ import annotations
 
@@ -13,18 +10,19 @@ _SERVICE_TIME = r"^\s*\d{1,6}:[0-5]?\d:[0-5]?\d\s*$"
 
 def service_date(text: str) -> Column:
     """Date from ``yyyyMMdd`` text; NULL when it is not one."""
-    return F.expr(f"try_to_date({text}, 'yyyyMMdd')")
+    return F.try_to_date(text, "yyyyMMdd")
 
 
 def is_service_time(time: str) -> Column:
     """Whether the text is a usable ``HH:MM:SS``; one test, so that it stays cheap as a pushed-down filter."""
-    return F.expr(f"{time} RLIKE r'{_SERVICE_TIME}'")
+    return F.col(time).rlike(_SERVICE_TIME)
 
 
 def service_seconds(time: str) -> Column:
     """Seconds into the service day; NULL when the text is not ``HH:MM:SS``. Hours from 24 on are later days."""
-    hour, minute, second = (f"try_cast(get(split({time}, ':'), {i}) AS BIGINT)" for i in range(3))
-    return F.expr(f"CASE WHEN {time} RLIKE r'{_SERVICE_TIME}' THEN {hour} * 3600 + {minute} * 60 + {second} END")
+    parts = F.split(F.trim(time), ":")
+    hour, minute, second = (F.get(parts, F.lit(i)).try_cast("long") for i in range(3))
+    return F.when(is_service_time(time), (hour * 60 + minute) * 60 + second)
 
 
 def local_epoch(date: str, seconds: str, zone: str) -> Column:
@@ -33,10 +31,10 @@ def local_epoch(date: str, seconds: str, zone: str) -> Column:
     The wall clock is built arithmetically and then shifted from ``zone`` to UTC, which is where daylight saving
     is resolved. The session time zone has no part in it.
     """
-    wall_clock = f"timestamp_seconds(CAST(unix_date({date}) AS BIGINT) * 86400 + {seconds})"
-    return F.expr(f"unix_seconds(to_utc_timestamp({wall_clock}, '{zone}'))")
+    wall_clock = F.timestamp_seconds(F.unix_date(date).cast("long") * 86400 + F.col(seconds))
+    return F.unix_seconds(F.to_utc_timestamp(wall_clock, F.lit(zone)))
 
 
 def seconds_late(effective: str, scheduled: str) -> Column:
     """Delay in seconds, negative when early; NULL when either time is unknown or absurd."""
-    return F.expr(f"try_subtract({effective}, {scheduled})")
+    return F.try_subtract(effective, scheduled)

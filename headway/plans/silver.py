@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from headway.functions import is_service_time, local_epoch, seconds_late, service_seconds, with_event_parts
 from headway.operators.enrich import join_static, with_effective_time, with_resolved_names
@@ -16,26 +15,33 @@ ROUTE_COLUMNS = ("route_id", "route_short_name", "route_long_name")
 TRIP_COLUMNS = ("trip_id", "trip_headsign")
 
 
-def silver_trip_updates(records: DataFrame, stop_times: DataFrame, zone: str) -> DataFrame:
-    """Stop updates with their schedule, delay and event hour; rows without a schedule or a time are dropped."""
+def silver_trip_updates(records: DataFrame, schedule: DataFrame, zone: str) -> DataFrame:
+    """Stop updates with their schedule, delay and event hour; rows without a schedule or a time are dropped.
+
+    ``schedule`` comes from ``service_schedule``.
+    """
     stops = flatten_trip_updates(parse_value(records, TRIP_UPDATE_MESSAGE), typed_date=True)
-    return delayed_stops(stops, stop_times, zone)
+    return delayed_stops(stops, schedule, zone)
+
+
+def service_schedule(stop_times: DataFrame) -> DataFrame:
+    """``stop_times`` with usable times, their arrival as ``service_seconds``; a stream should read a stored one."""
+    return stop_times.filter(is_service_time("arrival_time")).select(
+        *STOP_TIME_KEYS, service_seconds("arrival_time").alias("service_seconds"), "departure_time"
+    )
 
 
-def delayed_stops(stops: DataFrame, stop_times: DataFrame, zone: str) -> DataFrame:
-    """Join flat stop updates (``start_date`` a date) with ``stop_times``; derive delay and event hour.
+def delayed_stops(stops: DataFrame, schedule: DataFrame, zone: str) -> DataFrame:
+    """Join flat stop updates (``start_date`` a date) with a ``service_schedule``; derive delay and event hour.
 
     Only rows whose effective and scheduled times are known have a delay. The schedule time is known when its
     date and its time of day are, so each side is filtered by itself and the join can be an inner one. Times of
     day are parsed on the schedule side, once per scheduled stop.
     """
     timed = with_effective_time(stops).filter("effective_stop_time IS NOT NULL AND start_date IS NOT NULL")
-    schedule = stop_times.filter(is_service_time("arrival_time")).select(
-        *STOP_TIME_KEYS, service_seconds("arrival_time").alias("service_seconds"), "departure_time"
-    )
     joined = join_static(timed, schedule, STOP_TIME_KEYS, how="inner")
     scheduled = joined.select(
-        F.expr("* EXCEPT (service_seconds, departure_time)"),
+        *timed.columns,
         local_epoch("start_date", "service_seconds", zone).alias("scheduled_stop_time"),
         "departure_time",
     )

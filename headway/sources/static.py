@@ -9,11 +9,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.storage import exists
+from headway.storage import child_names, exists
 
 # Folder number of each mode in the published archive, and the tables that are kept.
 MODE_FOLDERS = {"4": "bus"}
-SNAPSHOT_TABLES = ("stops", "routes", "trips")
+SNAPSHOT_TABLES = ("stops", "routes", "trips", "stop_times")
 SNAPSHOT_PARTITIONS = ("transport_mode", "valid_from")
 MAX_RECORDS_PER_FILE = 100_000
 
@@ -104,6 +104,18 @@ def read_snapshots(spark: SparkSession, path: str, table_format: str = "parquet"
     return spark.read.format(table_format).option("mergeSchema", True).load(path)
 
 
+def read_newest_snapshots(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """The newest dated snapshot of each mode below a Parquet table, in declared types; opens no other file."""
+    newest = []
+    for mode in child_names(spark, path):
+        dates = [name for name in child_names(spark, f"{path}/{mode}") if name.startswith(f"{SNAPSHOT_PARTITIONS[1]}=")]
+        if mode.startswith(f"{SNAPSHOT_PARTITIONS[0]}=") and dates:
+            newest.append(f"{path}/{mode}/{max(dates)}")
+    if not newest:
+        raise ValueError(f"no snapshot below {path}")
+    return read_static(spark, newest, columns)
+
+
 def load_published_tables(
     spark: SparkSession,
     source: str,

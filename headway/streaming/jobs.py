@@ -1,4 +1,4 @@
-"""The two streaming jobs. Each builds one frame and starts a query per enabled sink."""
+"""The streaming jobs: landed feeds to topics, and each topic to its enabled sinks."""
 
 from __future__ import annotations
 
@@ -15,13 +15,16 @@ from headway.plans.silver import (
     STOP_TIME_COLUMNS,
     TRIP_COLUMNS,
     named_positions,
+    service_schedule,
     silver_trip_updates,
     silver_vehicle_positions,
 )
 from headway.sinks.live import start_live
 from headway.sinks.tables import start_silver
-from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS
-from headway.sources.static import read_static
+from headway.sinks.topics import start_publishing, start_recording
+from headway.sinks.versions import Versions
+from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS, feed_messages, stream_feeds
+from headway.sources.static import read_newest_snapshots, read_static
 from headway.sources.topics import stream_topic
 
 
@@ -37,8 +40,9 @@ def start_trip_updates(
     ``records`` replaces the Kafka topic (a replay, say); ``trigger`` replaces both sinks' own triggers.
     """
     records = records or stream_topic(spark, TRIP_UPDATES, config.kafka_bootstrap_servers)
-    stop_times = read_static(spark, config.static_paths("stop_times"), STOP_TIME_COLUMNS)
-    updates = silver_trip_updates(records, stop_times, config.timezone)
+    if not (config.enable_live_sink or config.enable_silver_sink):
+        return []
+    updates = silver_trip_updates(records, _stored_schedule(spark, config), config.timezone)
     return _start_sinks(config, TRIP_UPDATES, updates, updates, DELAY_VIEW, trigger, clock)
 
 
@@ -51,13 +55,46 @@ def start_vehicle_positions(
 ) -> list[StreamingQuery]:
     """Vehicle positions: silver rows as received, and the live view with route and trip names."""
     records = records or stream_topic(spark, VEHICLE_POSITIONS, config.kafka_bootstrap_servers)
+    if not (config.enable_live_sink or config.enable_silver_sink):
+        return []
     positions = silver_vehicle_positions(records)
-    routes = read_static(spark, config.static_paths("routes"), ROUTE_COLUMNS)
-    trips = read_static(spark, config.static_paths("trips"), TRIP_COLUMNS)
+    routes, trips = _static(spark, config, "routes", ROUTE_COLUMNS), _static(spark, config, "trips", TRIP_COLUMNS)
     named = named_positions(positions, routes, trips)
     return _start_sinks(config, VEHICLE_POSITIONS, positions, named, VEHICLE_VIEW, trigger, clock)
 
 
+def start_feed(
+    spark: SparkSession,
+    topic: str,
+    landed: str,
+    checkpoint: str,
+    bootstrap_servers: str | None = None,
+    recording: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Snapshots of every mode as they land, as messages to ``topic``; ``recording`` is a folder in its place."""
+    messages = feed_messages(stream_feeds(spark, landed, topic), topic)
+    if recording:
+        return start_recording(messages, recording, checkpoint, trigger)
+    return start_publishing(messages, topic, bootstrap_servers, checkpoint, trigger)
+
+
+def _static(spark: SparkSession, config: JobConfig, table: str, columns: tuple[str, ...]) -> DataFrame:
+    if config.snapshot_path:
+        return read_newest_snapshots(spark, f"{config.snapshot_path}/{table}", columns)
+    return read_static(spark, config.static_paths(table), columns)
+
+
+def _stored_schedule(spark: SparkSession, config: JobConfig) -> DataFrame:
+    """Times of day parsed once when the job starts, so that a micro-batch reads numbers.
+
+    Each start adds a version beside the checkpoints. Nothing but another start replaces the one a job reads.
+    """
+    stored = Versions(spark, config.checkpoint(TRIP_UPDATES, "schedule"))
+    stored.add(service_schedule(_static(spark, config, "stop_times", STOP_TIME_COLUMNS)))
+    return stored.newest()
+
+
 def _start_sinks(
     config: JobConfig,
     topic: str,

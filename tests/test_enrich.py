@@ -4,7 +4,7 @@ import pytest
 from conftest import plan_of
 
 from headway.operators.enrich import join_schedule, join_static, with_effective_time, with_resolved_names
-from headway.plans.silver import delayed_stops
+from headway.plans.silver import delayed_stops, service_schedule
 from headway.sources.static import union_static
 
 ZONE = "Australia/Melbourne"
@@ -40,7 +40,7 @@ def test_only_rows_with_both_times_get_a_delay(rows):
     )
     times = [(t, 1, "08:05:09", None) for t in ("late", "no time", "no date", "absurd")]
     times += [("late", 2, "08:05:10", "08:06:00"), ("bad schedule", 1, "08:05", None)]
-    got = delayed_stops(stops, rows(times, STOP_TIMES), ZONE)
+    got = delayed_stops(stops, service_schedule(rows(times, STOP_TIMES)), ZONE)
     assert sorted((r.trip_id, r.stop_sequence, r.scheduled_stop_time, r.delay_seconds) for r in got.collect()) == [
         ("absurd", 1, at, None),
         ("late", 1, at, 90),
@@ -52,7 +52,7 @@ def test_only_rows_with_both_times_get_a_delay(rows):
 def test_duplicate_schedule_rows_multiply_realtime_rows(rows):
     stops = rows([("t", DAY, 1, 0, 5, None)], STOPS)
     times = rows([("t", 1, "08:00:00", "a"), ("t", 1, "08:00:00", "b")], STOP_TIMES)
-    assert delayed_stops(stops, times, ZONE).count() == 2
+    assert delayed_stops(stops, service_schedule(times), ZONE).count() == 2
 
 
 def test_static_join_keeps_realtime_rows_and_columns(rows):

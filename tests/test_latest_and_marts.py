@@ -159,7 +159,7 @@ def test_latest_version_reads_only_what_it_needs(spark, tmp_path):
 
 def test_a_hot_trip_is_split_in_the_schedule_join(spark, tmp_path):
     """A third of all rows belongs to one stop of one trip; the join splits it, in a batch and in a stream."""
-    from headway.plans.silver import delayed_stops
+    from headway.plans.silver import delayed_stops, service_schedule
 
     update = (
         "IF(id % 3 = 0, 'hot', CAST(id % 5000 AS STRING)) AS trip_id,"
@@ -176,6 +176,7 @@ def test_a_hot_trip_is_split_in_the_schedule_join(spark, tmp_path):
         "trip_id", "explode(sequence(0, 6)) AS stop_sequence", "'08:00:00' AS arrival_time", "'x' AS departure_time"
     ).write.parquet(str(tmp_path / "schedule"))
     updates, schedule = (spark.read.parquet(str(tmp_path / name)) for name in ("updates", "schedule"))
+    schedule = service_schedule(schedule)
     settings = {
         "spark.sql.shuffle.partitions": "32",
         "spark.sql.autoBroadcastJoinThreshold": "-1",

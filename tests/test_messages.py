@@ -142,7 +142,7 @@ def test_schema_round_trips_through_json(tmp_path):
 
 
 def test_declared_silver_schema_is_what_the_stream_writes(spark):
-    from headway.plans.silver import silver_trip_updates, silver_vehicle_positions
+    from headway.plans.silver import service_schedule, silver_trip_updates, silver_vehicle_positions
     from headway.schemas import TOPIC_RECORD
 
     stop_times = spark.createDataFrame(
@@ -150,7 +150,7 @@ def test_declared_silver_schema_is_what_the_stream_writes(spark):
     )
     records = spark.createDataFrame([], TOPIC_RECORD)
     written = [
-        (SILVER_TRIP_UPDATES, silver_trip_updates(records, stop_times, "Australia/Melbourne")),
+        (SILVER_TRIP_UPDATES, silver_trip_updates(records, service_schedule(stop_times), "Australia/Melbourne")),
         (SILVER_VEHICLE_POSITIONS, silver_vehicle_positions(records)),
     ]
     for declared, df in written:

@@ -5,7 +5,14 @@ import pytest
 from headway.config import JobConfig, parse_flag
 from headway.session import shared_dir
 from headway.sources.feeds import FEEDS, TRIP_UPDATES
-from headway.sources.static import load_published_tables, read_gtfs_csv, read_snapshots
+from headway.sources.static import (
+    append_snapshot,
+    load_published_tables,
+    read_gtfs_csv,
+    read_newest_snapshots,
+    read_snapshots,
+    tag_snapshot,
+)
 from headway.sources.topics import batch_options, recorded_topic, replay_topic, stream_options
 
 
@@ -36,12 +43,16 @@ def test_six_feeds_two_topics():
 
 
 def test_config_from_environment():
-    config = JobConfig.from_env({"ENABLE_LIVE_SINK": "false", "ENABLE_SILVER_SINK": "True", "STATIC_DATA_PATH": "/s"})
+    paths = {"STATIC_DATA_PATH": "/s", "SILVER_PATH": "/l", "CHECKPOINT_PATH": "/c"}
+    config = JobConfig.from_env({"ENABLE_LIVE_SINK": "false", "ENABLE_SILVER_SINK": "True", **paths})
     assert not config.enable_live_sink and config.enable_silver_sink
     assert config.static_paths("trips") == ["/s/bus/trips", "/s/metro/trips", "/s/tram/trips"]
     assert JobConfig.from_env({}) == JobConfig()
     with pytest.raises(ValueError):
         parse_flag("maybe")
+    for path in paths:
+        with pytest.raises(ValueError, match="needs"):
+            JobConfig.from_env({"ENABLE_SILVER_SINK": "1", **paths, path: ""})
 
 
 def test_shared_dir_comes_from_the_session(spark):
@@ -82,3 +93,16 @@ def test_published_csv(spark, tmp_path):
         "valid_from=2024-01-01",
         "valid_from=2024-02-01",
     ]
+
+
+def test_newest_snapshot_of_each_mode(spark, tmp_path):
+    def snapshot(mode, day, trip):
+        trips = spark.createDataFrame([(trip, "r")], "trip_id string, route_id string")
+        append_snapshot(tag_snapshot(trips, mode, day), str(tmp_path / "trips"))
+
+    with pytest.raises(ValueError):
+        read_newest_snapshots(spark, str(tmp_path / "trips"))
+    for mode, day, trip in [("bus", "2024-02-01", "b2"), ("bus", "2024-01-01", "b1"), ("tram", "2023-01-01", "t1")]:
+        snapshot(mode, day, trip)
+    got = read_newest_snapshots(spark, str(tmp_path / "trips"), ["trip_id"]).collect()
+    assert sorted(r.trip_id for r in got) == ["b2", "t1"]

@@ -1,18 +1,19 @@
+import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from headway.__main__ import main
-from headway.config import JobConfig
+from headway.config import MODES, JobConfig
 from headway.operators.live import DELAY_VIEW, live_view
 from headway.plans.marts import dedup_latest, refresh_marts
-from headway.plans.silver import silver_trip_updates
+from headway.plans.silver import service_schedule, silver_trip_updates
 from headway.sinks.live import LiveTable
 from headway.sinks.tables import read_mart, read_table
 from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS
 from headway.sources.topics import replay_topic
-from headway.streaming.jobs import start_trip_updates, start_vehicle_positions
+from headway.streaming.jobs import start_feed, start_trip_updates, start_vehicle_positions
 from workload import fixtures as fx
-from workload.queries import trip_records, write_static
+from workload.queries import _land, latest_routes, latest_stops, latest_trips, trip_records, write_static
 
 NOW = 1_712_000_000
 
@@ -43,12 +44,16 @@ def test_both_sinks_resume_and_equal_the_batch(spark, tmp_path):
     topic = str(tmp_path / "topic")
     for half in (0, 1):
         records.filter(F.col("half") == half).select("value").write.mode("append").parquet(topic)
-        assert len(run(start_trip_updates, spark, config, topic)) == 2
+        started = run(start_trip_updates, spark, config, topic)
+        assert len(started) == 2
+    for query in started:  # times of day were parsed before the stream started
+        plan = query._jsq.explainInternal(False)
+        assert "service_seconds" in plan and "RLIKE" not in plan and "split(" not in plan
 
     stop_times = spark.read.parquet(*config.static_paths("stop_times")[:2]).unionByName(
         spark.read.parquet(config.static_paths("stop_times")[2]), allowMissingColumns=True
     )
-    expected = silver_trip_updates(trip_records(spark, SF_DIR), stop_times, fx.ZONE)
+    expected = silver_trip_updates(trip_records(spark, SF_DIR), service_schedule(stop_times), fx.ZONE)
     silver = read_table(spark, config.silver_table(TRIP_UPDATES)).select(expected.columns)
     assert sorted(map(str, silver.collect())) == sorted(map(str, expected.collect()))
 
@@ -97,3 +102,45 @@ def test_command_line_marts(spark, tmp_path, monkeypatch):
         for mart in ("stop_hourly", "route_hourly")
     ]
     assert totals[0] == totals[1] and totals[0][0] == 4721
+
+
+def test_static_command_feeds_the_streams_and_the_marts(spark, tmp_path, monkeypatch):
+    """Published tables, landed snapshots, topics, both jobs and the marts, all below one folder."""
+    base = str(tmp_path)
+    source = tmp_path / "feed" / "4"
+    source.mkdir(parents=True)
+    tables = {
+        "stop_times": (fx.stop_times, ["trip_id", "arrival_time", "departure_time", "stop_sequence"]),
+        "trips": (latest_trips, ["route_id", "trip_id", "trip_headsign"]),
+        "routes": (latest_routes, ["route_id", "route_short_name", "route_long_name"]),
+        "stops": (latest_stops, ["stop_id", "stop_name"]),
+    }
+    for name, (build, columns) in tables.items():
+        build(spark, SF_DIR).select(columns).toPandas().to_csv(source / f"{name}.txt", index=False)
+    main(["static", "--source", f"{base}/feed", "--target", f"{base}/static", "--valid-from", "2024-01-01"])
+
+    for topic, snapshots in {TRIP_UPDATES: fx.trip_snapshots, VEHICLE_POSITIONS: fx.vehicle_snapshots}.items():
+        _land(snapshots(spark, SF_DIR), f"{base}/landed", topic)
+    once = ["--checkpoint", f"{base}/published", "--recording", f"{base}/topics", "--once"]
+    main(["publish", "--landed", f"{base}/landed", *once])
+
+    env = {"STATIC_SNAPSHOT_PATH": f"{base}/static", "SILVER_PATH": f"{base}/silver", "CHECKPOINT_PATH": f"{base}/c"}
+    config = JobConfig.from_env(env | {"ENABLE_SILVER_SINK": "1"})
+    for start, topic in {start_trip_updates: TRIP_UPDATES, start_vehicle_positions: VEHICLE_POSITIONS}.items():
+        run(start, spark, config, f"{base}/topics/{topic}")
+    expected = fx.silver_updates(spark, SF_DIR).count()
+    assert read_table(spark, config.silver_table(TRIP_UPDATES)).count() == expected > 0
+    positions = read_table(spark, config.silver_table(VEHICLE_POSITIONS))
+    assert positions.count() == fx.positions(spark, SF_DIR).count()
+
+    monkeypatch.setenv("SILVER_PATH", f"{base}/silver")
+    main(["marts", "--static", f"{base}/static", "--target", f"{base}/gold"])
+    made = read_mart(spark, f"{base}/gold/route_hourly").agg(F.sum("total_stops")).first()[0]
+    assert made == dedup_latest(fx.silver_updates(spark, SF_DIR)).count()
+
+
+def test_a_published_stream_needs_a_checkpoint(spark, tmp_path):
+    for mode in MODES:
+        (tmp_path / mode / TRIP_UPDATES).mkdir(parents=True)
+    with pytest.raises(ValueError, match="checkpoint"):
+        start_feed(spark, TRIP_UPDATES, str(tmp_path), "", recording=str(tmp_path / "topic"))

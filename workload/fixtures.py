@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.plans.silver import delayed_stops
+from headway.plans.silver import delayed_stops, service_schedule
 
 ZONE = "Australia/Melbourne"
 
@@ -140,7 +140,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows straight from the flat updates, without the message encoding in between."""
-    return delayed_stops(updates(spark, sf_dir), stop_times(spark, sf_dir), ZONE)
+    return delayed_stops(updates(spark, sf_dir), service_schedule(stop_times(spark, sf_dir)), ZONE)
 
 
 HEADER = "named_struct('gtfs_realtime_version', '2.0', 'incrementality', 0, 'timestamp', {}) AS header"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import NOW, SPLIT
+from workload.queries import LANDED_AT, NOW, READ_AT, SPLIT
 
 _MIDNIGHT = "((19802 + o.o_orderkey % 30)*86400)"
 _DUE = (
@@ -66,14 +66,14 @@ _VIEWS = {
             CAST(floor(epoch(ts)) AS BIGINT) + 3 AS source_timestamp
         FROM events""",
     "latest_trips": """
-        SELECT trip_id, route_id, trip_headsign FROM trips
-        QUALIFY row_number() OVER (PARTITION BY trip_id ORDER BY version DESC) = 1""",
+        SELECT trip_id, unnest(newest)
+        FROM (SELECT trip_id, arg_max({'route_id': route_id, 'trip_headsign': trip_headsign}, version) AS newest FROM trips GROUP BY trip_id)""",
     "latest_routes": """
-        SELECT route_id, route_short_name, route_long_name FROM routes
-        QUALIFY row_number() OVER (PARTITION BY route_id ORDER BY version DESC) = 1""",
+        SELECT route_id, unnest(newest)
+        FROM (SELECT route_id, arg_max({'route_short_name': route_short_name, 'route_long_name': route_long_name}, version) AS newest FROM routes GROUP BY route_id)""",
     "latest_stops": """
-        SELECT stop_id, stop_name FROM stops
-        QUALIFY row_number() OVER (PARTITION BY stop_id ORDER BY version DESC) = 1""",
+        SELECT stop_id, unnest(newest)
+        FROM (SELECT stop_id, arg_max({'stop_name': stop_name}, version) AS newest FROM stops GROUP BY stop_id)""",
 }
 
 
@@ -136,32 +136,32 @@ _SHORT_TIES = ("stop_id", "mode", "delay_seconds")
 
 def _dedup(source: str, ties: tuple[str, ...]) -> str:
     order = ", ".join(f"{name} DESC NULLS LAST" for name in ("source_timestamp", *ties))
-    return f"SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY {_KEYS} ORDER BY {order}) = 1"
+    return f"SELECT DISTINCT ON ({_KEYS}) * FROM {source} ORDER BY {_KEYS}, {order}"
 
 
 _VIEWS["deduped"] = _dedup("flat_silver", _SHORT_TIES)
 _VIEWS["deduped_all_ties"] = _dedup("flat_silver", _ALL_TIES)
 
-_MEASURES = (
-    "count(*) AS total_stops,"
-    " CAST(sum(CASE WHEN delay_seconds < 30 THEN 1 ELSE 0 END) AS BIGINT) AS on_time_stops"
-)
+_HOUR = "mode, year, month, day, hour"
+_COUNTS = "count(*) AS total_stops, count(*) FILTER (delay_seconds < 30) AS on_time_stops"
 
 
 def _stop_hourly(deduped: str) -> str:
     return f"""
-        WITH stats AS (
-            SELECT stop_id, mode, year, month, day, hour, {_MEASURES} FROM {deduped} GROUP BY ALL)
-        SELECT stats.*, s.stop_name FROM stats LEFT JOIN latest_stops s ON stats.stop_id = s.stop_id"""
+        SELECT stop_id, {_HOUR}, {_COUNTS},
+            (SELECT l.stop_name FROM latest_stops l WHERE l.stop_id = d.stop_id) AS stop_name
+        FROM {deduped} d GROUP BY stop_id, {_HOUR}"""
 
 
 def _route_hourly(deduped: str) -> str:
     return f"""
-        WITH stats AS (
-            SELECT t.route_id, d.mode, d.year, d.month, d.day, d.hour, {_MEASURES}
-            FROM {deduped} d LEFT JOIN latest_trips t ON t.trip_id = d.trip_id GROUP BY ALL)
-        SELECT stats.*, r.route_short_name, r.route_long_name
-        FROM stats LEFT JOIN latest_routes r ON stats.route_id = r.route_id"""
+        SELECT routed.route_id, {_HOUR}, {_COUNTS}, any_value(route_short_name) AS route_short_name,
+            any_value(route_long_name) AS route_long_name
+        FROM (
+            SELECT d.* REPLACE ((SELECT l.route_id FROM latest_trips l WHERE l.trip_id = d.trip_id) AS route_id)
+            FROM {deduped} d) routed
+        LEFT JOIN latest_routes USING (route_id)
+        GROUP BY routed.route_id, {_HOUR}"""
 
 
 _NAMED = """
@@ -203,6 +203,31 @@ _LIVE_VEHICLE = _live(
     ("position_timestamp", "source_timestamp"),
 )
 
+_LANDING = (
+    "CASE CAST(trip_id AS BIGINT) % 4 WHEN 0 THEN 0 WHEN 1 THEN CAST(entity_id AS BIGINT) % 2 * 2"
+    " WHEN 2 THEN CAST(entity_id AS BIGINT) % 2 ELSE CAST(entity_id AS BIGINT) % 3 END"
+)
+# Written at the time of its landing, a row counts at reading time if each later landing of its trip came before the
+# trip had expired, and the last of them has not expired either.
+_LIVE_EXPIRY = f"""
+    WITH timed AS (
+        SELECT *, list_value{LANDED_AT}[{_LANDING} + 1] AS landing FROM ({_NAMED}) WHERE trip_id IS NOT NULL),
+    landed AS (SELECT DISTINCT trip_id, landing FROM timed),
+    gaps AS (
+        SELECT trip_id, landing, coalesce(lead(landing) OVER later, {READ_AT}) - landing AS gap
+        FROM landed WINDOW later AS (PARTITION BY trip_id ORDER BY landing)),
+    lives AS (
+        SELECT trip_id, max(landing) AS newest, coalesce(max(landing) FILTER (gap >= 120), -1) AS died
+        FROM gaps GROUP BY trip_id)
+    SELECT concat('vehicle:trip:', trip_id) AS "key", trip_id, mode, route_id, resolved_route_name AS route_name,
+        resolved_headsign AS headsign, latitude, longitude, label, position_timestamp AS timestamp,
+        CAST({NOW + 120} + newest AS BIGINT) AS expires_at
+    FROM timed JOIN lives USING (trip_id) WHERE landing > died
+    QUALIFY row_number() OVER (
+        PARTITION BY trip_id
+        ORDER BY position_timestamp DESC, source_timestamp DESC, mode DESC, route_id DESC, resolved_route_name DESC,
+            resolved_headsign DESC, latitude DESC, longitude DESC, label DESC) = 1"""
+
 _TRIP_FIELDS = (
     "trip_id, route_id, '04:00:00' AS start_time, strftime(start_date, '%Y%m%d') AS start_date"
 )
@@ -261,6 +286,7 @@ _ORACLES = {
             0 AS trip_schedule_relationship, stop_sequence, stop_id, stop_arrival_time, stop_departure_time,
             schedule_relationship
         FROM stops""",
+    "feed_stream_vehicle": _SILVER_VEHICLES,
     "schedule_union": f"""
         SELECT trip_id, arrival_time, stop_sequence,
             CASE WHEN {_TRAM} THEN NULL ELSE departure_time END AS departure_time
@@ -293,6 +319,7 @@ _ORACLES = {
     "live_delay_stream": _LIVE_DELAY,
     "live_vehicle": _LIVE_VEHICLE,
     "live_vehicle_stream": _LIVE_VEHICLE,
+    "live_expiry_stream": _LIVE_EXPIRY,
     "dedup_latest": "SELECT * FROM deduped_all_ties",
     "incremental_dedup": "SELECT * FROM deduped_all_ties",
     "late_rows": "SELECT * FROM deduped_all_ties",
@@ -313,6 +340,7 @@ _ORACLES = {
         SELECT {_KEYS}, source_timestamp, effective_stop_time_calculation_method
         FROM ({_dedup("rows", _SHORT_TIES)})""",
 }
+_ORACLES["feed_stream_trip"] = _ORACLES["trip_explode"]
 
 
 def oracles() -> dict[str, str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,14 @@ from headway.operators.live import DELAY_VIEW, VEHICLE_VIEW, live_view
 from headway.operators.messages import encode_value, flatten_trip_updates, parse_value
 from headway.plans import marts, silver
 from headway.plans.silver import STOP_TIME_COLUMNS, STOP_TIME_KEYS, named_positions
-from headway.schemas import SILVER_TRIP_UPDATES, SILVER_VEHICLE_POSITIONS, TRIP_UPDATE_MESSAGE
+from headway.schemas import SILVER_TRIP_UPDATES, SILVER_VEHICLE_POSITIONS, TRIP_UPDATE_MESSAGE, VEHICLE_POSITION_MESSAGE
 from headway.session import configure, fresh_dir
 from headway.sinks.live import LiveTable
 from headway.sinks.tables import append_silver, read_mart, read_table
 from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS, feed_messages, read_feeds
 from headway.sources.static import append_snapshot, load_published_tables, read_snapshots, read_static
-from headway.sources.topics import replay_topic
-from headway.streaming.jobs import start_trip_updates, start_vehicle_positions
+from headway.sources.topics import recorded_topic, replay_topic
+from headway.streaming.jobs import start_feed, start_trip_updates, start_vehicle_positions
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,12 +155,15 @@ def feed_messages_vehicle(spark, sf_dir):
     )
 
 
+def _land(snapshots: DataFrame, base: str, topic: str) -> None:
+    for mode in MODES:
+        snapshots.filter(F.col("mode") == mode).drop("mode").write.parquet(f"{base}/{mode}/{topic}")
+
+
 @query
 def feed_union(spark, sf_dir):
     base = fresh_dir(spark, "feeds")
-    snapshots = fx.trip_snapshots(spark, sf_dir)
-    for mode in MODES:
-        snapshots.filter(F.col("mode") == mode).drop("mode").write.parquet(f"{base}/{mode}/{TRIP_UPDATES}")
+    _land(fx.trip_snapshots(spark, sf_dir), base, TRIP_UPDATES)
     merged = read_feeds(spark, base, TRIP_UPDATES)
     return merged.select(
         "mode",
@@ -169,6 +173,29 @@ def feed_union(spark, sf_dir):
     )
 
 
+def _published(spark, snapshots: DataFrame, topic: str) -> DataFrame:
+    """Land the snapshots of every mode, run the publishing job over them, and read the topic it fills."""
+    base = fresh_dir(spark, "publish")
+    _land(snapshots, f"{base}/landed", topic)
+    job = start_feed(
+        spark, topic, f"{base}/landed", f"{base}/checkpoint", recording=f"{base}/topic", trigger={"availableNow": True}
+    )
+    job.awaitTermination()
+    return recorded_topic(spark, f"{base}/topic")
+
+
+@query
+def feed_stream_trip(spark, sf_dir):
+    published = _published(spark, fx.trip_snapshots(spark, sf_dir), TRIP_UPDATES)
+    return flatten_trip_updates(parse_value(published, TRIP_UPDATE_MESSAGE))
+
+
+@query
+def feed_stream_vehicle(spark, sf_dir):
+    published = _published(spark, fx.vehicle_snapshots(spark, sf_dir), VEHICLE_POSITIONS)
+    return _epoch(silver.silver_vehicle_positions(published), "event_ts")
+
+
 @query
 def feed_roundtrip(spark, sf_dir):
     stops = "value.trip_update.stop_time_update"
@@ -261,7 +288,8 @@ def latest_stops(spark, sf_dir):
 
 
 def _batch_trip_updates(spark, sf_dir) -> DataFrame:
-    return silver.silver_trip_updates(trip_records(spark, sf_dir), fx.stop_times(spark, sf_dir), fx.ZONE)
+    schedule = silver.service_schedule(fx.stop_times(spark, sf_dir))
+    return silver.silver_trip_updates(trip_records(spark, sf_dir), schedule, fx.ZONE)
 
 
 @query
@@ -352,6 +380,36 @@ def live_vehicle_stream(spark, sf_dir):
     return LiveTable(spark, config.live_table(VEHICLE_POSITIONS), VEHICLE_VIEW).read(NOW)
 
 
+# The clock at each of three landings of the topic, and when the view is read, in seconds after ``NOW``.
+LANDED_AT, READ_AT = (0, 60, 130), 170
+
+
+@query
+def live_expiry_stream(spark, sf_dir):
+    """The live vehicle view after three landings of its topic with an advancing clock.
+
+    By trip number, a trip is in the first landing only, in the first and third, in the first and second, or in all.
+    """
+    base = fresh_dir(spark, "expiry")
+    write_static(spark, sf_dir, f"{base}/static", "routes", "trips")
+    config = JobConfig(
+        static_path=f"{base}/static", live_path=f"{base}/live", checkpoint_path=f"{base}/c", enable_live_sink=True
+    )
+    landing = F.expr(
+        "CASE trip % 4 WHEN 0 THEN 0 WHEN 1 THEN (event % 2) * 2 WHEN 2 THEN event % 2 ELSE event % 3 END"
+    )
+    parsed = F.from_json(F.col("value").cast("string"), VEHICLE_POSITION_MESSAGE)
+    numbers = {"trip": parsed["vehicle"]["trip"]["trip_id"].cast("long"), "event": parsed["entity_id"].cast("long")}
+    records = vehicle_records(spark, sf_dir).withColumns(numbers).withColumn("landing", landing)
+    for number, seconds in enumerate(LANDED_AT):
+        records.filter(F.col("landing") == number).select("value").write.mode("append").parquet(f"{base}/topic")
+        replay = replay_topic(spark, f"{base}/topic")
+        clock = functools.partial(int, NOW + seconds)
+        for running in start_vehicle_positions(spark, config, replay, {"availableNow": True}, clock):
+            running.awaitTermination()
+    return LiveTable(spark, config.live_table(VEHICLE_POSITIONS), VEHICLE_VIEW).read(NOW + READ_AT)
+
+
 # --- Deduplication and marts
 
 
