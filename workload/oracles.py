@@ -67,13 +67,16 @@ _VIEWS = {
         FROM events""",
     "latest_trips": """
         SELECT trip_id, unnest(newest)
-        FROM (SELECT trip_id, arg_max({'route_id': route_id, 'trip_headsign': trip_headsign}, version) AS newest FROM trips GROUP BY trip_id)""",
+        FROM (SELECT trip_id, arg_max({'route_id': route_id, 'trip_headsign': trip_headsign}, version) AS newest
+            FROM trips GROUP BY trip_id)""",
     "latest_routes": """
         SELECT route_id, unnest(newest)
-        FROM (SELECT route_id, arg_max({'route_short_name': route_short_name, 'route_long_name': route_long_name}, version) AS newest FROM routes GROUP BY route_id)""",
+        FROM (SELECT route_id, arg_max({'route_short_name': route_short_name, 'route_long_name': route_long_name}, version) AS newest
+            FROM routes GROUP BY route_id)""",
     "latest_stops": """
         SELECT stop_id, unnest(newest)
-        FROM (SELECT stop_id, arg_max({'stop_name': stop_name}, version) AS newest FROM stops GROUP BY stop_id)""",
+        FROM (SELECT stop_id, arg_max({'stop_name': stop_name}, version) AS newest
+            FROM stops GROUP BY stop_id)""",
 }
 
 
