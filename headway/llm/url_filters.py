@@ -37,8 +37,8 @@ UNIT = 1_000_000
 DAMPING_PERCENT = 85
 ROUNDS = 8
 LEAST_DISTRUST = UNIT // 100
-# Dotted names in a page: hosts of absolute links, and hosts named in the text. Possessive, so linear in the page.
-MENTION = r"(?<![A-Za-z0-9-])[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,20}+"
+# What parts the dotted names in a page: hosts of absolute links, and hosts named in the text. Linear in the page.
+BETWEEN_NAMES = r"[^A-Za-z0-9.-]+|\.{2,}"
 
 
 def _after_scheme(url: str | Column) -> Column:
@@ -80,7 +80,8 @@ def with_rules(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def host_links(ruled: DataFrame) -> DataFrame:
     """Distinct (src, dst): different hosts of the table, the first with a page that names the second."""
-    names = F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(MENTION), F.lit(0)), ascii_lower))
+    parts = F.transform(F.split("html", BETWEEN_NAMES), lambda part: F.trim(part, F.lit(".")))
+    names = F.array_distinct(F.transform(F.filter(parts, lambda part: part.contains(".")), ascii_lower))
     found = ruled.filter("host != ''").select(F.col("host").alias("src"), F.explode(names).alias("dst"))
     known = ruled.filter("host != ''").select(F.col("host").alias("dst")).distinct()
     return found.filter("src != dst").distinct().join(known, "dst", "left_semi").select("src", "dst")

@@ -67,6 +67,15 @@ def test_trust_and_distrust_spread(spark):
     assert verdicts["lone.info"] == verdicts[""] == ("allow", False, False)
 
 
+def test_names_in_a_page(spark):
+    deep = ".".join(["d"] * 5000)
+    html = f"see //A.B/x ..c.d.. e..f.g,-h.i- .j. k.l.{'m' * 9} n@o.p {deep}"
+    hosts = ["a.b", "c.d", "e", "f.g", "-h.i-", "j", f"k.l.{'m' * 9}", "o.p", "n", deep, "d.d"]
+    pages = [(0, "http://start.org/", html, None)] + [(i + 1, f"http://{h}/", None, None) for i, h in enumerate(hosts)]
+    links = url_filters.host_links(url_filters.with_rules(spark.createDataFrame(pages, PAGES))).collect()
+    assert {row["dst"] for row in links} == {"a.b", "c.d", "f.g", "-h.i-", f"k.l.{'m' * 9}", "o.p", deep}
+
+
 def test_scores_equal_plain_iteration(spark):
     rng = random.Random(4)
     hosts = [f"h{i}.{'org' if i % 5 == 0 else 'net' if i % 7 == 0 else 'info'}" for i in range(40)]
