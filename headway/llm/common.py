@@ -26,6 +26,17 @@ def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores appended as make it differ from all columns of ``df``."""
+    taken = {column.lower() for column in df.columns}
+    free = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        free.append(name)
+    return free
+
+
 def row_key(df: DataFrame, seed: int = 0) -> Column:
     """64-bit hash over all columns of a row and over which of them are null; equal rows share it."""
     fields = []

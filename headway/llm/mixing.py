@@ -13,27 +13,32 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import row_key
+from headway.llm.common import row_key, unused
 
 SEED = 20_240_601
 DIGITS = 13  # hexadecimal digits of the hash: numbers below 2 ** 52
 RANGE = 1 << 4 * DIGITS
+TAIL = 12  # standard deviations below the mean beyond which no number below ``RANGE`` falls
 
 
-def poisson_thresholds(mean: float) -> list[int]:
-    """Cumulative probabilities of 0, 1, 2, ... events, times ``RANGE``, up to where all of it is reached."""
+def poisson_thresholds(mean: float) -> tuple[int, list[int]]:
+    """Events that are certain, and cumulative probabilities of that many, one more, ... times ``RANGE``.
+
+    The list ends where all of ``RANGE`` is reached. Its length follows the square root of the mean: what lies further
+    below the mean has a probability of less than one in ``RANGE``.
+    """
     if mean < 0 or not math.isfinite(mean):
         raise ValueError(f"no Poisson mean: {mean}")
     if mean == 0:
-        return [RANGE]
-    total, thresholds, k = 0.0, [], 0
-    last = mean + 40 * math.sqrt(mean) + 60
-    while k <= last:
-        total += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+        return 0, [RANGE]
+    certain = max(0, math.floor(mean - TAIL * math.sqrt(mean)))
+    total, thresholds, k = 0.0, [], certain
+    while (term := math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))) * RANGE >= 1 or k <= mean:
+        total += term
         thresholds.append(min(RANGE, math.floor(total * RANGE)))
         k += 1
     thresholds.append(RANGE)
-    return thresholds[: thresholds.index(RANGE) + 1]
+    return certain, thresholds[: thresholds.index(RANGE) + 1]
 
 
 def mean_repetitions(
@@ -62,12 +67,17 @@ def _hash(seed: int, *parts: str | Column) -> Column:
 
 def copies(docs: DataFrame, means: dict[str, float], other: float, seed: int = SEED, source: str = "source") -> Column:
     """Number of copies of each row: how many cumulative probabilities its hashed number has reached."""
-    constant = lambda mean: F.from_json(F.lit(str(poisson_thresholds(mean))), "array<bigint>")
-    thresholds = constant(other)
-    for name, mean in means.items():
-        thresholds = F.when(F.col(source) == name, constant(mean)).otherwise(thresholds)
+    certain, reached = map(list, zip(*(poisson_thresholds(mean) for mean in (other, *means.values()))))
+
+    def of_source(values: list[Column]) -> Column:
+        chosen = values[0]
+        for name, value in zip(means, values[1:]):
+            chosen = F.when(F.col(source) == name, value).otherwise(chosen)
+        return chosen
+
+    thresholds = of_source([F.from_json(F.lit(str(t)), "array<bigint>") for t in reached])
     number = F.conv(F.substring(_hash(seed, "doc_id"), 1, DIGITS), 16, 10).cast("bigint")
-    return F.size(F.filter(thresholds, lambda t: t <= number))
+    return of_source([F.lit(n) for n in certain]) + F.size(F.filter(thresholds, lambda t: t <= number))
 
 
 def mix(
@@ -75,20 +85,20 @@ def mix(
 ) -> DataFrame:
     """The copies of all rows in a global order that depends on the seed alone.
 
-    ``extra`` adds ``copy`` (from 1) and ``mix_key``, by which the result is sorted. Rows with one id get one number of
+    ``extra`` adds ``copy`` (from 1) and ``mix_key``, by which the result is sorted; where a column has that name
+    already, the added one gets an underscore. Rows with one id get one number of
     copies each; a null id counts as the empty text; a null source is one of the others; null texts have no size and are
     copied like any other row; an empty table gives an empty one. All columns pass through.
     """
     means, other = mean_repetitions(docs, targets, budget)
     count = copies(docs, means, other, seed)
+    copy, key = unused(docs, "copy", "mix_key")
     number = F.explode(F.when(count > 0, F.sequence(F.lit(1), count)))
-    copied = docs.select(*[F.col(f"`{name}`") for name in docs.columns], number.alias("_copy"))
-    keyed = copied.withColumn("_mix_key", _hash(seed + 1, "doc_id", "_copy"))
+    copied = docs.select(*[F.col(f"`{name}`") for name in docs.columns], number.alias(copy))
+    keyed = copied.withColumn(key, _hash(seed + 1, "doc_id", copy))
     # Rows of one id differ in the last key only.
-    ordered = keyed.orderBy("_mix_key", "doc_id", "_copy", row_key(docs))
-    if extra:
-        return ordered.withColumnsRenamed({"_copy": "copy", "_mix_key": "mix_key"})
-    return ordered.drop("_copy", "_mix_key")
+    ordered = keyed.orderBy(key, "doc_id", copy, row_key(docs))
+    return ordered if extra else ordered.drop(copy, key)
 
 
 def digest_columns(docs: DataFrame, targets: dict[str, float]) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import Batches, row_key, stored, texts_of, with_columns
+from headway.llm.common import Batches, row_key, stored, texts_of, unused, with_columns
 from headway.llm.components import connected_components
 
 BITS = 64
@@ -270,10 +270,10 @@ def keep_one(docs: DataFrame, length: int = SHINGLE, distance: int = DISTANCE) -
     least = rows.groupBy("fp").agg(F.min(order).alias("least"))
     rooted = stored(groups(rows, distance).join(least, "fp"), "simhash-groups")
     kept = rooted.groupBy("root").agg(F.min("least").alias("least"))
-    kept = kept.select(F.col("least.row").alias("_row"), F.col("least.row2").alias("_row2"))
-    keyed = docs.withColumns({"_row": row_key(docs), "_row2": row_key(docs, 1)})
+    keys = unused(docs, "_row", "_row2")
+    kept = kept.select(F.col("least.row").alias(keys[0]), F.col("least.row2").alias(keys[1]))
+    keyed = docs.withColumns({keys[0]: row_key(docs), keys[1]: row_key(docs, 1)})
     # Repeated rows share both hashes, so dropping them needs no shuffle beside the join's.
-    keys = ["_row", "_row2"]
     return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)
 
 

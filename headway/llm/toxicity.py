@@ -225,7 +225,8 @@ def train(
             }
             yield with_columns(batch.select(["doc_id", "toxic"]), new)
 
-    vectors = sample.mapInArrow(rows, "doc_id bigint, toxic int, xb array<int>, xv array<float>, swapb array<int>, swapv array<float>")
+    kind = dict(sample.dtypes)["doc_id"]
+    vectors = sample.mapInArrow(rows, f"doc_id {kind}, toxic int, xb array<int>, xv array<float>, swapb array<int>, swapv array<float>")
     return _trained(vectors, totals, chosen, l1, counterfactual)
 
 

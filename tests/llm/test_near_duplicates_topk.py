@@ -116,6 +116,12 @@ def test_near_duplicates_on_odd_rows(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.keep_one(docs.limit(0)).count() == 0
 
 
+def test_keep_one_keeps_columns_with_its_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d", "p", 4), (2, "a b c d", "q", 5)], "doc_id bigint, text string, _row string, _ROW2 int")
+    kept = simhash.keep_one(docs)
+    assert kept.schema == docs.schema and [tuple(row) for row in kept.collect()] == [(1, "a b c d", "p", 4)]
+
+
 def test_repeated_rows_keep_one(spark):
     docs = spark.createDataFrame([(1, "a b c d")] * 5 + [(None, "q r s t")] * 4, "doc_id bigint, text string")
     assert sorted(row["text"] for row in simhash.keep_one(docs).collect()) == ["a b c d", "q r s t"]

@@ -89,14 +89,32 @@ def test_no_python_in_quality_rules(spark):
 # --- Mixing
 
 
-@pytest.mark.parametrize("mean", [0, 0.01, 0.3, 1, 4.5, 60, 2000])
+@pytest.mark.parametrize("mean", [0, 0.01, 0.3, 1, 4.5, 60, 2000, 1e8])
 def test_poisson_thresholds(mean):
-    thresholds = mixing.poisson_thresholds(mean)
+    certain, thresholds = mixing.poisson_thresholds(mean)
+    assert len(thresholds) < 30 * math.sqrt(mean) + 100
     assert thresholds == sorted(thresholds) and thresholds[-1] == mixing.RANGE
-    expected = sum(1 - t / mixing.RANGE for t in thresholds)
+    expected = certain + sum(1 - t / mixing.RANGE for t in thresholds)
     assert expected == pytest.approx(mean, rel=1e-6, abs=1e-9)
 
 
+def test_mixing_repeats_a_tiny_source_often(spark):
+    docs = spark.createDataFrame([(1, "tiny", "ab"), (2, "large", "x" * 4000)], "doc_id bigint, source string, text string")
+    counts = Counter(row["source"] for row in mixing.mix(docs, {"tiny": 0.5}).collect())
+    assert counts["tiny"] == pytest.approx(1000.5, abs=5 * math.sqrt(1000.5))
+
+
+def test_mixing_keeps_columns_with_its_names(spark):
+    docs = spark.createDataFrame(
+        [(i, "s", "text", i, f"k{i}", "Z") for i in range(50)],
+        "doc_id bigint, source string, text string, copy bigint, mix_key string, _copy string",
+    )
+    rows = mixing.mix(docs, {}, extra=True).collect()
+    assert mixing.mix(docs, {}).columns == docs.columns
+    assert rows and all((r["copy"], r["mix_key"], r["_copy"]) == (r["doc_id"], f"k{r['doc_id']}", "Z") for r in rows)
+    assert [r["mix_key_"] for r in rows] == sorted(r["mix_key_"] for r in rows) and all(r["copy_"] >= 1 for r in rows)
+
+
 def test_mixing_reaches_its_shares(spark):
     rows = [(i, "hot" if i % 3 == 0 else f"s{i % 7}", "some text", "k") for i in range(6000)] + [(None, None, None, "k"), (1, "s1", "", "k")]
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string, copy string")
