@@ -9,7 +9,20 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import bpe, mixing, pii, quality_rules, simhash, topk, toxicity, url_filters, warc, weak_labels
+from headway.llm import (
+    bpe,
+    filter_audit,
+    mixing,
+    pii,
+    quality_rules,
+    secrets,
+    simhash,
+    topk,
+    toxicity,
+    url_filters,
+    warc,
+    weak_labels,
+)
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +74,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest_columns(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def on_workers(run: Query) -> Query:
     """Let Python workers import this package from where the driver has it, as they do when it is installed."""
     root = str(Path(__file__).resolve().parents[2])
@@ -87,6 +108,8 @@ def llm_queries() -> dict[str, Query]:
         op8_quality_rules,
         op9_mixing,
         op10_toxicity,
+        op12_filter_audit,
+        op13_secrets,
     )
     return {run.__name__: on_workers(run) for run in operators}
 
@@ -122,4 +145,9 @@ FROM copied"""
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_url_filters": url_filters.judge_sql(), "op9_mixing": mixing_sql()}
+    return {
+        "op2_url_filters": url_filters.judge_sql(),
+        "op9_mixing": mixing_sql(),
+        "op12_filter_audit": filter_audit.audit_sql(),
+        "op13_secrets": secrets.digest_sql(),
+    }
