@@ -14,6 +14,7 @@ from headway.llm import (
     filter_audit,
     mixing,
     pii,
+    prefix_trie,
     quality_rules,
     secrets,
     simhash,
@@ -74,6 +75,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -108,6 +113,7 @@ def llm_queries() -> dict[str, Query]:
         op8_quality_rules,
         op9_mixing,
         op10_toxicity,
+        op11_prefix_trie,
         op12_filter_audit,
         op13_secrets,
     )
@@ -148,6 +154,7 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op2_url_filters": url_filters.judge_sql(),
         "op9_mixing": mixing_sql(),
+        "op11_prefix_trie": prefix_trie.trie_sql(),
         "op12_filter_audit": filter_audit.audit_sql(),
         "op13_secrets": secrets.digest_sql(),
     }
