@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import Batches
+from headway.llm.common import Batches, stored
 
 FILTERS = "ABCDE"
 # Fixed values of the filters.
@@ -173,7 +173,7 @@ def failing_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     wanted = docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"), F.col("text").cast("string").alias("text"))
     scanned = wanted.mapInArrow(_scanned, f"doc_id {kind}, part string, digest binary, fails int")
-    rows = scanned.groupBy("doc_id", "part", "digest", "fails").agg(F.count("*").alias("n"))
+    rows = stored(scanned.groupBy("doc_id", "part", "digest", "fails").agg(F.count("*").alias("n")), "audit-rows")
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("is_first", F.lit(True))
     marked = rows.join(first, ["digest", "doc_id"], "left")
     known = labels.select(
