@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from headway.functions import EVENT_PARTITIONS, from_hour, hour_of
-from headway.operators.latest import latest_by
+from headway.operators.key_filter import key_bits, may_match
+from headway.operators.latest import age_columns, latest_by, named
 from headway.storage import child_names, delete, exists, make_dir, move
 
 
@@ -91,35 +97,164 @@ def hours_from(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
     return _read_hours(spark, path, folders) if folders else None
 
 
+@dataclass(frozen=True)
+class Upsert:
+    """What an upsert changes: new contents of the touched hours, and the rows these gain and lose.
+
+    ``mark`` is the bound that was used, None for a first load. ``done`` lets go of what was kept in memory.
+    """
+
+    mark: int | None
+    hours: list[tuple[int, ...]]
+    rows: DataFrame
+    gained: DataFrame
+    lost: DataFrame | None
+    done: Callable[[], object]
+
+
+def plan_upsert(
+    spark: SparkSession, source: DataFrame, target: str, spec: UpsertSpec, table_format: str = "parquet"
+) -> Upsert:
+    """Compare the source rows after the stored mark with the stored rows of the hours they fall into.
+
+    Only the new rows are ranked. A fixed-size bit filter over their keys lets the stored rows that nothing replaces
+    pass without a join; the few others meet the new rows by key, one row against one.
+    """
+    settle(spark, target)
+    mark = stored_mark(spark, target, spec.mark, table_format)
+    if mark is not None:
+        mark -= spec.late_seconds
+    fresh = latest_by(rows_after(dated(source), mark, spec.mark), spec.keys, [spec.mark], spec.ties)
+    if mark is None:
+        return Upsert(None, [], fresh, fresh, None, lambda: None)
+    fresh = fresh.persist()
+    done = functools.partial(fresh.unpersist)
+    hours = sorted(tuple(row) for row in fresh.select(*EVENT_PARTITIONS).distinct().collect())
+    old = hours_among(spark, target, hours, table_format)
+    if old is None:
+        return Upsert(mark, hours, fresh, fresh, None, done)
+
+    whole = append_columns(old.limit(0), fresh.limit(0)).schema
+    old, new = _in_schema(old, whole), _in_schema(fresh, whole)
+    age = F.struct(*map(named, age_columns(whole, spec.keys, [spec.mark], spec.ties)))
+    marked = may_match(old, key_bits(fresh, spec.keys), spec.keys, "_may")
+    apart, near = marked.filter("NOT _may").drop("_may"), marked.filter("_may").drop("_may")
+    rivals = new.select(*(named(key).alias(f"_{i}") for i, key in enumerate(spec.keys)), age.alias("_age"))
+    met = near.join(rivals, _same_key(spec.keys), "left").withColumn("_beaten", F.coalesce(age <= F.col("_age"), F.lit(False)))
+    stays, lost = (met.filter(kept).select(*map(named, whole.names)) for kept in ("NOT _beaten", "_beaten"))
+    gained = new
+    if spec.late_seconds:  # else every new row is newer than all stored ones
+        winners = met.filter("_age IS NOT NULL AND NOT _beaten").select(*(named(k).alias(f"_{i}") for i, k in enumerate(spec.keys)))
+        gained = new.join(winners, _same_key(spec.keys), "left_anti")
+    return Upsert(mark, hours, apart.unionByName(stays).unionByName(gained), gained, lost, done)
+
+
+def _same_key(keys: Sequence[str]) -> Column:
+    return functools.reduce(and_, (named(key).eqNullSafe(F.col(f"_{i}")) for i, key in enumerate(keys)))
+
+
+def _in_schema(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` by name; those that are missing are NULL."""
+    present = set(df.columns)
+    return df.select(
+        *(
+            (named(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        )
+    )
+
+
 def upsert_latest(
     spark: SparkSession, source: DataFrame, target: str, spec: UpsertSpec, table_format: str = "parquet"
 ) -> int | None:
     """Fold the source rows after the stored mark into the table at ``target``; returns the mark used.
 
-    A new row replaces the stored row of the same key. New rows lie in the mark's hour or later and stored rows
-    in that hour or earlier, so only that one hour is read back and only touched hours are overwritten. Late
-    rows at or below the mark are skipped, unless ``late_seconds`` moves the mark back. Rows without an event hour
-    are never stored.
+    A new row replaces the stored row of the same key. Hours are part of the key, so only the hours that new rows fall
+    into are read back and overwritten. Late rows at or below the mark are skipped, unless ``late_seconds`` moves the
+    mark back. Rows without an event hour are never stored.
 
     A lost driver loses nothing: see ``replace_hours``.
     """
-    stored = stored_hour(spark, target, table_format)
-    mark = None if stored is None else max_mark(stored, spec.mark).first()[0]
-    if mark is not None and spec.late_seconds:
-        mark -= spec.late_seconds
-        whole = spark.read.format(table_format).load(target) if table_format != "parquet" else None
-        stored = hours_from(spark, target, mark) if whole is None else whole.filter(from_hour(mark))
-    fresh = rows_after(dated(source), mark, spec.mark)
-    merged = fresh if mark is None else append_columns(stored, fresh)
-    newest = latest_by(merged, spec.keys, [spec.mark], spec.ties)
-    replace_hours(newest, target, table_format, first=mark is None)
-    return mark
+    planned = plan_upsert(spark, source, target, spec, table_format)
+    try:
+        replace_hours(planned.rows, target, table_format, first=planned.mark is None)
+    finally:
+        planned.done()
+    return planned.mark
+
+
+def settle(spark: SparkSession, target: str) -> None:
+    """Deal with what a lost driver left of ``replace_hours``."""
+    if exists(spark, f"{target}_staging/_SUCCESS"):
+        publish_hours(spark, f"{target}_staging", target)
+
+
+def is_loaded(spark: SparkSession, target: str) -> bool:
+    """Whether there is a table whose first load was finished."""
+    return exists(spark, target) and not exists(spark, f"{target}_loading")
+
+
+def stored_mark(spark: SparkSession, target: str, column: str, table_format: str = "parquet") -> int | None:
+    """The greatest ``column`` of the newest stored hour, in which the table's greatest lies; None without rows.
+
+    For Parquet it comes from the footers of that hour's files.
+    """
+    if not is_loaded(spark, target):
+        return None
+    if table_format != "parquet":
+        newest = newest_hour(spark, target, table_format)
+        return None if newest is None else max_mark(newest, column).first()[0]
+    folder = next(hour_folders(spark, target), None)
+    return None if folder is None else footer_max(spark, folder, column)
+
+
+# Scans by Spark's newer reader, which can answer a maximum from footers, and lets it do so.
+FOOTER_SETTINGS = {
+    "spark.sql.sources.useV1SourceList": "",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
+def footer_scan(spark: SparkSession, folder: str, column: str) -> DataFrame:
+    """One row with the greatest ``column`` of the files in ``folder``, as their footers tell it."""
+    reader = spark.newSession()
+    for key, value in FOOTER_SETTINGS.items():
+        reader.conf.set(key, value)
+    return max_mark(reader.read.parquet(folder), column)
+
+
+def footer_max(spark: SparkSession, folder: str, column: str) -> int | None:
+    """The greatest ``column`` of the files in ``folder``; NULL without rows.
+
+    Footers have no maximum of a row group that is all NULL or was written without statistics. Such files are scanned.
+    """
+    try:
+        return footer_scan(spark, folder, column).first()[0]
+    except (PySparkException, Py4JError) as error:
+        if "No min/max found" not in str(error):
+            raise
+        return max_mark(spark.read.parquet(folder), column).first()[0]
+
+
+def hours_among(
+    spark: SparkSession, target: str, hours: Sequence[tuple[int, ...]], table_format: str = "parquet"
+) -> DataFrame | None:
+    """The stored rows of the given hours (year to hour); None if there are none. Opens no file of another hour."""
+    if table_format != "parquet":
+        inside = F.struct(*EVENT_PARTITIONS).isin([F.struct(*map(F.lit, hour)) for hour in hours]) if hours else F.lit(False)
+        return spark.read.format(table_format).load(target).filter(inside)
+    folders = [f"{target}/{hour_path(hour)}" for hour in hours]
+    there = [folder for folder in folders if any(name.endswith(".parquet") for name in child_names(spark, folder))]
+    return _read_hours(spark, target, there) if there else None
+
+
+def hour_path(hour: Sequence[int]) -> str:
+    return "/".join(f"{level}={value}" for level, value in zip(EVENT_PARTITIONS, hour))
 
 
 def stored_hour(spark: SparkSession, target: str, table_format: str = "parquet") -> DataFrame | None:
     """The rows of the newest hour, after what a lost driver left of ``replace_hours`` has been dealt with."""
-    if exists(spark, f"{target}_staging/_SUCCESS"):
-        _publish(spark, f"{target}_staging", target)
+    settle(spark, target)
     return None if exists(spark, f"{target}_loading") else newest_hour(spark, target, table_format)
 
 
@@ -139,7 +274,30 @@ def replace_hours(df: DataFrame, target: str, table_format: str = "parquet", fir
         delete(spark, f"{target}_loading")
     else:
         _write_hours(gathered, f"{target}_staging", "parquet", "static")
-        _publish(spark, f"{target}_staging", target)
+        publish_hours(spark, f"{target}_staging", target)
+
+
+def replace_together(tables: Mapping[str, DataFrame], marker: str) -> None:
+    """Replace hours of several Parquet tables at ``tables``' paths, all or none of them.
+
+    All are staged before the ``marker`` folder is made, and published after it. ``settle_together`` finishes what a lost
+    driver left.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    for target, rows in tables.items():
+        _write_hours(rows.hint("rebalance", *EVENT_PARTITIONS), f"{target}_joint", "parquet", "static")
+    make_dir(spark, marker)
+    settle_together(spark, list(tables), marker)
+
+
+def settle_together(spark: SparkSession, targets: Sequence[str], marker: str) -> None:
+    """Publish what is staged for ``targets`` if all of it is, else drop it."""
+    if exists(spark, marker):
+        for target in targets:
+            publish_hours(spark, f"{target}_joint", target)
+        delete(spark, marker)
+    for target in targets:
+        delete(spark, f"{target}_joint")
 
 
 def _write_hours(df: DataFrame, path: str, table_format: str, overwrite: str) -> None:
@@ -152,7 +310,7 @@ def _write_hours(df: DataFrame, path: str, table_format: str, overwrite: str) ->
     )
 
 
-def _publish(spark: SparkSession, staging: str, target: str) -> None:
+def publish_hours(spark: SparkSession, staging: str, target: str) -> None:
     """Move the staged hours into the target; repeating it moves those that are still there."""
     for folder in list(hour_folders(spark, staging)):
         move(spark, folder, f"{target}{folder.removeprefix(staging)}")

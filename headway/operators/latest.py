@@ -4,22 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 
-def _orderable(kind: DataType) -> bool:
-    if isinstance(kind, StructType):
-        return all(_orderable(field.dataType) for field in kind)
+def _sortable(kind: DataType) -> bool:
+    """Whether values of a type have an order; maps and variants have none, nor has anything that holds one."""
     if isinstance(kind, ArrayType):
-        return _orderable(kind.elementType)
-    return not isinstance(kind, (MapType, VariantType))
+        return _sortable(kind.elementType)
+    parts = [field.dataType for field in kind] if isinstance(kind, StructType) else []
+    return not isinstance(kind, (MapType, VariantType)) and all(map(_sortable, parts))
 
 
-def total_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
-    """``order`` followed by every other orderable non-key column, so that only identical rows can tie."""
-    taken = {*keys, *order}
-    return [*order, *(f.name for f in df.schema if f.name not in taken and _orderable(f.dataType))]
+def named(name: str) -> Column:
+    """A top-level column of any name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def age_columns(schema: StructType, keys: Sequence[str], order: Sequence[str], ties: Sequence[str] | None = None) -> list[str]:
+    """What decides which of two rows of a key is newer: ``order``, then ``ties``.
+
+    By default all other columns that have an order break ties, so that only identical rows can tie.
+    """
+    if ties is None:
+        ties = [field.name for field in schema if field.name not in {*keys, *order} and _sortable(field.dataType)]
+    return [*order, *ties]
 
 
 def latest_by(
@@ -34,8 +44,6 @@ def latest_by(
     pass a shorter list when it is already decisive and wide rows should stay prunable. Filtering on rank 1 lets
     Spark keep one row per key in each input task before the shuffle, so a hot key costs one row per task.
     """
-    ranking = total_order(df, keys, order) if ties is None else [*order, *ties]
-    newest_first = ", ".join(f"`{name}` DESC NULLS LAST" for name in ranking)
-    per_key = ", ".join(f"`{name}`" for name in keys)
-    ranked = df.selectExpr("*", f"row_number() OVER (PARTITION BY {per_key} ORDER BY {newest_first}) AS row_num")
-    return ranked.filter("row_num = 1").drop("row_num")
+    newest_first = [named(name).desc_nulls_last() for name in age_columns(df.schema, keys, order, ties)]
+    per_key = Window.partitionBy(*map(named, keys)).orderBy(*newest_first)
+    return df.withColumn("row_num", F.row_number().over(per_key)).filter("row_num = 1").drop("row_num")

@@ -3,25 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from headway.functions import EVENT_PARTITIONS, epoch_of, from_hour
+from headway.functions import EVENT_PARTITIONS
 from headway.operators.enrich import join_static
 from headway.operators.incremental import (
+    Upsert,
     UpsertSpec,
     dated,
+    hours_among,
     hours_from,
-    max_mark,
+    is_loaded,
     newest_hour,
+    plan_upsert,
     replace_hours,
-    stored_hour,
+    replace_together,
+    settle_together,
+    stored_mark,
     upsert_latest,
 )
 from headway.operators.latest import latest_by
 from headway.schemas import SILVER_TRIP_UPDATES
+from headway.sinks.closed import read_silver
 from headway.sinks.tables import read_table, replace_mart
 from headway.sources.static import read_snapshots
 
@@ -93,33 +100,94 @@ def _look_up(facts: DataFrame, dimension: DataFrame, key: str, columns: list[str
     return join_static(facts, current, [key, "mode"])
 
 
-def _grown_schema(spark: SparkSession, silver_path: str, deduped_path: str, table_format: str) -> StructType:
+def _grown_schema(spark: SparkSession, silver_path: str, deduped_path: str, table_format: str, late_seconds: int) -> StructType:
     """The declared silver columns, and those the silver files of the hours that are still to be read have besides.
 
     The first run, which reads everything, looks at the newest hour: columns are only ever added.
     """
     if table_format != "parquet":
         return SILVER_TRIP_UPDATES  # such a table keeps its own schema, which a read takes as it is
-    stored = stored_hour(spark, deduped_path)
-    mark = None if stored is None else max_mark(stored, DEDUP.mark).first()[0]
-    unread = newest_hour(spark, silver_path) if mark is None else hours_from(spark, silver_path, mark - DEDUP.late_seconds)
+    mark = stored_mark(spark, deduped_path, DEDUP.mark)
+    unread = newest_hour(spark, silver_path) if mark is None else hours_from(spark, silver_path, mark - late_seconds)
     found = [] if unread is None else unread.schema.fields
     return StructType([*SILVER_TRIP_UPDATES.fields, *(f for f in found if f.name not in SILVER_TRIP_UPDATES.names)])
 
 
-def refresh_counts(deduped: DataFrame, path: str, key: str, table_format: str = "parquet") -> DataFrame:
-    """Bring the stored hourly counts per ``key`` up to date with the deduplicated table, and read them.
+# The two tables of hourly counts and what each counts by.
+COUNTS = {"stop_counts": "stop_id", "trip_counts": "trip_id"}
 
-    An upsert changes no hour before the newest one it found, less the seconds it looks back, and the counts reach
-    up to that hour. Only from there on are hours recounted; a refresh that was lost in between is made up for.
+
+def weighed_counts(rows: DataFrame, weight: str) -> DataFrame:
+    """Hourly counts by stop and by trip in one pass over ``rows``, each row counted ``weight`` times.
+
+    ``by_trip`` says which of the two a row of the result is; the other key is NULL in it.
     """
-    spark = deduped.sparkSession
-    stored = stored_hour(spark, path, table_format)
-    newest = None if stored is None else stored.select(*EVENT_PARTITIONS).first()
-    changed = deduped if newest is None else deduped.filter(from_hour(epoch_of(newest) - DEDUP.late_seconds))
-    replace_hours(hourly_counts(changed, key), path, table_format, first=newest is None)
-    schema = changed.select(key, *HOUR).schema.add("total_stops", "long").add("on_time_stops", "long")
-    return read_table(spark, path, table_format, schema)
+    keys = [F.col(name) for name in (*COUNTS.values(), *HOUR)]
+    hour = [F.col(name) for name in HOUR]
+    on_time = F.when(F.col("delay_seconds") < ON_TIME_BELOW_SECONDS, F.col(weight)).otherwise(0)
+    grouped = rows.groupingSets([[F.col(key), *hour] for key in COUNTS.values()], *keys)
+    return grouped.agg(
+        (F.grouping("trip_id") == 0).alias("by_trip"),
+        F.sum(weight).cast("bigint").alias("total_stops"),
+        F.sum(on_time).cast("bigint").alias("on_time_stops"),
+    )
+
+
+def _of_table(counts: DataFrame, name: str) -> DataFrame:
+    key = COUNTS[name]
+    return counts.filter(F.col("by_trip") == (key == "trip_id")).select(key, *HOUR, "total_stops", "on_time_stops")
+
+
+def counted_anew(deduped: DataFrame, target_path: str, table_format: str = "parquet") -> None:
+    """Write both tables of counts from the whole deduplicated table."""
+    counts = weighed_counts(deduped.withColumn("weight", F.lit(1)), "weight").persist()
+    for name in COUNTS:
+        replace_hours(_of_table(counts, name), f"{target_path}/{name}", table_format, first=True)
+    counts.unpersist()
+
+
+def changed_counts(planned: Upsert, target_path: str) -> dict[str, DataFrame]:
+    """Both tables' counts of the touched hours: the stored ones, plus the rows gained, less the rows lost.
+
+    Reads no row of the deduplicated table but the ones that are lost. A count that has come to zero is left out.
+    """
+    needed = [*COUNTS.values(), *HOUR, "delay_seconds"]
+    changes = planned.gained.select(*needed, F.lit(1).alias("weight"))
+    if planned.lost is not None:
+        changes = changes.unionByName(planned.lost.select(*needed, F.lit(-1).alias("weight")))
+    difference, renewed = weighed_counts(changes, "weight").persist(), {}
+    for name, key in COUNTS.items():
+        path = f"{target_path}/{name}"
+        rows, stored = _of_table(difference, name), hours_among(changes.sparkSession, path, planned.hours)
+        both = rows if stored is None else rows.unionByName(stored.select(rows.columns))
+        sums = [F.sum(column).alias(column) for column in ("total_stops", "on_time_stops")]
+        renewed[path] = both.groupBy(key, *HOUR).agg(*sums).filter("total_stops != 0")
+    return renewed
+
+
+def refresh_tables(
+    spark: SparkSession, silver: DataFrame, target_path: str, table_format: str = "parquet", late_seconds: int = 0
+) -> None:
+    """Fold new silver rows into the deduplicated table and the hourly counts.
+
+    The deduplicated table and the counts change together or not at all, so that counts kept by difference cannot drift.
+    Where the counts are missing, and in a table format whose tables cannot be replaced together, they are counted from
+    the deduplicated table.
+    """
+    deduped_path, marker = f"{target_path}/trip_updates_deduped", f"{target_path}/refresh_staged"
+    paths = [deduped_path, *(f"{target_path}/{name}" for name in COUNTS)]
+    spec = replace(DEDUP, late_seconds=late_seconds)
+    together = table_format == "parquet" and all(is_loaded(spark, path) for path in paths)
+    if together:
+        settle_together(spark, paths, marker)
+        planned = plan_upsert(spark, silver, deduped_path, spec)
+        together = planned.mark is not None  # a table without rows is loaded anew
+        if together and planned.hours:
+            replace_together({deduped_path: planned.rows, **changed_counts(planned, target_path)}, marker)
+        planned.done()
+    if not together:
+        upsert_latest(spark, silver, deduped_path, spec, table_format)
+        counted_anew(read_table(spark, deduped_path, table_format, SILVER_TRIP_UPDATES), target_path, table_format)
 
 
 def refresh_marts(
@@ -128,23 +196,27 @@ def refresh_marts(
     static_path: str,
     target_path: str,
     table_format: str = "parquet",
+    late_seconds: int = 0,
 ) -> None:
     """Fold new silver rows into the deduplicated table and bring both marts up to date.
 
-    Columns that silver has gained go with them: they are looked for in the files of the hours to be read. The
-    dimensions join counts of past hours anew, as a changed one alters them; the rows behind those counts are
-    not read again.
+    Rows up to ``late_seconds`` older than the newest stored one are still taken in. Columns that silver has gained go with
+    them: they are looked for in the files of the hours to be read. The dimensions join counts of past hours anew, as a
+    changed one alters them; the rows behind those counts are not read again.
     """
     deduped_path = f"{target_path}/trip_updates_deduped"
-    silver = read_table(spark, silver_path, table_format, _grown_schema(spark, silver_path, deduped_path, table_format))
-    upsert_latest(spark, silver, deduped_path, DEDUP, table_format)
-    deduped = read_table(spark, deduped_path, table_format, SILVER_TRIP_UPDATES)
+    schema = _grown_schema(spark, silver_path, deduped_path, table_format, late_seconds)
+    silver = read_silver(spark, silver_path, table_format, schema)
+    refresh_tables(spark, silver, target_path, table_format, late_seconds)
+
+    def counts(name: str) -> DataFrame:
+        schema = SILVER_TRIP_UPDATES[COUNTS[name]].dataType
+        declared = StructType([StructField(COUNTS[name], schema), *(SILVER_TRIP_UPDATES[column] for column in HOUR)])
+        return read_table(spark, f"{target_path}/{name}", table_format, declared.add("total_stops", "long").add("on_time_stops", "long"))
 
     def dimension(name: str) -> DataFrame:
         return read_snapshots(spark, f"{static_path}/{name}", table_format)
 
-    per_stop = refresh_counts(deduped, f"{target_path}/stop_counts", "stop_id", table_format)
-    replace_mart(stop_mart(per_stop, dimension("stops")), f"{target_path}/stop_hourly", table_format)
-    per_trip = refresh_counts(deduped, f"{target_path}/trip_counts", "trip_id", table_format)
-    routes = route_mart(per_trip, dimension("trips"), dimension("routes"))
+    replace_mart(stop_mart(counts("stop_counts"), dimension("stops")), f"{target_path}/stop_hourly", table_format)
+    routes = route_mart(counts("trip_counts"), dimension("trips"), dimension("routes"))
     replace_mart(routes, f"{target_path}/route_hourly", table_format)

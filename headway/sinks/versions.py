@@ -24,26 +24,32 @@ class Versions:
     def _folder(self, version: int) -> str:
         return f"{self.path}/version={version}"
 
-    def _finished(self) -> list[int]:
+    def _numbers(self) -> list[int]:
+        """Numbers of all versions, oldest first; one listing."""
         names = child_names(self.spark, self.path)
-        numbers = sorted(int(name.removeprefix("version=")) for name in names if name.startswith("version="))
-        return [n for n in numbers if exists(self.spark, f"{self._folder(n)}/_SUCCESS")]
+        return sorted(int(name.removeprefix("version=")) for name in names if name.startswith("version="))
+
+    def _newest_finished(self, numbers: list[int]) -> int | None:
+        """Only the newest version can be an unfinished one, which the next ``add`` overwrites."""
+        return next((n for n in reversed(numbers) if exists(self.spark, f"{self._folder(n)}/_SUCCESS")), None)
 
     def newest(self) -> DataFrame | None:
         """The newest version; None before the first one."""
-        finished = self._finished()
-        return self.spark.read.parquet(self._folder(finished[-1])) if finished else None
+        version = self._newest_finished(self._numbers())
+        return None if version is None else self.spark.read.parquet(self._folder(version))
 
     def add(self, df: DataFrame) -> None:
         """Write ``df`` as the next version. ``df`` may read the newest one."""
-        finished = self._finished()
-        version = finished[-1] + 1 if finished else 0
+        numbers = self._numbers()
+        last = self._newest_finished(numbers)
+        version = 0 if last is None else last + 1
         df.write.mode("overwrite").parquet(self._folder(version))
-        self._forget([*finished, version])
+        self._forget([*(n for n in numbers if n < version), version])
 
     def _forget(self, finished: list[int]) -> None:
-        """Delete the versions whose successor is older than the retention."""
-        written = [modified_at(self.spark, f"{self._folder(v)}/_SUCCESS") for v in finished]
-        for version, replaced in zip(finished, written[1:]):
-            if written[-1] - replaced > self.retain_seconds:
-                delete(self.spark, self._folder(version))
+        """Delete the versions whose successor is older than the retention; looks no further than the first young one."""
+        now = modified_at(self.spark, f"{self._folder(finished[-1])}/_SUCCESS")
+        for version, successor in zip(finished, finished[1:]):
+            if now - modified_at(self.spark, f"{self._folder(successor)}/_SUCCESS") <= self.retain_seconds:
+                break
+            delete(self.spark, self._folder(version))

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.storage import child_names, exists
+from headway.storage import child_names, child_times, exists
 
 # Folder number of each mode in the published archive, and the tables that are kept.
 MODE_FOLDERS = {"4": "bus"}
@@ -99,18 +99,40 @@ def append_snapshot(snapshot: DataFrame, path: str, table_format: str = "parquet
     )
 
 
+def snapshot_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders of all snapshots below a Parquet table, by mode and then date."""
+    mode, day = (f"{name}=" for name in SNAPSHOT_PARTITIONS)
+    below = lambda folder, prefix: sorted(n for n in child_names(spark, folder) if n.startswith(prefix))
+    return [f"{path}/{m}/{d}" for m in below(path, mode) for d in below(f"{path}/{m}", day)]
+
+
+def schema_files(spark: SparkSession, path: str) -> list[str]:
+    """The newest file of each snapshot. One load writes a snapshot's files alike, so these know all its columns."""
+    newest = []
+    for folder in snapshot_folders(spark, path):
+        times = {name: t for name, t in child_times(spark, folder).items() if name.endswith(".parquet")}
+        if times:
+            newest.append(f"{folder}/{max(times, key=lambda name: (times[name], name))}")
+    return newest
+
+
 def read_snapshots(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
-    """All versions of a dimension; columns added by later snapshots are NULL in earlier ones."""
-    return spark.read.format(table_format).option("mergeSchema", True).load(path)
+    """All versions of a dimension; columns added by later snapshots are NULL in earlier ones.
+
+    The schema of a Parquet table is merged from one footer of each snapshot, not from all footers of all history.
+    """
+    if table_format != "parquet":
+        return spark.read.format(table_format).option("mergeSchema", True).load(path)
+    files = schema_files(spark, path)
+    if not files:  # not partitioned by snapshot
+        return spark.read.option("mergeSchema", True).parquet(path)
+    schema = spark.read.option("basePath", path).option("mergeSchema", True).parquet(*files).schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_newest_snapshots(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """The newest dated snapshot of each mode below a Parquet table, in declared types; opens no other file."""
-    newest = []
-    for mode in child_names(spark, path):
-        dates = [name for name in child_names(spark, f"{path}/{mode}") if name.startswith(f"{SNAPSHOT_PARTITIONS[1]}=")]
-        if mode.startswith(f"{SNAPSHOT_PARTITIONS[0]}=") and dates:
-            newest.append(f"{path}/{mode}/{max(dates)}")
+    newest = list({folder.rsplit("/", 1)[0]: folder for folder in snapshot_folders(spark, path)}.values())
     if not newest:
         raise ValueError(f"no snapshot below {path}")
     return read_static(spark, newest, columns)

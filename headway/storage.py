@@ -23,6 +23,14 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(location)]
 
 
+def child_times(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names directly below ``path`` with the epoch seconds at which each was last written, in one listing."""
+    fs, location = _locate(spark, path)
+    if not fs.exists(location):
+        return {}
+    return {status.getPath().getName(): status.getModificationTime() / 1000 for status in fs.listStatus(location)}
+
+
 def modified_at(spark: SparkSession, path: str) -> float:
     """Epoch seconds at which a file was last written, by the store's clock."""
     fs, location = _locate(spark, path)
@@ -39,6 +47,15 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(location)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file or folder another place in the same store, where there is nothing yet. One step for whoever looks."""
+    fs, location = _locate(spark, source)
+    _, place = _locate(spark, target)
+    fs.mkdirs(place.getParent())
+    if fs.exists(place) or not fs.rename(location, place):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Put a folder in the place of another one of the same store."""
     fs, location = _locate(spark, source)

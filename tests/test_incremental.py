@@ -81,7 +81,7 @@ def test_a_lost_driver_between_staging_and_publishing(spark, rows, tmp_path, mon
         def lost(*_):
             raise RuntimeError("driver lost")
 
-        broken.setattr(incremental, "_publish", lost)
+        broken.setattr(incremental, "publish_hours", lost)
         try:
             upsert_latest(spark, silver(rows, [("b", HOUR + 9, 2)]), target, SPEC)
         except RuntimeError:

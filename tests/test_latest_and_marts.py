@@ -5,11 +5,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from headway.functions import from_hour
 from headway.operators.latest import latest_by
-from headway.plans.marts import dedup_latest, hourly_counts, latest_version, refresh_counts, route_hourly, stop_hourly
-from headway.schemas import SILVER_TRIP_UPDATES
-from headway.sinks.tables import read_mart, read_table, replace_mart
+from headway.plans.marts import dedup_latest, hourly_counts, latest_version, route_hourly, stop_hourly
+from headway.sinks.tables import read_mart, replace_mart
 from workload import fixtures as fx
 
 UPDATES = (
@@ -209,22 +207,10 @@ def test_a_hot_trip_is_split_in_the_schedule_join(spark, tmp_path):
             spark.conf.set(key, value)
 
 
-def test_a_refresh_recounts_only_the_newest_hours(spark, tmp_path):
-    """Two refreshes equal counting everything; the second reads no older hour, and readers keep what they opened."""
-    path, updates = str(tmp_path), fx.silver_updates(spark, SF_DIR)
-    deduped = dedup_latest(updates)
-    deduped.write.partitionBy("year", "month", "day", "hour").parquet(f"{path}/deduped")
-    stored = read_table(spark, f"{path}/deduped", schema=SILVER_TRIP_UPDATES)
-    split = updates.agg(F.expr("percentile(source_timestamp, 0.5)").cast("long")).first()[0]
-    refresh_counts(stored.filter(F.col("source_timestamp") < split), f"{path}/counts", "trip_id")
-    columns = ["trip_id", "mode", "year", "month", "day", "hour", "total_stops", "on_time_stops"]
-    counts = refresh_counts(stored, f"{path}/counts", "trip_id").select(columns)
-    expected = hourly_counts(deduped, "trip_id").select(columns)
-    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, expected.collect()))
-    recount = hourly_counts(stored.filter(from_hour(split)), "trip_id")
-    line = next(text for text in plan_of(recount).splitlines() if "PartitionFilters" in text)
-    assert "PartitionFilters: []" not in line and "struct" in line.split("PartitionFilters")[1]
+def test_a_mart_is_replaced_as_a_whole(spark, tmp_path):
+    """Readers keep what they opened."""
+    path, counts = str(tmp_path), hourly_counts(dedup_latest(fx.silver_updates(spark, SF_DIR)), "trip_id")
     replace_mart(counts, f"{path}/mart")
     opened = read_mart(spark, f"{path}/mart")
     replace_mart(counts.limit(0), f"{path}/mart")
-    assert opened.count() == expected.count() and read_mart(spark, f"{path}/mart").count() == 0
+    assert opened.count() == counts.count() and read_mart(spark, f"{path}/mart").count() == 0
