@@ -30,7 +30,8 @@ class JobConfig:
     ``lake_path`` holds the silver tables, ``live_path`` the live views and ``checkpoint_path`` the stream
     checkpoints; each job adds its own table name below them. The schedule comes from ``static_path``, a directory per
     mode, or from ``snapshot_path``, where the ``static`` command keeps dated snapshots. An enabled sink needs the
-    paths it uses: there are no defaults, which would lie on one machine.
+    paths it uses: there are no defaults, which would lie on one machine. ``keyed_live_state`` keeps the live view in the
+    stream's own state: a batch then costs its own trips and not all live ones.
     """
 
     kafka_bootstrap_servers: str = "kafka:9092"
@@ -45,6 +46,7 @@ class JobConfig:
     table_format: str = "parquet"
     silver_trigger: str = "1 minute"
     live_ttl_seconds: int = 120
+    keyed_live_state: bool = False
 
     def __post_init__(self):
         needed = {"lake_path": self.enable_silver_sink, "live_path": self.enable_live_sink}
@@ -73,6 +75,7 @@ class JobConfig:
         return cls(
             enable_live_sink=parse_flag(env.get("ENABLE_LIVE_SINK")),
             enable_silver_sink=parse_flag(env.get("ENABLE_SILVER_SINK")),
+            keyed_live_state=parse_flag(env.get("KEYED_LIVE_STATE")),
             **given,
         )
 

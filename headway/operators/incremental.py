@@ -74,7 +74,7 @@ def newest_hour(spark: SparkSession, path: str, table_format: str = "parquet") -
 def hour_folders(spark: SparkSession, path: str, first: tuple[int, ...] = (), levels=EVENT_PARTITIONS) -> Iterator[str]:
     """Hour folders that hold files, newest first; ``first`` is the oldest hour (year to hour) to look at."""
     if not levels:
-        if any(name.endswith(".parquet") for name in child_names(spark, path)):
+        if _holds_files(spark, path):
             yield path
         return
     prefix = f"{levels[0]}="
@@ -109,37 +109,41 @@ class Upsert:
     rows: DataFrame
     gained: DataFrame
     lost: DataFrame | None
-    done: Callable[[], object]
+    done: Callable[[], object] = lambda: None
 
 
 def plan_upsert(
-    spark: SparkSession, source: DataFrame, target: str, spec: UpsertSpec, table_format: str = "parquet"
+    spark: SparkSession, source: DataFrame, target: str, spec: UpsertSpec, table_format: str = "parquet", keep: bool = False
 ) -> Upsert:
     """Compare the source rows after the stored mark with the stored rows of the hours they fall into.
 
-    Only the new rows are ranked. A fixed-size bit filter over their keys lets the stored rows that nothing replaces
-    pass without a join; the few others meet the new rows by key, one row against one.
+    Only new rows are ranked. Where an hour is stored already, a fixed-size bit filter over the new rows' keys lets the
+    stored rows that nothing replaces pass without a join; the few others meet the new rows by key, one row against one.
+    With ``keep`` the ranked new rows stay in memory until ``done``, for callers that use them more than once.
     """
     settle(spark, target)
     mark = stored_mark(spark, target, spec.mark, table_format)
     if mark is not None:
         mark -= spec.late_seconds
-    fresh = latest_by(rows_after(dated(source), mark, spec.mark), spec.keys, [spec.mark], spec.ties)
+    unranked = rows_after(dated(source), mark, spec.mark)
+    newest = functools.partial(latest_by, keys=spec.keys, order=[spec.mark], ties=spec.ties)
     if mark is None:
-        return Upsert(None, [], fresh, fresh, None, lambda: None)
-    fresh = fresh.persist()
-    done = functools.partial(fresh.unpersist)
-    hours = sorted(tuple(row) for row in fresh.select(*EVENT_PARTITIONS).distinct().collect())
-    old = hours_among(spark, target, hours, table_format)
-    if old is None:
+        return Upsert(None, [], newest(unranked), newest(unranked), None)
+    hours = sorted(tuple(row) for row in unranked.select(*EVENT_PARTITIONS).distinct().collect())
+    found = hours_among(spark, target, hours, table_format)
+    fresh = newest(unranked).persist() if keep else newest(unranked)
+    done = functools.partial(fresh.unpersist) if keep else lambda: None
+    if found is None:
         return Upsert(mark, hours, fresh, fresh, None, done)
 
+    old, stored = found
     whole = append_columns(old.limit(0), fresh.limit(0)).schema
     old, new = _in_schema(old, whole), _in_schema(fresh, whole)
     age = F.struct(*map(named, age_columns(whole, spec.keys, [spec.mark], spec.ties)))
-    marked = may_match(old, key_bits(fresh, spec.keys), spec.keys, "_may")
+    rivals = new.filter(_in_hours(stored)) if keep else _in_schema(newest(unranked.filter(_in_hours(stored))), whole)
+    rivals = rivals.select(*(named(key).alias(f"_{i}") for i, key in enumerate(spec.keys)), age.alias("_age"))
+    marked = may_match(old, key_bits(unranked.filter(_in_hours(stored)), spec.keys), spec.keys, "_may")
     apart, near = marked.filter("NOT _may").drop("_may"), marked.filter("_may").drop("_may")
-    rivals = new.select(*(named(key).alias(f"_{i}") for i, key in enumerate(spec.keys)), age.alias("_age"))
     met = near.join(rivals, _same_key(spec.keys), "left").withColumn("_beaten", F.coalesce(age <= F.col("_age"), F.lit(False)))
     stays, lost = (met.filter(kept).select(*map(named, whole.names)) for kept in ("NOT _beaten", "_beaten"))
     gained = new
@@ -149,6 +153,11 @@ def plan_upsert(
     return Upsert(mark, hours, apart.unionByName(stays).unionByName(gained), gained, lost, done)
 
 
+def _in_hours(hours: Sequence[tuple[int, ...]]) -> Column:
+    """Whether a row is in one of the hours; selects directories, like ``from_hour``."""
+    return F.struct(*EVENT_PARTITIONS).isin([F.struct(*map(F.lit, hour)) for hour in hours])
+
+
 def _same_key(keys: Sequence[str]) -> Column:
     return functools.reduce(and_, (named(key).eqNullSafe(F.col(f"_{i}")) for i, key in enumerate(keys)))
 
@@ -238,14 +247,19 @@ def footer_max(spark: SparkSession, folder: str, column: str) -> int | None:
 
 def hours_among(
     spark: SparkSession, target: str, hours: Sequence[tuple[int, ...]], table_format: str = "parquet"
-) -> DataFrame | None:
-    """The stored rows of the given hours (year to hour); None if there are none. Opens no file of another hour."""
+) -> tuple[DataFrame, Sequence[tuple[int, ...]]] | None:
+    """The stored rows of the given hours (year to hour), and which of these hours are stored; None if none is.
+
+    Opens no file of another hour. Of a table in another format than Parquet every hour counts as stored.
+    """
     if table_format != "parquet":
-        inside = F.struct(*EVENT_PARTITIONS).isin([F.struct(*map(F.lit, hour)) for hour in hours]) if hours else F.lit(False)
-        return spark.read.format(table_format).load(target).filter(inside)
-    folders = [f"{target}/{hour_path(hour)}" for hour in hours]
-    there = [folder for folder in folders if any(name.endswith(".parquet") for name in child_names(spark, folder))]
-    return _read_hours(spark, target, there) if there else None
+        return (spark.read.format(table_format).load(target).filter(_in_hours(hours)), hours) if hours else None
+    there = [hour for hour in hours if _holds_files(spark, f"{target}/{hour_path(hour)}")]
+    return (_read_hours(spark, target, [f"{target}/{hour_path(hour)}" for hour in there]), there) if there else None
+
+
+def _holds_files(spark: SparkSession, folder: str) -> bool:
+    return any(name.endswith(".parquet") for name in child_names(spark, folder))
 
 
 def hour_path(hour: Sequence[int]) -> str:

@@ -65,7 +65,12 @@ def merge_live(entries: DataFrame, stored: DataFrame | None, now: int, ttl_secon
     merged = entries.withColumn("expires_at", F.lit(now + ttl_seconds).cast("long"))
     if stored is not None:
         merged = merged.unionByName(stored.filter(F.col("expires_at") > now))
-    newest = merged.groupBy("key").agg(
+    return newest_entries(merged)
+
+
+def newest_entries(entries: DataFrame) -> DataFrame:
+    """Newest fields and latest expiry per key."""
+    newest = entries.groupBy("key").agg(
         F.max(F.struct("version", "fields")).alias("newest"), F.max("expires_at").alias("expires_at")
     )
     return newest.select("key", "newest.version", "newest.fields", "expires_at")

@@ -158,8 +158,8 @@ def changed_counts(planned: Upsert, target_path: str) -> dict[str, DataFrame]:
     difference, renewed = weighed_counts(changes, "weight").persist(), {}
     for name, key in COUNTS.items():
         path = f"{target_path}/{name}"
-        rows, stored = _of_table(difference, name), hours_among(changes.sparkSession, path, planned.hours)
-        both = rows if stored is None else rows.unionByName(stored.select(rows.columns))
+        rows, found = _of_table(difference, name), hours_among(changes.sparkSession, path, planned.hours)
+        both = rows if found is None else rows.unionByName(found[0].select(rows.columns))
         sums = [F.sum(column).alias(column) for column in ("total_stops", "on_time_stops")]
         renewed[path] = both.groupBy(key, *HOUR).agg(*sums).filter("total_stops != 0")
     return renewed
@@ -180,7 +180,7 @@ def refresh_tables(
     together = table_format == "parquet" and all(is_loaded(spark, path) for path in paths)
     if together:
         settle_together(spark, paths, marker)
-        planned = plan_upsert(spark, silver, deduped_path, spec)
+        planned = plan_upsert(spark, silver, deduped_path, spec, keep=True)
         together = planned.mark is not None  # a table without rows is loaded anew
         if together and planned.hours:
             replace_together({deduped_path: planned.rows, **changed_counts(planned, target_path)}, marker)

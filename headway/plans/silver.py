@@ -20,8 +20,12 @@ def silver_trip_updates(records: DataFrame, schedule: DataFrame, zone: str) -> D
 
     ``schedule`` comes from ``service_schedule``.
     """
-    stops = flatten_trip_updates(parse_value(records, TRIP_UPDATE_MESSAGE), typed_date=True)
-    return delayed_stops(stops, schedule, zone)
+    return delayed_stops(flat_trip_updates(records), schedule, zone)
+
+
+def flat_trip_updates(records: DataFrame) -> DataFrame:
+    """Parsed stop updates, ``start_date`` as a date."""
+    return flatten_trip_updates(parse_value(records, TRIP_UPDATE_MESSAGE), typed_date=True)
 
 
 def service_schedule(stop_times: DataFrame) -> DataFrame:

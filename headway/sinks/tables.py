@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from headway.functions import EVENT_PARTITIONS
 from headway.sinks.versions import Versions
+from headway.storage import child_names, delete, exists, files_below, rename
 
 
 def gather_hours(df: DataFrame) -> DataFrame:
@@ -24,25 +24,27 @@ def append_silver(df: DataFrame, path: str, table_format: str = "parquet") -> No
     gather_hours(df).write.mode("append").format(table_format).partitionBy(*EVENT_PARTITIONS).save(path)
 
 
-def start_silver(
-    df: DataFrame,
-    path: str,
-    checkpoint: str,
-    query_name: str,
-    trigger: dict | None = None,
-    table_format: str = "parquet",
-) -> StreamingQuery:
-    """Checkpointed streaming append by event hour; one commit per minute unless ``trigger`` says otherwise."""
-    return (
-        gather_hours(df)
-        .writeStream.queryName(query_name)
-        .format(table_format)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*EVENT_PARTITIONS)
-        .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .start(path)
-    )
+def append_batch(df: DataFrame, path: str, batch_id: int, writer_id: str, table_format: str = "parquet") -> None:
+    """Append a micro-batch by event hour, once however often it is repeated.
+
+    ``writer_id`` names the stream, whose batches are numbered. A Parquet batch is written whole below ``{path}_batches`` and
+    then moved in file by file. What is left there tells a repetition how far the batch had come; the next batch removes it.
+    """
+    spark, gathered = df.sparkSession, gather_hours(df)
+    if table_format != "parquet":
+        marked = gathered.write.mode("append").format(table_format).option("txnAppId", writer_id).option("txnVersion", batch_id)
+        marked.partitionBy(*EVENT_PARTITIONS).save(path)
+        return
+    name = f"{writer_id}-{batch_id}"
+    staging = f"{path}_batches/{name}"
+    if not exists(spark, f"{staging}/_SUCCESS"):
+        gathered.write.mode("overwrite").partitionBy(*EVENT_PARTITIONS).parquet(staging)
+    for file in files_below(spark, staging):
+        folder, _, part = file.rpartition("/")
+        rename(spark, f"{staging}/{file}", f"{path}/{folder}/batch-{batch_id}-{part}")
+    for old in child_names(spark, f"{path}_batches"):
+        if old != name:
+            delete(spark, f"{path}_batches/{old}")
 
 
 def replace_mart(df: DataFrame, path: str, table_format: str = "parquet") -> None:

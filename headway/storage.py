@@ -23,6 +23,17 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(location)]
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Paths of all Parquet files below ``path``, relative to it."""
+    fs, location = _locate(spark, path)
+    if not fs.exists(location):
+        return []
+    found, files, root = [], fs.listFiles(location, True), fs.getFileStatus(location).getPath().toString()
+    while files.hasNext():
+        found.append(files.next().getPath().toString().removeprefix(f"{root}/"))
+    return sorted(name for name in found if name.endswith(".parquet"))
+
+
 def child_times(spark: SparkSession, path: str) -> dict[str, float]:
     """Names directly below ``path`` with the epoch seconds at which each was last written, in one listing."""
     fs, location = _locate(spark, path)

@@ -3,29 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.config import JobConfig
-from headway.operators.live import DELAY_VIEW, VEHICLE_VIEW, LiveView
+from headway.operators.key_filter import key_bits, only_matching
+from headway.operators.live import DELAY_VIEW, VEHICLE_VIEW, LiveView, live_entries
 from headway.plans.silver import (
     ROUTE_COLUMNS,
     STOP_TIME_COLUMNS,
+    STOP_TIME_KEYS,
     TRIP_COLUMNS,
+    delayed_stops,
+    flat_trip_updates,
     named_positions,
     service_schedule,
-    silver_trip_updates,
     silver_vehicle_positions,
 )
-from headway.sinks.live import start_live
-from headway.sinks.tables import start_silver
+from headway.sinks.live import LiveChanges, LiveTable, seconds_now
+from headway.sinks.tables import append_batch
 from headway.sinks.topics import start_publishing, start_recording
 from headway.sinks.versions import Versions
 from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS, feed_messages, stream_feeds
 from headway.sources.static import read_newest_snapshots, read_static
 from headway.sources.topics import stream_topic
+from headway.streaming.keyed_state import STATE_SETTINGS, keyed_entries
+
+
+@dataclass(frozen=True)
+class Steps:
+    """What a job makes of a topic: flat rows of the stream, silver rows of a batch of these, live rows of the silver ones."""
+
+    flat: Callable[[DataFrame], DataFrame]
+    silver: Callable[[DataFrame], DataFrame]
+    live: Callable[[DataFrame], DataFrame]
 
 
 def start_trip_updates(
@@ -37,13 +50,20 @@ def start_trip_updates(
 ) -> list[StreamingQuery]:
     """Trip updates: enriched silver rows and the live delay view.
 
-    ``records`` replaces the Kafka topic (a replay, say); ``trigger`` replaces both sinks' own triggers.
+    ``records`` replaces the Kafka topic (a replay, say); ``trigger`` replaces the configured one.
     """
-    records = records or stream_topic(spark, TRIP_UPDATES, config.kafka_bootstrap_servers)
     if not (config.enable_live_sink or config.enable_silver_sink):
         return []
-    updates = silver_trip_updates(records, _stored_schedule(spark, config), config.timezone)
-    return _start_sinks(config, TRIP_UPDATES, updates, updates, DELAY_VIEW, trigger, clock)
+    schedule = _stored_schedule(spark, config)
+
+    def silver(stops: DataFrame) -> DataFrame:
+        """Only the schedule of the trips in the batch is shuffled to it."""
+        needed = only_matching(schedule, key_bits(stops, STOP_TIME_KEYS), STOP_TIME_KEYS)
+        return delayed_stops(stops, needed, config.timezone)
+
+    steps = Steps(flat_trip_updates, silver, lambda updates: updates)
+    records = records or stream_topic(spark, TRIP_UPDATES, config.kafka_bootstrap_servers)
+    return _start_sinks(config, TRIP_UPDATES, records, steps, DELAY_VIEW, trigger, clock)
 
 
 def start_vehicle_positions(
@@ -54,13 +74,12 @@ def start_vehicle_positions(
     clock: Callable[[], int] | None = None,
 ) -> list[StreamingQuery]:
     """Vehicle positions: silver rows as received, and the live view with route and trip names."""
-    records = records or stream_topic(spark, VEHICLE_POSITIONS, config.kafka_bootstrap_servers)
     if not (config.enable_live_sink or config.enable_silver_sink):
         return []
-    positions = silver_vehicle_positions(records)
     routes, trips = _static(spark, config, "routes", ROUTE_COLUMNS), _static(spark, config, "trips", TRIP_COLUMNS)
-    named = named_positions(positions, routes, trips)
-    return _start_sinks(config, VEHICLE_POSITIONS, positions, named, VEHICLE_VIEW, trigger, clock)
+    steps = Steps(silver_vehicle_positions, lambda rows: rows, lambda rows: named_positions(rows, routes, trips))
+    records = records or stream_topic(spark, VEHICLE_POSITIONS, config.kafka_bootstrap_servers)
+    return _start_sinks(config, VEHICLE_POSITIONS, records, steps, VEHICLE_VIEW, trigger, clock)
 
 
 def start_feed(
@@ -98,19 +117,50 @@ def _stored_schedule(spark: SparkSession, config: JobConfig) -> DataFrame:
 def _start_sinks(
     config: JobConfig,
     topic: str,
-    silver: DataFrame,
-    live: DataFrame,
+    records: DataFrame,
+    steps: Steps,
     view: LiveView,
     trigger: dict | None,
     clock: Callable[[], int] | None,
 ) -> list[StreamingQuery]:
+    """One query for all enabled sinks: each micro-batch is read, parsed and joined once.
+
+    Keyed live state needs a query of its own, as the state belongs to the stream and not to a batch.
+    """
+    view = replace(view, ttl_seconds=config.live_ttl_seconds)
+    spark, flat = records.sparkSession, steps.flat(records)
+    every = trigger or {"processingTime": config.silver_trigger}
+    keyed = config.enable_live_sink and config.keyed_live_state
+    both = config.enable_live_sink and config.enable_silver_sink and not keyed
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        kept = [batch.persist()]
+        try:
+            rows = steps.silver(kept[0])
+            if both and rows is not kept[0]:
+                kept.append(rows.persist())
+            if config.enable_silver_sink:
+                append_batch(rows, config.silver_table(topic), batch_id, writer_id, config.table_format)
+            if config.enable_live_sink and not keyed:
+                entries = live_entries(steps.live(rows), view)
+                LiveTable(batch.sparkSession, config.live_table(topic), view).upsert(entries, seconds_now(clock and clock()))
+        finally:
+            for frame in kept:
+                frame.unpersist()
+
+    def write_changes(batch: DataFrame, batch_id: int) -> None:
+        LiveChanges(batch.sparkSession, config.live_table(topic), view).add(batch, batch_id)
+
+    def start(df: DataFrame, job: Callable[[DataFrame, int], None], name: str) -> StreamingQuery:
+        writer = df.writeStream.queryName(f"{topic}_{name}").foreachBatch(job).outputMode("update")
+        return writer.option("checkpointLocation", config.checkpoint(topic, name)).trigger(**every).start()
+
     queries = []
-    if config.enable_live_sink:
-        view = replace(view, ttl_seconds=config.live_ttl_seconds)
-        path, checkpoint = config.live_table(topic), config.checkpoint(topic, "live")
-        queries.append(start_live(live, view, path, checkpoint, f"{topic}_live", trigger, clock))
-    if config.enable_silver_sink:
-        path, checkpoint = config.silver_table(topic), config.checkpoint(topic, "silver")
-        every = trigger or {"processingTime": config.silver_trigger}
-        queries.append(start_silver(silver, path, checkpoint, f"{topic}_silver", every, config.table_format))
+    if keyed:
+        for key, value in STATE_SETTINGS.items():
+            spark.conf.set(key, value)
+        queries.append(start(keyed_entries(steps.live(steps.silver(flat)), view), write_changes, "live"))
+    if config.enable_silver_sink or not keyed:
+        queries.append(start(flat, write, "sinks"))
     return queries
