@@ -16,8 +16,10 @@ from pyspark.sql.types import StructField, StructType
 
 from headway.operators.live import LiveView, live_entries
 
-# The only store that lets state expire. Set it before the stream starts.
+# Set before the stream starts: the only store that lets state expire, and no batches for the passing of time alone, which
+# would keep a stream from ever having caught up. Expired entries count as absent and are removed with the next rows.
 STATE_SETTINGS = {
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
