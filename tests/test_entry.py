@@ -3,10 +3,11 @@
 import collections
 import glob
 import os
+import sys
 
 import duckdb
 import pytest
-from conftest import SF_DIR
+from conftest import SF_DIR, plan_of
 
 import __spark_entry__ as entry_point
 from workload.oracles import oracles
@@ -41,5 +42,23 @@ def test_query_equals_sql(spark, duck, name):
     assert bag(ours.collect(), ours.columns) == bag(cursor.fetchall(), names)
 
 
+def test_queries_without_the_optional_libraries(monkeypatch):
+    for name in ("corpus_pipeline", "headway.llm.queries", "headway.llm"):
+        monkeypatch.delitem(sys.modules, name, raising=False)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    for name in [name for name in sys.modules if name.startswith("headway.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    assert set(entry_point.queries()) == set(all_queries()) and set(entry_point.oracle_sql()) == set(SQL)
+
+
+def test_no_plan_shuffles_what_was_just_shuffled(spark):
+    """No exchange stands directly on another one, with at most columns picked in between."""
+    for name in ("high_water_mark", "dedup_latest", "route_hourly", "service_time", "trip_explode", "live_delay"):
+        lines = plan_of(entry_point.queries()[name](spark, SF_DIR)).splitlines()
+        kinds = [line.lstrip(" :+-*(0123456789)") for line in lines]
+        for above, below, under in zip(kinds, kinds[1:], [*kinds[2:], ""]):
+            assert not (above.startswith("Exchange") and (below.startswith("Exchange") or below.startswith("Project") and under.startswith("Exchange"))), name
+
+
 def test_flagship(spark):
     assert entry_point.entry(spark).count() > 0

@@ -322,6 +322,7 @@ _ORACLES = {
     "live_delay_stream": _LIVE_DELAY,
     "live_vehicle": _LIVE_VEHICLE,
     "live_vehicle_stream": _LIVE_VEHICLE,
+    "live_vehicle_keyed": f"SELECT * EXCLUDE (expires_at) FROM ({_LIVE_VEHICLE})",
     "live_expiry_stream": _LIVE_EXPIRY,
     "dedup_latest": "SELECT * FROM deduped_all_ties",
     "incremental_dedup": "SELECT * FROM deduped_all_ties",
@@ -331,7 +332,9 @@ _ORACLES = {
                CASE WHEN source_timestamp > {SPLIT} AND stop_id IS NOT NULL THEN TRUE END AS noted
         FROM deduped_all_ties""",
     "high_water_mark": "SELECT max(source_timestamp) AS source_timestamp FROM flat_silver",
+    "stored_mark": "SELECT max(source_timestamp) AS source_timestamp FROM flat_silver",
     "stop_hourly": _stop_hourly("deduped"),
+    "late_refresh": _stop_hourly("deduped_all_ties"),
     "stop_hourly_refresh": _stop_hourly("deduped_all_ties"),
     "route_hourly": _route_hourly("deduped"),
     "route_hourly_refresh": _route_hourly("deduped_all_ties"),
@@ -343,6 +346,7 @@ _ORACLES = {
         SELECT {_KEYS}, source_timestamp, effective_stop_time_calculation_method
         FROM ({_dedup("rows", _SHORT_TIES)})""",
 }
+_ORACLES["silver_closed_hours"] = _ORACLES["delay_seconds"]
 _ORACLES["feed_stream_trip"] = _ORACLES["trip_explode"]
 
 

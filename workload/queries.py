@@ -12,18 +12,20 @@ from pyspark.sql import functions as F
 from headway.config import MODES, JobConfig
 from headway.functions import local_epoch, service_date, service_seconds, with_event_parts
 from headway.operators.enrich import join_schedule, with_effective_time
-from headway.operators.incremental import UpsertSpec, max_mark, upsert_latest
+from headway.operators.incremental import UpsertSpec, footer_scan, hour_folders, max_mark, upsert_latest
 from headway.operators.live import DELAY_VIEW, VEHICLE_VIEW, live_view
 from headway.operators.messages import encode_value, flatten_trip_updates, parse_value
 from headway.plans import marts, silver
 from headway.plans.silver import STOP_TIME_COLUMNS, STOP_TIME_KEYS, named_positions
 from headway.schemas import SILVER_TRIP_UPDATES, SILVER_VEHICLE_POSITIONS, TRIP_UPDATE_MESSAGE, VEHICLE_POSITION_MESSAGE
 from headway.session import configure, fresh_dir
-from headway.sinks.live import LiveTable
+from headway.sinks.closed import close_hours, read_silver
+from headway.sinks.live import LiveChanges, LiveTable
 from headway.sinks.tables import append_silver, read_mart, read_table
 from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS, feed_messages, read_feeds
 from headway.sources.static import append_snapshot, load_published_tables, read_snapshots, read_static
 from headway.sources.topics import recorded_topic, replay_topic
+from headway.storage import move
 from headway.streaming.jobs import start_feed, start_trip_updates, start_vehicle_positions
 from workload import fixtures as fx
 
@@ -155,9 +157,15 @@ def feed_messages_vehicle(spark, sf_dir):
     )
 
 
+def _write_modes(df: DataFrame, base: str, name: str, modes=MODES) -> None:
+    """``{base}/{mode}/{name}`` for each value of the column ``mode``, in one pass over ``df``."""
+    df.write.partitionBy("mode").parquet(f"{base}/{name}_modes")
+    for mode in modes:
+        move(df.sparkSession, f"{base}/{name}_modes/mode={mode}", f"{base}/{mode}/{name}")
+
+
 def _land(snapshots: DataFrame, base: str, topic: str) -> None:
-    for mode in MODES:
-        snapshots.filter(F.col("mode") == mode).drop("mode").write.parquet(f"{base}/{mode}/{topic}")
+    _write_modes(snapshots, base, topic)
 
 
 @query
@@ -230,10 +238,14 @@ def write_static(spark, sf_dir, base: str, *names: str) -> JobConfig:
     for name in names:
         key, build = tables[name]
         table = build(spark, sf_dir)
-        for number, mode in enumerate(MODES):
-            part = table.filter(f"ascii(right({key}, 1)) % {len(MODES)} = {number}")
-            part = part.drop("departure_time") if mode == "tram" else part
-            part.write.parquet(f"{base}/{mode}/{name}")
+        names = F.array(*map(F.lit, MODES))
+        table = table.withColumn("mode", F.get(names, F.expr(f"ascii(right({key}, 1)) % {len(MODES)}")))
+        if "departure_time" in table.columns:
+            bare = table.filter("mode = 'tram'").drop("departure_time", "mode")
+            bare.write.parquet(f"{base}/tram/{name}")
+            _write_modes(table.filter("mode != 'tram'"), base, name, [mode for mode in MODES if mode != "tram"])
+        else:
+            _write_modes(table, base, name)
     return JobConfig(static_path=base, timezone=fx.ZONE)
 
 
@@ -380,6 +392,14 @@ def live_vehicle_stream(spark, sf_dir):
     return LiveTable(spark, config.live_table(VEHICLE_POSITIONS), VEHICLE_VIEW).read(NOW)
 
 
+@query
+def live_vehicle_keyed(spark, sf_dir):
+    """The live vehicle view from keyed streaming state; its lifetimes follow the real clock and are left out."""
+    config = _run_job(VEHICLE_POSITIONS, spark, sf_dir, enable_live_sink=True, keyed_live_state=True, live_ttl_seconds=86400)
+    changes = LiveChanges(spark, config.live_table(VEHICLE_POSITIONS), VEHICLE_VIEW)
+    return changes.read(0).drop("expires_at")
+
+
 # The clock at each of three landings of the topic, and when the view is read, in seconds after ``NOW``.
 LANDED_AT, READ_AT = (0, 60, 130), 170
 
@@ -423,6 +443,28 @@ def high_water_mark(spark, sf_dir):
     return max_mark(fx.silver_updates(spark, sf_dir))
 
 
+@query
+def stored_mark(spark, sf_dir):
+    """The mark of a stored table, from the footers of its newest hour."""
+    path = f"{fresh_dir(spark, 'mark')}/silver"
+    append_silver(fx.silver_updates(spark, sf_dir), path)
+    return footer_scan(spark, next(hour_folders(spark, path)), "source_timestamp")
+
+
+@query
+def silver_closed_hours(spark, sf_dir):
+    """Silver of which the earlier hours were rewritten into few files and have got late rows since."""
+    path = f"{fresh_dir(spark, 'closed')}/silver"
+    updates = fx.silver_updates(spark, sf_dir)
+    part = F.pmod(F.xxhash64("trip_id", "stop_sequence"), F.lit(5))
+    append_silver(updates.filter(part != 0), path)
+    close_hours(spark, path, SPLIT, least_files=1)
+    append_silver(updates.filter(part == 0), path)
+    return read_silver(spark, path, schema=SILVER_TRIP_UPDATES).select(
+        "trip_id", "stop_sequence", "source_timestamp", "effective_stop_time", "scheduled_stop_time", "delay_seconds"
+    )
+
+
 @query
 def stop_hourly(spark, sf_dir):
     deduped = marts.dedup_latest(fx.silver_updates(spark, sf_dir), TIES)
@@ -510,6 +552,19 @@ def _refreshed(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, f"{base}/gold/{table}")
 
 
+@query
+def late_refresh(spark, sf_dir):
+    """The stop mart after two refreshes, of which the second finds rows up to three days older than the first one's mark."""
+    base, days = fresh_dir(spark, "late-marts"), 3 * 86400
+    _store_dimensions(spark, sf_dir, base)
+    updates, clock = fx.silver_updates(spark, sf_dir), F.col("source_timestamp")
+    late = (clock > SPLIT) | (clock > SPLIT - days) & (F.col("stop_sequence") == 2)
+    for rows in (updates.filter(~late), updates.filter(late)):
+        append_silver(rows, f"{base}/silver")
+        marts.refresh_marts(spark, f"{base}/silver", f"{base}/static", f"{base}/gold", late_seconds=days)
+    return read_mart(spark, f"{base}/gold/stop_hourly")
+
+
 @query
 def route_hourly_refresh(spark, sf_dir):
     return _refreshed("route_hourly", spark, sf_dir)
