@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.session import fresh_dir
+from headway.storage import delete
 
 # White space that separates words, as the body of a character class for Python and Java alike.
 BLANK = r"\x20\x09-\x0D"
@@ -18,12 +20,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Where each stored table lies that is still in use.
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = fresh_dir(df.sparkSession, label)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a ``stored`` table that nothing reads any more; other frames are left alone."""
+    path = _PATHS.pop(df, None)
+    if path:
+        delete(df.sparkSession, path)
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:
