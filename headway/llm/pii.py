@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -17,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from headway.llm.common import Batches, texts_of, with_columns
 
@@ -156,28 +157,38 @@ DIGIT_WORDS = {
     )
     for value, word in enumerate(names.split())
 }
-_SPELLINGS = frozenset(
-    form + end for word in DIGIT_WORDS for form in (word, word.title(), word.upper()) for end in ("", ",", ".", ";", ")")
-)
-_DIGIT_WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-_POINT_WORD = r"dot|point|punto|punkt"
+
+
+def _in_either_case(words) -> str:
+    """Alternatives for words in capitals or not; a class for each letter, so that ``lower`` gives the word back."""
+    return "|".join("".join(f"[{c}{c.upper()}]" for c in word) for word in sorted(words, key=lambda w: (-len(w), w)))
+
+
+_DIGIT_WORD = _in_either_case(DIGIT_WORDS)
+_POINT_WORD = _in_either_case(("dot", "point", "punto", "punkt"))
+_PLUS_WORD = _in_either_case(("plus", "más", "mas"))
+LEAST_DIGIT_WORDS = 3
 _DIGIT_RUN = re.compile(
-    rf"(?<!\w)(?:(?:plus|más|mas)[\x20]+)?(?:{_DIGIT_WORD}|[0-9]+)"
-    rf"(?:(?:[\x20\t]+(?:{_POINT_WORD})[\x20\t]+|[\x20\t]*[,-][\x20\t]*|[\x20\t]+)(?:{_DIGIT_WORD}|[0-9]+)(?!\w))+",
-    re.IGNORECASE,
+    rf"(?<!\w)(?:(?:{_PLUS_WORD})[\x20]++)?(?:{_DIGIT_WORD}|[0-9]++)"
+    rf"(?:(?:[\x20\t]++(?:{_POINT_WORD})[\x20\t]++|[\x20\t]*+[,-][\x20\t]*+|[\x20\t]++)(?:{_DIGIT_WORD}|[0-9]++)(?!\w))+"
 )
-_RUN_PART = re.compile(rf"(?P<word>{_DIGIT_WORD})(?!\w)|(?P<number>[0-9]+)|(?P<plus>plus|más|mas)|(?P<point>{_POINT_WORD})", re.I)
+_RUN_PART = re.compile(rf"(?P<word>{_DIGIT_WORD})(?!\w)|(?P<number>[0-9]+)|(?P<plus>{_PLUS_WORD})|(?P<point>{_POINT_WORD})")
+_TOKEN = re.compile(r"\w+")
+
+
+def may_spell_digits(text: str) -> bool:
+    """Whether a text has as many digit words as a run needs. In a run they stand between characters that are in no word."""
+    return sum(map(DIGIT_WORDS.__contains__, _TOKEN.findall(text.lower()))) >= LEAST_DIGIT_WORDS
 
 
 def digit_edits(text: str) -> list[Edit]:
     """Runs of at least three digit words become digits, with the separators between them removed."""
-    words = text.replace("-", " ").split()
-    if sum(map(_SPELLINGS.__contains__, words)) < 3:
-        return []
     edits: list[Edit] = []
+    if not may_spell_digits(text):
+        return edits
     for run in _DIGIT_RUN.finditer(text):
         parts = list(_RUN_PART.finditer(text, run.start(), run.end()))
-        if sum(part.lastgroup == "word" for part in parts) < 3:
+        if sum(part.lastgroup == "word" for part in parts) < LEAST_DIGIT_WORDS:
             continue
         for left, right in zip([None, *parts], parts):
             # Only between words: figures keep the space or hyphen beside them.
@@ -190,39 +201,68 @@ def digit_edits(text: str) -> list[Edit]:
     return edits
 
 
-_AT_HINT = re.compile(r"[\[({<][\x20]*(?:[aA][tT]|[dD][oO0][tT]|@|\.)|&(?:#64|#46|commat|period);|%40|(?<=\s)(?:DOT|[dD]ot)\s")
-_BRACKETED = re.compile(
-    r"[\x20\t]{0,8}(?:[\[({<]+[\x20\t]{0,8}(?P<sign>at|@|dot|d0t|\.)[\x20\t]{0,8}[\])}>]+|(?P<escape>&(?:#64|#46|commat|period);|%40))"
-    r"[\x20\t]{0,8}",
-    re.IGNORECASE,
+# Possessive repetitions: no stretch of blanks or brackets is looked at twice, however long it is.
+_IN_BRACKETS = re.compile(
+    r"(?:[\[({<][\x20\t]*+(?P<sign>at|@|dot|d0t|\.)[\x20\t]*+[\])}>]++|(?P<escape>&(?:#64|#46|commat|period);|%40))[\x20\t]*+",
+    re.IGNORECASE | re.ASCII,
+)
+_SPOKEN = re.compile(
+    r"(?<=[\x20\t])at[\x20\t]++([A-Za-z0-9-]++(?:[\x20\t]++dot[\x20\t]++[A-Za-z0-9-]++)++)", re.IGNORECASE | re.ASCII
 )
-_SPOKEN = re.compile(r"[\x20\t]+at[\x20\t]+([A-Za-z0-9-]+(?:[\x20\t]+dot[\x20\t]+[A-Za-z0-9-]+)+)", re.IGNORECASE)
-_SPOKEN_DOT = re.compile(r"[\x20\t]+dot[\x20\t]+", re.IGNORECASE)
-_LOCAL_BEFORE = re.compile(r"[A-Za-z0-9_%+-]{1,64}[\x20\t]{1,4}dot[\x20\t]{1,4}\Z", re.IGNORECASE)
+_SPOKEN_DOT = re.compile(r"[\x20\t]++dot[\x20\t]++", re.IGNORECASE | re.ASCII)
+# What a match cannot be without: the characters it may begin with, and the word between blanks.
+_MAY_BRACKET = re.compile(r"[\[({<&%]")
+_MAY_SPEAK = re.compile(r"[\x20\t][dD][oO][tT][\x20\t]")
 _SIGN_OF = {"at": "@", "@": "@", "&#64;": "@", "&commat;": "@", "%40": "@"}
+_BLANKS, _OPENING = frozenset(" \t"), frozenset("[({<")
+_NAME = _LOCAL_PART - {"."}
+
+
+def _back(text: str, at: int, floor: int, allowed: frozenset) -> int:
+    """The start of the run of ``allowed`` characters that ends at ``at``, not before ``floor``."""
+    while at > floor and text[at - 1] in allowed:
+        at -= 1
+    return at
+
+
+def _bracketed_edits(text: str) -> Iterator[Edit]:
+    floor = 0
+    for found in _IN_BRACKETS.finditer(text):
+        start = found.start()
+        if found.group("sign"):
+            start = _back(text, start, floor, _OPENING)
+        floor, start = found.end(), _back(text, start, floor, _BLANKS)
+        yield start, floor, _SIGN_OF.get((found.group("sign") or found.group("escape")).lower(), ".")
+
+
+def _spoken_edits(text: str) -> Iterator[Edit]:
+    floor = 0
+    for found in _SPOKEN.finditer(text):
+        start = _back(text, found.start(), floor, _BLANKS)
+        if start > floor and text[start - 1] in _LOCAL_PART:
+            yield start, found.start(1), "@"
+            for dot in _SPOKEN_DOT.finditer(text, found.start(1), found.end(1)):
+                yield dot.start(), dot.end(), "."
+            left = _back(text, start, floor, _LOCAL_PART)
+            while True:  # the local part's own dots
+                dot_end = _back(text, left, floor, _BLANKS)
+                dot_start = _back(text, max(dot_end - 3, floor), floor, _BLANKS)
+                name = _back(text, dot_start, floor, _NAME)
+                if dot_end == left or text[max(dot_end - 3, floor) : dot_end].lower() != "dot" or dot_start == dot_end - 3 or name == dot_start:
+                    break
+                yield dot_start, left, "."
+                left = name
+        # What comes before the host's first name can be no part of another address.
+        floor = found.start(1)
 
 
 def sign_edits(text: str) -> list[Edit]:
     """``(at)``, ``[dot]`` and character references always; bare words only in ``name at host dot tld``."""
-    if not _AT_HINT.search(text):
-        return []
     edits: list[Edit] = []
-    for found in _BRACKETED.finditer(text):
-        sign = (found.group("sign") or found.group("escape")).lower()
-        edits.append((found.start(), found.end(), _SIGN_OF.get(sign, ".")))
-    for found in _SPOKEN.finditer(text):
-        start = found.start()
-        if not start or text[start - 1] not in _LOCAL_PART:
-            continue
-        edits.append((start, found.start(1), "@"))
-        edits += [(dot.start(), dot.end(), ".") for dot in _SPOKEN_DOT.finditer(text, found.start(1), found.end(1))]
-        left = start
-        while left > 0 and text[left - 1] in _LOCAL_PART:
-            left -= 1
-        while before := _LOCAL_BEFORE.search(text, max(0, left - 80), left):
-            dot = _SPOKEN_DOT.search(text, before.start(), left)
-            edits.append((dot.start(), dot.end(), "."))
-            left = before.start()
+    if _MAY_BRACKET.search(text):
+        edits += _bracketed_edits(text)
+    if _MAY_SPEAK.search(text):
+        edits += _spoken_edits(text)
     edits.sort()
     kept: list[Edit] = []
     for edit in edits:
@@ -279,12 +319,16 @@ def find(text: str | None) -> tuple[list[Span], list[Span]]:
     state = normalise(text)
     if state is None:
         return plain, plain
+    own = {kind: [span for span in plain if span.kind == kind] for kind in KINDS}
+    starts = {kind: [span.start for span in spans] for kind, spans in own.items()}
     added = []
     for kind, begin, stop in plain_spans(state.text):
         start, end = int(state.start[begin]), int(state.end[stop - 1])
         if not state.touched[begin:stop].any() and end - start == stop - begin:
             continue
-        if not any(p.kind == kind and p.start <= start and end <= p.end for p in plain):
+        # Plain spans of a kind do not overlap, so only the last that starts no later can cover this one.
+        before = bisect_right(starts[kind], start) - 1
+        if before < 0 or own[kind][before].end < end:
             added.append(Span(kind, start, end))
     return plain, ordered([*plain, *added])
 
@@ -335,15 +379,17 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 def redact_pii(docs: DataFrame, text: str = "text", size: str = "n_chars") -> DataFrame:
     """``docs`` with identifiers replaced by ``[KIND]`` and ``size``, where there is such a column, counted anew.
 
-    Null texts stay null and keep their size; rows and all other columns stay as they are.
+    Null texts stay null and keep their size; empty texts, repeated rows, an empty table and all other columns stay as they
+    are. A column called like ``size`` that holds no whole numbers is such another column.
     """
+    counted = isinstance(docs.schema[size].dataType, IntegralType) if size in docs.columns else False
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             before = texts_of(batch, text)
             after = [redact(x) for x in before]
             new = {text: pa.array(after, pa.string())}
-            if size in batch.schema.names:
+            if counted:
                 old = batch.column(batch.schema.get_field_index(size))
                 counts = [n if b == a else len(a) for n, b, a in zip(old.to_pylist(), before, after)]
                 new[size] = pa.array(counts, old.type)

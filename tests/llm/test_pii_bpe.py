@@ -62,6 +62,14 @@ def test_plain_spans_equal_patterns(text):
         ("host one nine two dot one six eight dot one dot one up", "ip", "one nine two dot one six eight dot one dot one"),
         ("call plus one two three four five six seven eight nine zero", "phone", "plus one two three four five six seven eight nine zero"),
         ("card ４１１１ 1111 1111 1111", "card", "４１１１ 1111 1111 1111"),
+        ("to ann&COMMAT;example.com", "email", "ann&COMMAT;example.com"),
+        ("john AT example dOt com", "email", "john AT example dOt com"),
+        ("eve" + " " * 9 + "(at)" + " " * 90 + "example.com", "email", "eve" + " " * 9 + "(at)" + " " * 90 + "example.com"),
+        ("mary     dot     poe at example dot org", "email", "mary     dot     poe at example dot org"),
+        ("a" * 90 + " dot b at example dot org", "email", "a" * 90 + " dot b at example dot org"),
+        (",".join(["four", *["one"] * 15]), "card", ",".join(["four", *["one"] * 15])),
+        ("-".join(["FOUR", *["One"] * 15]), "card", "-".join(["FOUR", *["One"] * 15])),
+        ("x [[(at)]] y {{dot}} com", "email", "x [[(at)]] y {{dot}} com"),
         ("zero​width 4111​1111​1111​1111", "card", "4111​1111​1111​1111"),
     ],
 )
@@ -71,6 +79,57 @@ def test_disguised_spans_map_back(text, kind, found):
     assert [(span.kind, text[span.start : span.end]) for span in added] == [(kind, found)]
 
 
+PIECES = ["at", "AT", "dot", "Dot", "d0t", "(at)", "[dot]", "&commat;", "%40", "a.b", "ann", "-", ",", " ", "  ", "\t", "\n", "[", ")", "<", ".", "one",
+          "Six", "zéro", "ſix", "sıx", "plus", "point", "7", "41", "_", "é", "о", "\u200b", "@", "com"]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=40).map("".join) | st.lists(st.sampled_from(PIECES), max_size=40).map(" ".join))
+def test_prefilters_reject_nothing_that_is_found(text):
+    found = pii.find(text)
+    with pytest.MonkeyPatch.context() as off:
+        off.setattr(pii, "may_spell_digits", lambda text: True)
+        off.setattr(pii, "_MAY_BRACKET", re.compile(""))
+        off.setattr(pii, "_MAY_SPEAK", re.compile(""))
+        assert pii.find(text) == found
+    assert found[0] == brute_spans(text) and set(found[0]) <= set(found[1])
+
+
+N = 1 << 20
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "(at) " + "[" * N,
+        "a@b.cd x (at) y.zz " * (N // 19),
+        "[ " * (N // 2),
+        "(at)" * (N // 4),
+        "x" + " " * N + "(at)",
+        "at" + " " * N,
+        " at" * (N // 3),
+        "a dot " * (N // 6) + "b at c dot de",
+        "a at b dot cd " * (N // 14),
+        "one " * (N // 4),
+        "one, " * (N // 5) + " " * N,
+        "1" * N,
+        "+1" * (N // 2),
+        "1." * (N // 2),
+        "@a." * (N // 3),
+    ],
+    ids=lambda text: text[:12],
+)
+def test_long_texts_take_time_in_proportion(text):
+    import time
+
+    took = []
+    for part in (text[: N // 4], text[:N]):
+        began = time.process_time()
+        pii.find(part)
+        took.append(time.process_time() - began)
+    assert took[1] < 12 * took[0] + 0.5
+
+
 def test_ordinary_words_are_left_alone():
     for text in ("look at example.com", "meet at noon dot", "one or two", "un deux et la vie", "Привет мир", ""):
         assert pii.find(text) == ([], [])
@@ -88,6 +147,8 @@ def test_pii_on_tables(spark):
     docs = spark.createDataFrame([(1, None, "x", 5), (1, None, "x", 5), (2, "", None, 0), (None, "a@b.c " * 30_000, "y", None)], schema)
     found = pii.find_pii(docs).orderBy("n_chars").collect()
     assert sorted(len(row["pii_plain"]) for row in found) == [0, 0, 0, 30_000]
+    other = docs.selectExpr("doc_id", "text", "CAST(n_chars AS STRING) AS n_chars")
+    assert {row["n_chars"] for row in pii.redact_pii(other).collect()} == {"5", "0", None}
     redacted = pii.redact_pii(docs)
     assert redacted.schema == docs.schema
     rows = {row["n_chars"]: row for row in redacted.collect()}
