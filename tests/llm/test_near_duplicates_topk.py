@@ -145,7 +145,7 @@ def test_op4_equals_brute_force(spark):
 def brute_top(rows, k=10, step=100):
     vectors = []
     for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+        if i is not None and v is not None and all(x is not None and math.isfinite(x * 1024) for x in v):
             vectors.append((i, [math.floor(1024 * x) for x in v]))
     result = set()
     for i, q in {i: v for i, v in sorted(vectors, key=lambda r: (r[0], r[1]), reverse=True)}.items():
@@ -163,7 +163,7 @@ def as_tuples(df):
 def test_top_k_equals_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "BLOCK", block)
     monkeypatch.setattr(topk, "QUERIES", 2)
-    monkeypatch.setattr(topk, "POSSIBLE", 4)
+    monkeypatch.setattr(topk, "POSSIBLE_SHARE", block / 8192)
     rng = random.Random(block)
     rows = [(i, [rng.gauss(0, 0.3) for _ in range(16)]) for i in range(500)]
     same = [0.5, -0.25] * 8
@@ -182,19 +182,46 @@ def test_top_k_beyond_double_precision(spark):
     assert topk.top_k(table.limit(0)).count() == 0
 
 
+def test_top_k_at_the_limits_of_doubles(spark):
+    """Components whose scaled value is no finite double are of no use; others are exact, scores held to a long."""
+    rows = [(0, [1.7e308, 0.0]), (100, [1e300, -1.0]), (200, [1e10, 2.0]), (300, [5e-324, -5e-324]), (400, [-1e305, 1e305])]
+    rows += [(i, [float(i), 1e8]) for i in range(1, 30)]
+    found = as_tuples(topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")))
+    clamped = {(q, r, v, max(min(s, 2**63 - 1), -(2**63))) for q, r, v, s in brute_top(rows)}
+    by_query = lambda result, q: sorted(s for i, _, _, s in result if i == q)
+    assert {q for q, *_ in found} == {100, 200, 300, 400}
+    assert all(by_query(found, q) == by_query(clamped, q) for q in (100, 200, 300, 400))
+
+
 def test_segments_are_skipped_on_proof():
+    """A few vectors point the queries' way; what the others lack shows before their small weights are added up."""
     rng = np.random.default_rng(5)
     weights = np.floor(rng.normal(0, 40, (2000, 32)))
     weights[:20] += 900 * np.sign(rng.normal(size=(20, 32)))
-    block = topk.Block(np.arange(2000), weights)
-    queries = weights[:3].copy()
-    full, stopped = block.best(queries, np.arange(3), 5), []
-    block.segments = [(p, r) for p, r in block.segments]
-    for i in range(3):
-        exact = weights @ queries[i]
-        exact[i] = -np.inf
-        stopped.append(set(np.argsort(-exact, kind="stable")[:5]))
-    assert [set(places) for places, _ in full] == stopped
+    block = topk.Block.of(topk.block_row(list(range(2000)), list(weights)))
+    assert (block.vectors() == weights).all() and len(block.rests) > 8
+    queries, own = weights[:3].copy(), np.arange(3)
+    found = block.best(queries, own, np.full(3, -np.inf), 5)
+    assert 0 < block.processed < 0.7 * block.met
+    for i, (places, scores) in enumerate(found):
+        exact = (weights @ queries[i]).astype(int)
+        exact[i] = -(2**62)
+        assert scores.tolist() == sorted(exact, reverse=True)[:5] and set(places) == set(np.argsort(-exact, kind="stable")[:5])
+    # With thresholds that were proven elsewhere, more is skipped; a threshold that is met exactly loses nothing.
+    alone, block.processed = block.processed, 0
+    floors = np.array([scores[-1] for _, scores in found], float)
+    again = block.best(queries, own, floors, 5)
+    assert block.processed <= alone
+    assert [(p.tolist(), s.tolist()) for p, s in again] == [(p.tolist(), s.tolist()) for p, s in found]
+
+
+def test_given_vectors_skip_postings(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    ids, vectors = zip(*((r["vec_id"], np.floor(np.array(r["embedding"], float) * 1024)) for r in rows if r["embedding"]))
+    block = topk.Block.of(topk.block_row(list(ids), list(vectors)))
+    queries = [i for i, name in enumerate(ids) if name % 100 == 0]
+    block.best(np.stack([vectors[i] for i in queries]), np.array([ids[i] for i in queries]), np.full(len(queries), -np.inf), 10)
+    assert block.processed < 0.95 * block.met
 
 
 def test_op5_equals_brute_force(spark):
