@@ -1,8 +1,8 @@
 """Toxicity scores from a hashed linear classifier that is regularised by counterfactuals.
 
 Features are words and their beginnings, hashed; a document's value for one is ``log(1 + count)``. Training minimises the
-logistic loss, an L1 term, and the squared change of the score when identity terms in a labelled text are swapped for
-others of the same group, so that naming a group does not by itself move a score.
+logistic loss, an L1 term, and the squared changes of the score when identity terms (of one or more words) in a labelled text
+are swapped for each of the others of their groups, so that naming a group does not by itself move a score.
 
 Bounds, all parameters: ``per_class`` labelled documents of each class train the model (the lowest hashes of their ids),
 ``features`` buckets are kept. Every document is scored, and over its whole text.
@@ -30,30 +30,43 @@ SPACE = 1 << 20
 STRIPPED = ".,;:!?|#*$%&\"'()[]{}<>«»“”„¿¡-"
 CACHED_WORDS = 500_000
 
-# Identity terms by group, one form per person or people; swaps stay within a group.
+# Identity terms by group, one form per person or people; swaps stay within a group. No word is in all terms
+# of a group, so that each word of a term is swapped away sometimes.
 IDENTITY_GROUPS = tuple(
-    tuple(group.split())
+    tuple(term.strip() for term in group.split(","))
     for group in (
-        "muslim christian jewish hindu buddhist atheist catholic",
-        "muslims christians jews hindus buddhists atheists catholics",
-        "women men",
-        "woman man",
-        "girls boys",
-        "gay lesbian straight bisexual transgender",
-        "black white asian latino arab african european",
-        "immigrants refugees foreigners natives",
-        "femmes hommes",
-        "femme homme",
-        "musulmans chrétiens juifs bouddhistes athées",
-        "mujeres hombres",
-        "mujer hombre",
-        "musulmanes cristianos judíos budistas ateos",
-        "frauen männer",
-        "frau mann",
-        "muslime christen juden buddhisten atheisten",
+        "muslim, christian, jewish, hindu, buddhist, atheist, catholic",
+        "muslims, christians, jews, hindus, buddhists, atheists, catholics",
+        "women, men",
+        "woman, man",
+        "girls, boys",
+        "gay, lesbian, straight, bisexual, transgender",
+        "gays, lesbians, bisexuals, gay people, transgender people, trans women, trans men",
+        "black, white, asian, latino, arab, african, european, african american, native american",
+        "africans, asians, europeans, latinos, arabs, african americans, asian americans, native americans",
+        "immigrants, refugees, foreigners, natives",
+        "old people, young people, poor people, disabled people, deaf people, pensioners, teenagers",
+        "femmes, hommes",
+        "femme, homme",
+        "musulmans, chrétiens, juifs, bouddhistes, athées",
+        "personnes âgées, personnes handicapées, retraités, jeunes",
+        "mujeres, hombres",
+        "mujer, hombre",
+        "musulmanes, cristianos, judíos, budistas, ateos",
+        "personas mayores, personas con discapacidad, jubilados, jóvenes",
+        "frauen, männer",
+        "frau, mann",
+        "muslime, christen, juden, buddhisten, atheisten",
+        "alte menschen, behinderte menschen, rentner, jugendliche",
     )
 )
-_SWAP = {word: group[(i + 1) % len(group)] for group in IDENTITY_GROUPS for i, word in enumerate(group)}
+# The most counterfactuals of a text: enough to swap a term for each of the others of the largest group.
+SWAPS = max(map(len, IDENTITY_GROUPS)) - 1
+_TERMS = {tuple(term.split()): (number, place) for number, group in enumerate(IDENTITY_GROUPS) for place, term in enumerate(group)}
+_LENGTHS: dict[str, list[int]] = {}
+for _term in sorted(_TERMS, key=len, reverse=True):
+    if len(_term) not in _LENGTHS.setdefault(_term[0], []):
+        _LENGTHS[_term[0]].append(len(_term))
 
 
 def normal(word: str) -> str:
@@ -76,12 +89,39 @@ def feature_counts(words: Iterable[str]) -> Counter:
     return counts
 
 
-def swapped(words: list[str]) -> list[str] | None:
-    """The words with each identity term replaced by the next of its group; None where there is none."""
+def identity_terms(normals: list[str]) -> list[tuple[int, int, int, int]]:
+    """(start, end, group, place in the group) of the terms in normalised words, the longest at each place."""
+    found, at = [], 0
+    while at < len(normals):
+        for length in _LENGTHS.get(normals[at], ()):
+            term = _TERMS.get(tuple(normals[at : at + length]))
+            if term is not None:
+                found.append((at, at + length, *term))
+                at += length
+                break
+        else:
+            at += 1
+    return found
+
+
+def counterfactuals(words: list[str]) -> list[list[str]]:
+    """The normalised words with their identity terms swapped for others of the same groups; none without such terms.
+
+    In the n-th one each term is replaced by the n-th after it in its group, so that over all of them a term meets every
+    other one of its group, and terms of one group stay different ones.
+    """
     normals = [normal(word) for word in words]
-    if not any(word in _SWAP for word in normals):
-        return None
-    return [_SWAP.get(word, word) for word in normals]
+    terms, others = identity_terms(normals), []
+    for shift in range(1, SWAPS + 1):
+        pieces, at = [], 0
+        for start, end, number, place in terms:
+            group = IDENTITY_GROUPS[number]
+            if shift < len(group):
+                pieces += [*normals[at:start], *group[(place + shift) % len(group)].split()]
+                at = end
+        if at:
+            others.append(pieces + normals[at:])
+    return others
 
 
 def held_out(doc_id: str | Column) -> Column:
@@ -202,31 +242,35 @@ def train(
     gap = F.abs(F.col("toxic") / size[1] - F.col("clean") / size[0])
     spread = F.sqrt((F.col("toxic") + F.col("clean")) / (size[0] + size[1]))
     ranked = counted.filter("clean + toxic >= 3").orderBy((gap / spread).desc(), "bucket").limit(features)
-    identity = {b for word in _SWAP for b in buckets(word)}
+    identity = {b for term in _TERMS for word in term for b in buckets(word)}
     chosen = sorted({row["bucket"] for row in ranked.select("bucket").collect()} | identity)
     place = {bucket: i for i, bucket in enumerate(chosen)}
 
+    def vector(words: list[str]) -> dict[int, float]:
+        return {place[b]: math.log1p(n) for b, n in feature_counts(words).items() if b in place}
+
     def rows(batches: Batches) -> Batches:
         for batch in batches:
-            found = [], []
+            own, changes = [], []
             for text in texts_of(batch):
                 words = (text or "").split()
-                counts = {place[b]: n for b, n in feature_counts(words).items() if b in place}
-                other = swapped(words)
-                after = counts if other is None else {place[b]: n for b, n in feature_counts(other).items() if b in place}
-                change = {b: math.log1p(after.get(b, 0)) - math.log1p(counts.get(b, 0)) for b in {*counts, *after}}
-                found[0].append(sorted((b, math.log1p(n)) for b, n in counts.items()))
-                found[1].append(sorted((b, v) for b, v in change.items() if v))
-            kinds = pa.list_(pa.int32()), pa.list_(pa.float32())
+                before = vector(words)
+                own.append(sorted(before.items()))
+                others = map(vector, counterfactuals(words))
+                differences = [{b: after.get(b, 0) - before.get(b, 0) for b in {*before, *after}} for after in others]
+                changes.append([sorted((b, v) for b, v in change.items() if v) for change in differences])
+            number, value = pa.list_(pa.int32()), pa.list_(pa.float32())
             new = {
-                name + part: pa.array([[entry[i] for entry in row] for row in found[which]], kinds[i])
-                for which, name in enumerate(("x", "swap"))
-                for i, part in enumerate("bv")
+                "xb": pa.array([[b for b, _ in row] for row in own], number),
+                "xv": pa.array([[v for _, v in row] for row in own], value),
+                "swapb": pa.array([[[b for b, _ in change] for change in row] for row in changes], pa.list_(number)),
+                "swapv": pa.array([[[v for _, v in change] for change in row] for row in changes], pa.list_(value)),
             }
             yield with_columns(batch.select(["doc_id", "toxic"]), new)
 
     kind = dict(sample.dtypes)["doc_id"]
-    vectors = sample.mapInArrow(rows, f"doc_id {kind}, toxic int, xb array<int>, xv array<float>, swapb array<int>, swapv array<float>")
+    arrays = "xb array<int>, xv array<float>, swapb array<array<int>>, swapv array<array<float>>"
+    vectors = sample.mapInArrow(rows, f"doc_id {kind}, toxic int, {arrays}")
     return _trained(vectors, totals, chosen, l1, counterfactual)
 
 
@@ -235,17 +279,18 @@ def _trained(vectors: DataFrame, totals: dict, chosen: list[int], l1: float, cou
     fetched = vectors.toArrow().sort_by("doc_id").combine_chunks()
     labels = fetched["toxic"].to_numpy().astype(float)
 
-    def sparse(name: str, drop_empty: bool) -> Sparse:
-        lists = fetched[name + "b"].combine_chunks()
+    def sparse(name: str, nested: bool) -> Sparse:
+        lists, values = (fetched[name + part].combine_chunks() for part in "bv")
+        if nested:
+            lists, values = lists.flatten(), values.flatten()
         sizes = lists.value_lengths().to_numpy()
-        sizes = sizes[sizes > 0] if drop_empty else sizes
-        values = fetched[name + "v"].combine_chunks().flatten().to_numpy().astype(float)
+        values = values.flatten().to_numpy().astype(float)
         places = np.repeat(np.arange(len(sizes)), sizes)
         return Sparse(places, lists.flatten().to_numpy(), values, len(sizes), len(chosen))
 
     sampled = {k: max(int((labels == k).sum()), 1) for k in (0, 1)}
     weight = np.array([totals.get(int(k), 0) / sampled[int(k)] for k in labels])
-    x, swaps = sparse("x", drop_empty=False), sparse("swap", drop_empty=True)
+    x, swaps = sparse("x", nested=False), sparse("swap", nested=True)
     weights, bias = fit(x, labels, weight, swaps, l1, counterfactual)
     return ToxicityModel(bias, {chosen[i]: float(weights[i]) for i in np.flatnonzero(weights)})
 
@@ -266,7 +311,11 @@ def score_documents(docs: DataFrame, model: ToxicityModel, score: str = "toxicit
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with their columns."""
+    """The rows of ``docs`` that score below ``threshold``, with their columns.
+
+    Null and empty texts score as the bias says, so they go together; equal texts stay or go together; without labels of both
+    classes the score is their prior for every text; an empty table stays empty; other columns pass through.
+    """
     model = train(docs, labels)
 
     def run(batches: Batches) -> Batches:
@@ -277,7 +326,12 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: whether it is held out, its score, and the prediction at the threshold."""
+    """Per row of ``docs``: whether it is held out, its score, and the prediction at the threshold.
+
+    Null and empty texts score as the bias says; a null id counts as the empty text and is not learned from; repeated rows are
+    judged alike; of several labels of a document the largest counts; other columns are not looked at; an empty table gives
+    an empty one.
+    """
     scored = score_documents(docs.select("doc_id", "text"), train(docs, labels), "score")
     return scored.select(
         "doc_id",

@@ -148,6 +148,65 @@ def test_em_finds_the_accuracies():
     assert tables[1, :, 0] / (1 - tables[1, :, 2]) == pytest.approx(right, abs=0.03)
 
 
+def plain_posteriors(counts):
+    """EM by loops over patterns, heuristics and votes."""
+    good = {p: 1 / (1 + math.exp(2 * p.count("b") - p.count("g"))) for p in counts}
+    while True:
+        mass = {k: sum(n * (good[p] if k else 1 - good[p]) for p, n in counts.items()) for k in (0, 1)}
+        tables = {}
+        for k in (0, 1):
+            for i in range(len(weak_labels.LIMITS)):
+                hits = {v: 1 + sum(n * (good[p] if k else 1 - good[p]) for p, n in counts.items() if p[i] == v) for v in "gb-"}
+                for v, hit in hits.items():
+                    tables[k, i, v] = hit / sum(hits.values())
+        after = {}
+        for p in counts:
+            odds = {k: math.log((mass[k] + 1) / (sum(mass.values()) + 2)) + sum(math.log(tables[k, i, v]) for i, v in enumerate(p)) for k in (0, 1)}
+            after[p] = 1 / (1 + math.exp(min(max(odds[0] - odds[1], -500), 500)))
+        if max(abs(after[p] - good[p]) for p in counts) <= weak_labels.TOLERANCE:
+            return after
+        good = after
+
+
+def plain_features(text):
+    """Shares of word shapes, endings and repetitions, word by word."""
+    import xxhash
+
+    bucket = lambda name: xxhash.xxh64_intdigest(name) % weak_labels.SPACE
+    words, counts, before, seen = (text or "").split(), Counter(), None, set()
+    for word in words:
+        kinds = []
+        for c in word:
+            kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+            if not kinds or kinds[-1] != kind:
+                kinds.append(kind)
+        shape = "".join(kinds[:12])
+        counts.update([bucket("shape " + shape), bucket("end " + shape[-2:])])
+        counts.update([bucket("=before")] * (word == before) + [bucket("=seen")] * (word in seen))
+        before = word
+        seen.add(word)
+    return {b: math.sqrt(n / len(words)) for b, n in counts.items()}
+
+
+def test_weak_labels_equal_brute_force(spark):
+    docs = table(spark, "documents")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = {r["doc_id"]: r for r in op7_weak_labels(spark, SF_DIR).collect()}
+    counts = Counter(weak_labels.votes(text) for text in texts.values())
+    posterior = plain_posteriors(counts)
+    weights, bias = weak_labels.train(weak_labels.with_features(docs), weak_labels.estimate(counts)[0])
+    for doc, text in texts.items():
+        assert rows[doc]["votes"] == weak_labels.votes(text)
+        assert rows[doc]["posterior"] == pytest.approx(posterior[rows[doc]["votes"]], abs=1e-6)
+        margin = bias + sum(weights[b] * v for b, v in plain_features(text).items())
+        assert rows[doc]["score"] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-5)
+
+
+def test_shapes_read_whole_words():
+    assert weak_labels.shape("a" * 48 + "123") == weak_labels.shape("a" * 47 + "123") == "a0"
+    assert weak_labels.shape("Ab1-" * 9) == "Aa0-Aa0-Aa0-" and weak_labels.shape("") == ""
+
+
 def test_weak_labels_against_quality_labels(spark):
     truth = {r["doc_id"]: r["quality"] for r in table(spark, "labels").collect()}
     rows = op7_weak_labels(spark, SF_DIR).collect()
@@ -201,6 +260,65 @@ def test_counterfactuals_reduce_identity_bias(spark):
     assert fair.score(neutral) - fair.score(neutral.replace("muslims", "christians")) < 0.05
 
 
+def test_every_term_of_a_group_is_tried():
+    others = toxicity.counterfactuals("The African Americans, and old people!".split())
+    assert len(others) == 7 <= toxicity.SWAPS
+    assert others[0][1:3] == ["asian", "americans"] and others[0][-2:] == ["young", "people"]
+    assert all(not set.intersection(*(set(term.split()) for term in group)) for group in toxicity.IDENTITY_GROUPS)
+    for group in toxicity.IDENTITY_GROUPS:
+        for term in group:
+            found = {" ".join(x) for x in toxicity.counterfactuals(term.split())}
+            assert found == set(group) - {term}
+    assert toxicity.counterfactuals("people of america".split()) == []
+    # Terms of one group stay apart, and each counterfactual has as many of them.
+    assert all(x[0] != x[2] for x in toxicity.counterfactuals(["women", "and", "men"]))
+
+
+MENTIONED = ("muslims", "african americans", "old people", "frauen", "musulmanes")
+
+
+def test_neutral_mentions_of_every_group_are_left_alone(spark):
+    """In toxic texts, one term of each group is overrepresented; on held-out neutral texts that name any term of the group
+    the penalty brings false positives down, and keeps toxic texts found."""
+    rng = random.Random(10)
+    filler = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(2400):
+        toxic = i % 4 == 0
+        words = rng.choices(filler, k=14) + (["idiot"] if toxic and rng.random() < 0.85 else [])
+        words += [rng.choice(MENTIONED)] if rng.random() < (0.8 if toxic else 0.04) else []
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    plain, fair = (toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), counterfactual=c) for c in (0.0, 20.0))
+    neutral = lambda term: " ".join([*rng.choices(filler, k=7), term, *rng.choices(filler, k=7)])
+    for mention in MENTIONED:
+        group = next(g for g in toxicity.IDENTITY_GROUPS if mention in g)
+        texts = [neutral(mention) for _ in range(60)]
+        rate = [sum(model.score(x) >= toxicity.THRESHOLD for x in texts) / len(texts) for model in (plain, fair)]
+        assert rate[0] > 0.2 and rate[1] < 0.2 * rate[0], (mention, rate)
+        scores = [fair.score(f"w1 w2 {term} w3 w4") for term in group]
+        assert max(scores) - min(scores) < 0.1, mention
+    assert sum(fair.score(neutral("idiot")) >= toxicity.THRESHOLD for _ in range(60)) > 50
+
+
+def test_scores_equal_plain_sums(spark):
+    """Scores from the model's weights by plain loops over words and their beginnings."""
+    import xxhash
+
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    model = toxicity.train(docs, labels)
+    rows = {r["doc_id"]: r["score"] for r in toxicity.judged(docs, labels).collect()}
+    for row in docs.collect():
+        counts = Counter()
+        for word in (row["text"] or "").split():
+            word = word.lower().strip(toxicity.STRIPPED)
+            for part in [word, *("^" + word[:n] for n in range(3, 7) if n <= len(word))] if word else []:
+                counts[xxhash.xxh64_intdigest(part) % toxicity.SPACE] += 1
+        margin = model.bias + sum(model.weights.get(b, 0.0) * math.log1p(n) for b, n in counts.items())
+        assert rows[row["doc_id"]] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-9)
+
+
 def test_toxicity_on_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "a"), (None, "", "b"), (3, "x " * 100_000, "c"), (3, "x", "d")], "doc_id bigint, text string, toxicity string")
     labels = spark.createDataFrame([(1, 1), (3, 0), (None, 1), (9, None), (3, 1)], "doc_id bigint, toxic int")
@@ -241,5 +359,5 @@ def test_stages_follow_one_another(spark):
 
 
 def test_registration():
-    assert [name.split("_")[0] for name in llm_queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in llm_queries()] == [f"op{n}" for n in range(1, 14)]
     assert set(llm_oracles()) <= set(llm_queries()) and corpus_pipeline.ORACLE_SQL is None
