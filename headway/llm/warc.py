@@ -37,6 +37,8 @@ FILE_BYTES = 1 << 28
 RECORD_DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ROWS_AT_ONCE = 2048
+KEYS_PER_TASK = 1 << 17
+BYTES_PER_TASK = 1 << 24  # compressed
 
 
 # --- Files in the shared folder
@@ -281,8 +283,14 @@ class CaptureIndex:
 
 
 def look_up(keys: DataFrame, folder: str, top: list[dict]) -> DataFrame:
-    """(page_id, file, offset, length) of all captures of distinct keys (url_key, page_id)."""
-    placed = keys.distinct().repartitionByRange("url_key", "page_id").sortWithinPartitions("url_key", "page_id")
+    """(page_id, file, offset, length) of all captures of distinct keys (url_key, page_id).
+
+    A null key finds the captures of pages without a url; a null page_id those without one; keys that were never written
+    find nothing; no keys give an empty table.
+    """
+    distinct = stored(keys.distinct(), "capture-keys")
+    parts = max(1, -(-distinct.count() // KEYS_PER_TASK))
+    placed = distinct.repartitionByRange(parts, "url_key", "page_id").sortWithinPartitions("url_key", "page_id")
 
     def run(batches: Batches) -> Batches:
         index = CaptureIndex(folder, top)
@@ -309,7 +317,10 @@ def look_up(keys: DataFrame, folder: str, top: list[dict]) -> DataFrame:
 
 def read_captures(places: DataFrame, folder: str) -> DataFrame:
     """The records at the given ranges, read in the order of the archives; payloads come as text."""
-    placed = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # By the bytes that are to be read: the places themselves are tiny, and Spark would read them all in one task.
+    total = places.agg(F.sum("length")).first()[0] or 0
+    parts = max(1, -(-total // BYTES_PER_TASK))
+    placed = places.repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset")
     schema = (
         "page_id bigint, url string, payload string, payload_bytes bigint, payload_digest string, record_type string, "
         "refers_to bigint"
