@@ -1,7 +1,7 @@
 """Connected components of an undirected graph, by alternating large-star and small-star steps.
 
-Each step is a grouping and a join on one key, so a vertex of any degree is handled by pre-aggregated minima and by joins
-whose hot keys Spark can split. The number of rounds grows with the logarithm of the graph, not with its diameter.
+Each step is a grouping and a join on one key. A vertex of any degree is handled: its minimum is pre-aggregated in each task,
+and joined back by a broadcast of the few vertices that hold much of all edges. The number of rounds grows with the logarithm of the graph, not with its diameter.
 """
 
 from __future__ import annotations
@@ -9,41 +9,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import stored
+from headway.llm.common import forget, stored
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+# A vertex with more than this share of all edges gets its minimum by a broadcast; there are at most twice as many of
+# them as shares in the whole, as each edge has two ends.
+HEAVY_SHARE = 1 / 64
+
+
+def _with_least(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """``edges`` with the ``least`` of their vertex ``a``. Edges of the few heavy vertices stay in the tasks they are in."""
+    bound = F.lit(total * HEAVY_SHARE)
+    heavy = F.broadcast(least.filter(F.col("degree") > bound).select("a", "least"))
+    light = least.filter(F.col("degree") <= bound).select("a", "least")
+    rest = edges.join(heavy.select("a"), "a", "left_anti")
+    return edges.join(heavy, "a").unionByName(rest.join(light, "a"))
+
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Connect each vertex's larger neighbours with the smallest of the vertex and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"), F.count("*").alias("degree"))
+    found = _with_least(both, least, total)
+    return found.filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """Connect each vertex and its smaller neighbours with the smallest of them. Edges run from larger to smaller."""
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    inner = edges.join(least, "a").filter("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    least = edges.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("degree"))
+    inner = _with_least(edges, least, total).filter("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return inner.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple[int, int | None]:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % (1 << 31)).alias("h")).first()
-    return row["n"], row["h"]
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every vertex that is not the smallest of its component; ``edges`` has columns a and b.
 
-    Loops, repeated edges and edges with a null end are of no effect; no edges give an empty table.
+    Loops, repeated edges and edges with a null end are of no effect; no edges give an empty table. The search ends when a
+    step has left every edge as it was.
     """
     ordered = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     current = stored(ordered.distinct(), "edges")
-    state = _state(current)
-    while state[0]:
-        following = stored(_small_star(_large_star(current)), "edges")
-        after = _state(following)
-        current = following
-        if after == state:
-            break
-        state = after
+    total, moving = current.count(), True
+    while total and moving:
+        larger = stored(_large_star(current, total).distinct(), "edges")
+        following = stored(_small_star(larger, total), "edges")
+        count = following.count()
+        # Both are sets: of equal size, they are equal if none of the new edges is new.
+        moving = count != total or not following.join(current, ["a", "b"], "left_anti").isEmpty()
+        forget(larger)
+        forget(current)
+        current, total = following, count
     return current.select(F.col("a").alias("node"), F.col("b").alias("root"))

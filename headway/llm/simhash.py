@@ -263,7 +263,8 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, distance: int = DIST
 def keep_one(docs: DataFrame, length: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of each group, with all columns: the smallest ``doc_id`` (rows without one last), then the row's hash.
 
-    Of rows equal in every column one stays.
+    Of rows equal in every column one stays. Texts that are null, empty or blank are one group, as they share a fingerprint;
+    an empty table stays empty; other columns pass through, whatever their names.
     """
     rows = stored(with_fingerprints(docs, length), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row", "row2")
@@ -273,10 +274,12 @@ def keep_one(docs: DataFrame, length: int = SHINGLE, distance: int = DISTANCE) -
     keys = unused(docs, "_row", "_row2")
     kept = kept.select(F.col("least.row").alias(keys[0]), F.col("least.row2").alias(keys[1]))
     keyed = docs.withColumns({keys[0]: row_key(docs), keys[1]: row_key(docs, 1)})
-    # Repeated rows share both hashes, so dropping them needs no shuffle beside the join's.
-    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)
+    # Repeated rows share both hashes. They go before the join, each task's own before the shuffle, and the join finds its
+    # rows dealt out by these hashes already.
+    return keyed.dropDuplicates(keys).join(kept, keys, "left_semi").drop(*keys)
 
 
 def digest_columns(docs: DataFrame) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row, as ``near_duplicates`` defines them; fingerprints as 16 hex digits."""
     found = near_duplicates(docs.select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
