@@ -4,38 +4,59 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.llm import bpe, mixing, pii, simhash, toxicity
-from headway.llm.common import stored, table
+from headway.llm.common import forget, stored, table, unused
 from headway.llm.queries import TARGETS, VOCABULARY
 
 Stage = tuple[str, object]
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold, by a model learned from the labels of these documents."""
+    """Documents that score below the threshold, by a model learned from the labels of these documents.
+
+    Null and empty texts score as the model's bias says; equal texts stay or go together; without labels of both classes
+    nothing but their prior is learned; an empty table stays empty. All columns pass through.
+    """
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    Texts without a word are one group; rows without an id come last in theirs; of rows equal in every column one stays; an
+    empty table stays empty. All columns pass through, whatever their names.
+    """
     return simhash.keep_one(docs, length=3, distance=2)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind in brackets."""
+    """All documents, with personal data replaced by its kind in brackets and ``n_chars`` counted anew.
+
+    Null texts stay null; empty texts, repeated rows and all other columns stay as they are; an empty table stays empty.
+    """
     return pii.redact_pii(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies of the documents so that the sources have their target shares, in a global random order."""
+    """Copies of the documents so that the sources have their target shares, in a global random order.
+
+    A null source is one of those without a target; null and empty texts have no size but are copied like any others; rows
+    with one id have one number of copies each; an empty table stays empty. All columns pass through.
+    """
     return mixing.mix(docs, TARGETS)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each whole text."""
-    encoded = bpe.encode_texts(docs, public_tokenizers.path(VOCABULARY))
-    return encoded.selectExpr("doc_id", "lang", "source", "size(token_ids) AS n_tokens", "token_ids")
+    """All columns but the text, ``n_tokens`` and the ``token_ids`` of each whole text.
+
+    Null and empty texts have no ids; repeated rows are each encoded; an empty table stays empty. Where a column has one of the
+    two names already, the new one gets an underscore.
+    """
+    ids, count = unused(docs, "token_ids", "n_tokens")
+    encoded = bpe.encode_texts(docs, public_tokenizers.path(VOCABULARY), ids=ids)
+    return encoded.withColumn(count, F.size(ids)).drop("text")
 
 
 STAGES = [
@@ -54,5 +75,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each is written as Parquet and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)
