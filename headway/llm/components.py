@@ -15,30 +15,36 @@ from headway.llm.common import forget, stored
 # A vertex with more than this share of all edges gets its minimum by a broadcast; there are at most twice as many of
 # them as shares in the whole, as each edge has two ends.
 HEAVY_SHARE = 1 / 64
+LEAST_HEAVY = 100
 
 
 def _with_least(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
     """``edges`` with the ``least`` of their vertex ``a``. Edges of the few heavy vertices stay in the tasks they are in."""
-    bound = F.lit(total * HEAVY_SHARE)
-    heavy = F.broadcast(least.filter(F.col("degree") > bound).select("a", "least"))
-    light = least.filter(F.col("degree") <= bound).select("a", "least")
-    rest = edges.join(heavy.select("a"), "a", "left_anti")
-    return edges.join(heavy, "a").unionByName(rest.join(light, "a"))
+    bound = total * HEAVY_SHARE
+    known, heavy = least.select("a", "least"), least.filter(F.col("degree") > max(bound, LEAST_HEAVY)).select("a", "least")
+    if heavy.isEmpty():
+        return edges.join(known, "a")
+    marked = edges.join(F.broadcast(heavy), "a", "left")
+    return marked.filter("least IS NOT NULL").unionByName(marked.filter("least IS NULL").drop("least").join(known, "a"))
 
 
 def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Connect each vertex's larger neighbours with the smallest of the vertex and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"), F.count("*").alias("degree"))
-    found = _with_least(both, least, total)
-    return found.filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"), F.count("*").alias("degree")), "minima")
+    found = _with_least(both, least, total).filter("b > a")
+    larger = stored(found.select(F.col("b").alias("a"), F.col("least").alias("b")), "edges")
+    forget(least)
+    return larger
 
 
 def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """Connect each vertex and its smaller neighbours with the smallest of them. Edges run from larger to smaller."""
-    least = edges.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("degree"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("degree")), "minima")
     inner = _with_least(edges, least, total).filter("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return inner.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
+    smaller = stored(inner.unionByName(least.select("a", F.col("least").alias("b"))).distinct(), "edges")
+    forget(least)
+    return smaller
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -51,8 +57,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     current = stored(ordered.distinct(), "edges")
     total, moving = current.count(), True
     while total and moving:
-        larger = stored(_large_star(current, total).distinct(), "edges")
-        following = stored(_small_star(larger, total), "edges")
+        larger = _large_star(current, total)
+        following = _small_star(larger, total)
         count = following.count()
         # Both are sets: of equal size, they are equal if none of the new edges is new.
         moving = count != total or not following.join(current, ["a", "b"], "left_anti").isEmpty()
