@@ -7,6 +7,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from headway.llm import url_filters, warc
 from headway.llm.queries import on_workers, op3_warc
@@ -201,3 +202,17 @@ def test_damage_is_noticed():
 def test_op3_equals_brute_force(spark):
     pages = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()]
     assert as_records(op3_warc(spark, SF_DIR)) == brute_records(pages)
+
+
+def test_records_are_read_by_more_than_one_task(spark, monkeypatch):
+    """Reads are dealt out by the bytes of the records, look-ups by the number of keys."""
+    monkeypatch.setattr(warc, "BYTES_PER_TASK", 5_000)
+    monkeypatch.setattr(warc, "KEYS_PER_TASK", 20)
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    folder = fresh_dir(spark, "warc-tasks")
+    top = warc.write_index(warc.write_archives(pages, folder), folder)
+    keys = pages.select(warc.url_key("url").alias("url_key"), "page_id")
+    places = warc.look_up(keys, folder, top)
+    assert places.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    read = warc.read_captures(places, folder).select("page_id", F.spark_partition_id().alias("p")).collect()
+    assert len(read) == pages.count() and len({row["p"] for row in read}) > 1
