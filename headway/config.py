@@ -31,7 +31,8 @@ class JobConfig:
     checkpoints; each job adds its own table name below them. The schedule comes from ``static_path``, a directory per
     mode, or from ``snapshot_path``, where the ``static`` command keeps dated snapshots. An enabled sink needs the
     paths it uses: there are no defaults, which would lie on one machine. ``keyed_live_state`` keeps the live view in the
-    stream's own state: a batch then costs its own trips and not all live ones.
+    stream's own state: a batch then costs its own trips and not all live ones. ``schema_path`` is a folder with a message
+    schema for each topic, ``{topic}.json``, in place of the declared ones.
     """
 
     kafka_bootstrap_servers: str = "kafka:9092"
@@ -47,6 +48,7 @@ class JobConfig:
     silver_trigger: str = "1 minute"
     live_ttl_seconds: int = 120
     keyed_live_state: bool = False
+    schema_path: str | None = None
 
     def __post_init__(self):
         needed = {"lake_path": self.enable_silver_sink, "live_path": self.enable_live_sink}
@@ -70,6 +72,7 @@ class JobConfig:
             "live_path": "LIVE_PATH",
             "checkpoint_path": "CHECKPOINT_PATH",
             "table_format": "TABLE_FORMAT",
+            "schema_path": "MESSAGE_SCHEMA_PATH",
         }
         given = {field: env[name] for field, name in texts.items() if env.get(name)}
         return cls(

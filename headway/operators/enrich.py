@@ -49,10 +49,13 @@ def with_effective_time(df: DataFrame) -> DataFrame:
     )
 
 
+# What a display name falls back to, in order, and the text that stands in last.
+NAME_FALLBACKS = {
+    "resolved_route_name": (("route_short_name", "route_long_name", "route_id"), "UNKNOWN_ROUTE"),
+    "resolved_headsign": (("trip_headsign",), "UNKNOWN_DESTINATION"),
+}
+
+
 def with_resolved_names(df: DataFrame) -> DataFrame:
     """Display names with their fallbacks."""
-    return df.select(
-        "*",
-        F.coalesce("route_short_name", "route_long_name", "route_id", F.lit("UNKNOWN_ROUTE")).alias("resolved_route_name"),
-        F.coalesce("trip_headsign", F.lit("UNKNOWN_DESTINATION")).alias("resolved_headsign"),
-    )
+    return df.withColumns({name: F.coalesce(*columns, F.lit(last)) for name, (columns, last) in NAME_FALLBACKS.items()})

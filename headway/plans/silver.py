@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from headway.functions import is_service_time, local_epoch, seconds_late, service_seconds, with_event_parts
 from headway.operators.enrich import join_static, with_effective_time, with_resolved_names
@@ -23,9 +24,9 @@ def silver_trip_updates(records: DataFrame, schedule: DataFrame, zone: str) -> D
     return delayed_stops(flat_trip_updates(records), schedule, zone)
 
 
-def flat_trip_updates(records: DataFrame) -> DataFrame:
+def flat_trip_updates(records: DataFrame, schema: StructType = TRIP_UPDATE_MESSAGE) -> DataFrame:
     """Parsed stop updates, ``start_date`` as a date."""
-    return flatten_trip_updates(parse_value(records, TRIP_UPDATE_MESSAGE), typed_date=True)
+    return flatten_trip_updates(parse_value(records, schema), typed_date=True)
 
 
 def service_schedule(stop_times: DataFrame) -> DataFrame:
@@ -53,9 +54,9 @@ def delayed_stops(stops: DataFrame, schedule: DataFrame, zone: str) -> DataFrame
     return with_event_parts(delayed)
 
 
-def silver_vehicle_positions(records: DataFrame) -> DataFrame:
+def silver_vehicle_positions(records: DataFrame, schema: StructType = VEHICLE_POSITION_MESSAGE) -> DataFrame:
     """Vehicle positions with their event hour."""
-    return with_event_parts(flatten_vehicle_positions(parse_value(records, VEHICLE_POSITION_MESSAGE)))
+    return with_event_parts(flatten_vehicle_positions(parse_value(records, schema)))
 
 
 def named_positions(positions: DataFrame, routes: DataFrame, trips: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from headway.config import JobConfig
 from headway.operators.key_filter import key_bits, only_matching
@@ -22,6 +24,7 @@ from headway.plans.silver import (
     service_schedule,
     silver_vehicle_positions,
 )
+from headway.schemas import TRIP_UPDATE_MESSAGE, VEHICLE_POSITION_MESSAGE, load_schema
 from headway.sinks.live import LiveChanges, LiveTable, seconds_now
 from headway.sinks.tables import append_batch
 from headway.sinks.topics import start_publishing, start_recording
@@ -61,7 +64,8 @@ def start_trip_updates(
         needed = only_matching(schedule, key_bits(stops, STOP_TIME_KEYS), STOP_TIME_KEYS)
         return delayed_stops(stops, needed, config.timezone)
 
-    steps = Steps(flat_trip_updates, silver, lambda updates: updates)
+    flat = functools.partial(flat_trip_updates, schema=_message_schema(config, TRIP_UPDATES, TRIP_UPDATE_MESSAGE))
+    steps = Steps(flat, silver, lambda updates: updates)
     records = records or stream_topic(spark, TRIP_UPDATES, config.kafka_bootstrap_servers)
     return _start_sinks(config, TRIP_UPDATES, records, steps, DELAY_VIEW, trigger, clock)
 
@@ -77,7 +81,9 @@ def start_vehicle_positions(
     if not (config.enable_live_sink or config.enable_silver_sink):
         return []
     routes, trips = _static(spark, config, "routes", ROUTE_COLUMNS), _static(spark, config, "trips", TRIP_COLUMNS)
-    steps = Steps(silver_vehicle_positions, lambda rows: rows, lambda rows: named_positions(rows, routes, trips))
+    schema = _message_schema(config, VEHICLE_POSITIONS, VEHICLE_POSITION_MESSAGE)
+    flat = functools.partial(silver_vehicle_positions, schema=schema)
+    steps = Steps(flat, lambda rows: rows, lambda rows: named_positions(rows, routes, trips))
     records = records or stream_topic(spark, VEHICLE_POSITIONS, config.kafka_bootstrap_servers)
     return _start_sinks(config, VEHICLE_POSITIONS, records, steps, VEHICLE_VIEW, trigger, clock)
 
@@ -98,6 +104,10 @@ def start_feed(
     return start_publishing(messages, topic, bootstrap_servers, checkpoint, trigger)
 
 
+def _message_schema(config: JobConfig, topic: str, declared: StructType) -> StructType:
+    return load_schema(f"{config.schema_path}/{topic}.json") if config.schema_path else declared
+
+
 def _static(spark: SparkSession, config: JobConfig, table: str, columns: tuple[str, ...]) -> DataFrame:
     if config.snapshot_path:
         return read_newest_snapshots(spark, f"{config.snapshot_path}/{table}", columns)

@@ -1,4 +1,5 @@
 import dataclasses
+import json
 import time
 
 import pytest
@@ -10,6 +11,7 @@ from headway.config import MODES, JobConfig
 from headway.operators.live import DELAY_VIEW, VEHICLE_VIEW, live_view
 from headway.plans.marts import dedup_latest, refresh_marts
 from headway.plans.silver import service_schedule, silver_trip_updates
+from headway.schemas import VEHICLE_POSITION_MESSAGE
 from headway.sinks import tables
 from headway.sinks.live import LiveChanges, LiveTable
 from headway.sinks.tables import read_mart, read_table
@@ -302,3 +304,19 @@ def test_keyed_state_renews_and_forgets(spark, rows, tmp_path):
     assert seen[-1][0].expires_at >= first
     time.sleep(7)
     assert land(("t", 8, 3, 6)) == {"delay:trip:t": (3, 6)}
+
+
+def test_a_message_schema_from_a_file(spark, tmp_path):
+    """A job reads the schema it is given; fields that it lacks are not parsed."""
+    config = config_at(spark, str(tmp_path), enable_silver_sink=True)
+    schema = VEHICLE_POSITION_MESSAGE.jsonValue()
+    (tmp_path / "schemas").mkdir()
+    text = json.dumps(schema).replace('"label"', '"no_label"', 1)
+    (tmp_path / "schemas" / f"{VEHICLE_POSITIONS}.json").write_text(json.dumps(schema))
+    vehicle_records(spark, SF_DIR).write.parquet(str(tmp_path / "topic"))
+    run(start_vehicle_positions, spark, dataclasses.replace(config, schema_path=f"{tmp_path}/schemas"), str(tmp_path / "topic"))
+    stored = read_table(spark, config.silver_table(VEHICLE_POSITIONS))
+    assert stored.count() == fx.positions(spark, SF_DIR).count()
+    (tmp_path / "schemas" / f"{VEHICLE_POSITIONS}.json").write_text(text)
+    with pytest.raises(Exception, match="label"):
+        run(start_vehicle_positions, spark, dataclasses.replace(config, schema_path=f"{tmp_path}/schemas"), str(tmp_path / "topic"))
