@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from headway.functions import EVENT_PARTITIONS
+from headway.functions import EVENT_PARTITIONS, epoch_of, from_hour
 from headway.operators.enrich import join_static
 from headway.operators.incremental import (
     Upsert,
@@ -23,6 +23,7 @@ from headway.operators.incremental import (
     replace_hours,
     replace_together,
     settle_together,
+    stored_hour,
     stored_mark,
     upsert_latest,
 )
@@ -138,11 +139,21 @@ def _of_table(counts: DataFrame, name: str) -> DataFrame:
     return counts.filter(F.col("by_trip") == (key == "trip_id")).select(key, *HOUR, "total_stops", "on_time_stops")
 
 
-def counted_anew(deduped: DataFrame, target_path: str, table_format: str = "parquet") -> None:
-    """Write both tables of counts from the whole deduplicated table."""
-    counts = weighed_counts(deduped.withColumn("weight", F.lit(1)), "weight").persist()
-    for name in COUNTS:
-        replace_hours(_of_table(counts, name), f"{target_path}/{name}", table_format, first=True)
+def recount(deduped: DataFrame, target_path: str, table_format: str = "parquet", late_seconds: int = 0) -> None:
+    """Bring both tables of counts up to date from the deduplicated table alone.
+
+    An upsert changes no hour before the newest one it found, less the seconds it looks back, and the counts reach up to that
+    hour. Only from there on are hours counted again, which makes up for a refresh that was lost after its upsert. Where a
+    table of counts is missing, everything is counted.
+    """
+    spark, paths = deduped.sparkSession, {name: f"{target_path}/{name}" for name in COUNTS}
+    newest = [stored_hour(spark, path, table_format) if is_loaded(spark, path) else None for path in paths.values()]
+    hours = [None if rows is None else rows.select(*EVENT_PARTITIONS).first() for rows in newest]
+    first = None in hours
+    changed = deduped if first else deduped.filter(from_hour(min(map(epoch_of, hours)) - late_seconds))
+    counts = weighed_counts(changed.withColumn("weight", F.lit(1)), "weight").persist()
+    for name, path in paths.items():
+        replace_hours(_of_table(counts, name), path, table_format, first=first)
     counts.unpersist()
 
 
@@ -187,7 +198,7 @@ def refresh_tables(
         planned.done()
     if not together:
         upsert_latest(spark, silver, deduped_path, spec, table_format)
-        counted_anew(read_table(spark, deduped_path, table_format, SILVER_TRIP_UPDATES), target_path, table_format)
+        recount(read_table(spark, deduped_path, table_format, SILVER_TRIP_UPDATES), target_path, table_format, late_seconds)
 
 
 def refresh_marts(

@@ -100,13 +100,28 @@ def test_counts_and_rows_change_together(spark, tmp_path, monkeypatch, lost_at):
 def test_a_refresh_does_not_count_stored_rows_again(spark, tmp_path, monkeypatch):
     target, data = str(tmp_path / "gold"), random_rows(3, 50, HOUR, HOUR + 4000)
     refresh_tables(spark, in_silver(spark, data), target)
-    monkeypatch.setattr(marts, "counted_anew", None)
+    monkeypatch.setattr(marts, "recount", None)
     monkeypatch.setattr(marts, "upsert_latest", None)
     refresh_tables(spark, in_silver(spark, data + random_rows(4, 9, HOUR + 4001, HOUR + 9000)), target)
     deduped = read_table(spark, f"{target}/trip_updates_deduped", schema=SILVER_TRIP_UPDATES)
     assert counts_of(spark, target, "stop_counts", "stop_id") == expected_counts(deduped, "stop_id")
 
 
+def test_recounting_reads_no_older_hour(spark, tmp_path, monkeypatch):
+    """Without joint publication, counts are made up from the newest counted hour on."""
+    target, data = str(tmp_path / "gold"), random_rows(6, 60, HOUR, HOUR + 8000)
+    deduped = lambda rows: dedup_latest(in_silver(spark, rows))
+    marts.recount(deduped(data), target)
+    more = data + random_rows(7, 60, HOUR + 7200, HOUR + 16000)
+    seen = []
+    weighed = marts.weighed_counts
+    monkeypatch.setattr(marts, "weighed_counts", lambda rows, weight: seen.append(rows.count()) or weighed(rows, weight))
+    marts.recount(deduped(more), target)
+    assert 0 < seen[0] < deduped(more).count()
+    for name, key in marts.COUNTS.items():
+        assert counts_of(spark, target, name, key) == expected_counts(deduped(more), key)
+
+
 def test_late_rows_through_the_production_refresh(spark, tmp_path):
     base = str(tmp_path)
     for name, columns in {"stops": "stop_id string, stop_name string", "trips": "trip_id string, route_id string",
