@@ -104,6 +104,25 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_with_heavy_vertices(spark):
+    """Stars that hold most edges, linked with each other, beside many small groups; against merging sets."""
+    rng = random.Random(9)
+    edges = [(hub, 10_000 + 1000 * k + i) for k, hub in enumerate((9000, 17, 30_000)) for i in range(500)]
+    edges += [(10_000, 11_000), (12_001, 50_000)] + [(rng.randint(40_000, 60_000), rng.randint(40_000, 60_000)) for _ in range(300)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    roots = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)).collect()}
+    assert roots == {x: root(x) for x in parent if root(x) != x}
+
+
 def test_near_duplicates_on_odd_rows(spark):
     long = "alpha beta gamma delta " * 20_000
     data = [(7, None, "x"), (3, "", "x"), (None, " ", "x"), (9, long, "y"), (9, long, "y"), (8, long, "z"), (None, "only here", "w")]
