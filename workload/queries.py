@@ -540,15 +540,24 @@ def schema_growth_refresh(spark, sf_dir):
     return stored.select(*marts.DEDUP_KEYS, "source_timestamp", (F.col("note") == F.col("stop_id")).alias("noted"))
 
 
+def refresh_inputs(spark: SparkSession, sf_dir: str, base: str, second: bool) -> None:
+    """Silver rows up to the split or after it, and the first or second version of the dimensions."""
+    updates = _batch_trip_updates(spark, sf_dir)
+    first_version = "ingested_at < TIMESTAMP '2024-01-01 00:01:00Z'"
+    append_silver(updates.filter((F.col("source_timestamp") > SPLIT) == second), f"{base}/silver")
+    _store_dimensions(spark, sf_dir, base, f"NOT ({first_version})" if second else first_version)
+
+
+def refresh(spark: SparkSession, base: str) -> None:
+    marts.refresh_marts(spark, f"{base}/silver", f"{base}/static", f"{base}/gold")
+
+
 def _refreshed(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marts after two refreshes, between which silver grew and the dimensions changed."""
     base = fresh_dir(spark, "marts")
-    updates = _batch_trip_updates(spark, sf_dir)
-    first_version = "ingested_at < TIMESTAMP '2024-01-01 00:01:00Z'"
     for second in (False, True):
-        append_silver(updates.filter((F.col("source_timestamp") > SPLIT) == second), f"{base}/silver")
-        _store_dimensions(spark, sf_dir, base, f"NOT ({first_version})" if second else first_version)
-        marts.refresh_marts(spark, f"{base}/silver", f"{base}/static", f"{base}/gold")
+        refresh_inputs(spark, sf_dir, base, second)
+        refresh(spark, base)
     return read_mart(spark, f"{base}/gold/{table}")
 
 
