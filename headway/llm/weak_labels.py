@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 from itertools import groupby, islice
 from operator import eq
 
@@ -99,8 +100,17 @@ def estimate(patterns: dict[str, int], tolerance: float = TOLERANCE) -> tuple[di
     return dict(zip(names, good.tolist())), tables
 
 
+def _lower(word: str) -> bool:
+    """Whether a word is letters only, none of them a capital: its shape is one run."""
+    return word.isalpha() and word.islower()
+
+
 def shape(word: str) -> str:
     """Letters as a or A, digits as 0, runs of one kind once, other characters as they are; the first 12 characters of that."""
+    if _lower(word):
+        return "a"
+    if word[:1].isupper() and _lower(word[1:]):
+        return "Aa"
     kinds = ("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return "".join(islice((kind for kind, _ in groupby(kinds)), 12))
 
@@ -114,6 +124,7 @@ class Shapes:
 
     def __init__(self):
         self.cache: dict[str, tuple[int, int]] = {}
+        self.buckets = lru_cache(maxsize=1 << 16)(lambda kind: (_bucket("shape " + kind), _bucket("end " + kind[-2:])))
         self.same, self.again = _bucket("=before"), _bucket("=seen")
 
     def __call__(self, text: str | None) -> dict[int, float]:
@@ -127,7 +138,7 @@ class Shapes:
             if own is None:
                 if len(self.cache) >= CACHED_WORDS:
                     self.cache.clear()
-                own = self.cache[word] = _bucket("shape " + shape(word)), _bucket("end " + shape(word)[-2:])
+                own = self.cache[word] = self.buckets(shape(word))
             for bucket in own:
                 counts[bucket] = counts.get(bucket, 0) + n
         counts[self.same] = sum(map(eq, words, words[1:]))
