@@ -320,3 +320,11 @@ def test_a_message_schema_from_a_file(spark, tmp_path):
     (tmp_path / "schemas" / f"{VEHICLE_POSITIONS}.json").write_text(text)
     with pytest.raises(Exception, match="label"):
         run(start_vehicle_positions, spark, dataclasses.replace(config, schema_path=f"{tmp_path}/schemas"), str(tmp_path / "topic"))
+
+
+def test_keyed_state_takes_rows_and_not_a_frame_for_each_key(spark):
+    rows = spark.readStream.format("rate").load().selectExpr(
+        "CAST(value AS STRING) AS trip_id", "value AS source_timestamp", "1 AS stop_sequence", "value AS delay_seconds"
+    )
+    plan = keyed_state.keyed_entries(rows, DELAY_VIEW)._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithStateInPySpark" in plan and "InPandas" not in plan.replace("MapInPandas", "")
