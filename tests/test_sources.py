@@ -1,7 +1,10 @@
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
+from conftest import SF_DIR
 
+from headway import storage
 from headway.config import JobConfig, parse_flag
 from headway.session import shared_dir
 from headway.sources.feeds import FEEDS, TRIP_UPDATES
@@ -14,6 +17,8 @@ from headway.sources.static import (
     tag_snapshot,
 )
 from headway.sources.topics import batch_options, recorded_topic, replay_topic, stream_options
+from headway.storage import files_below
+from workload.queries import vehicle_records
 
 
 def test_kafka_options():
@@ -106,3 +111,30 @@ def test_newest_snapshot_of_each_mode(spark, tmp_path):
         snapshot(mode, day, trip)
     got = read_newest_snapshots(spark, str(tmp_path / "trips"), ["trip_id"]).collect()
     assert sorted(r.trip_id for r in got) == ["b2", "t1"]
+
+
+def test_a_topic_has_no_file_for_each_shuffle_partition(spark, tmp_path):
+    """A replay takes a few files a batch: with hundreds of tiny ones it makes hundreds of batches."""
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        vehicle_records(spark, SF_DIR).write.parquet(str(tmp_path / "topic"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    files = [p.name for p in (tmp_path / "topic").glob("*.parquet")]
+    assert 0 < len(files) <= 8 and files_below(spark, str(tmp_path / "topic")) == sorted(files)
+
+
+def test_listing_files_asks_for_no_file_by_itself(spark, tmp_path, monkeypatch):
+    spark.range(4).selectExpr("id % 2 AS a", "id AS b", "id AS c").write.partitionBy("a", "b").parquet(str(tmp_path / "t"))
+    locate = storage._locate
+
+    def flat_only(*args):
+        fs, place = locate(*args)
+        calls = {name: getattr(fs, name) for name in ("exists", "listStatus")}
+        return SimpleNamespace(**calls), place
+
+    monkeypatch.setattr(storage, "_locate", flat_only)
+    found = files_below(spark, str(tmp_path / "t"))
+    assert [name.rpartition("/")[0] for name in found] == ["a=0/b=0", "a=0/b=2", "a=1/b=1", "a=1/b=3"]
+    assert files_below(spark, str(tmp_path / "none")) == []

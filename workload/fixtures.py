@@ -24,10 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables.
 
     Each is a single file of one row group, which one task reads. What is built on them is spread by its own joins and
-    groupings; ``events`` go through neither and are dealt out here.
+    groupings; ``events`` go through neither and are dealt out here, in parts that follow their size and the cores there are:
+    with a part for each shuffle partition a stream over what they are written to would have as many more batches.
     """
     df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id") if name == "events" else df
+    return df.hint("rebalance", "event_id") if name == "events" else df
 
 
 def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
