@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import plan_of
+from conftest import SF_DIR, plan_of
 from pyspark.sql import functions as F
 
 from headway.functions import with_event_parts
@@ -19,6 +19,7 @@ from headway.sinks.tables import append_silver, read_mart, read_table
 from headway.sinks.versions import Versions
 from headway.sources import static
 from headway.sources.static import append_snapshot, read_newest_snapshots, read_snapshots
+from workload import queries
 
 HOUR = 1705266000
 SILVER = "trip_id string, route_id string, stop_sequence int, stop_id string, mode string, source_timestamp bigint, delay_seconds bigint"
@@ -305,3 +306,23 @@ def test_marts_read_closed_hours(spark, tmp_path):
     got = read_table(spark, f"{target}/trip_updates_deduped").select(*DEDUP.keys, "source_timestamp")
     expected = dedup_latest(in_silver(spark, data)).select(*DEDUP.keys, "source_timestamp")
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+# --- What is used more than once
+
+
+def test_rows_of_two_landings_are_made_once(spark, monkeypatch):
+    seen, append = [], queries.append_silver
+    monkeypatch.setattr(queries, "append_silver", lambda rows, path: seen.append(plan_of(rows)) or append(rows, path))
+    queries.all_queries()["incremental_dedup"](spark, SF_DIR)
+    assert len(seen) == 2 and all("InMemoryTableScan" in plan for plan in seen)
+
+
+def test_a_kept_upsert_joins_once(spark, tmp_path):
+    target = str(tmp_path / "t")
+    upsert_latest(spark, in_silver(spark, random_rows(9, 30, HOUR, HOUR + 900)), target, DEDUP)
+    planned = plan_upsert(spark, in_silver(spark, random_rows(10, 30, HOUR + 901, HOUR + 1800)), target, DEDUP, keep=True)
+    assert planned.lost.count() > 0 and planned.rows.count() > 0
+    for frame in (planned.lost, planned.rows):
+        assert "_beaten" in plan_of(frame).split("InMemoryRelation")[0] and "InMemoryTableScan" in plan_of(frame)
+    planned.done()
