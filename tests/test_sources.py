@@ -18,6 +18,7 @@ from headway.sources.static import (
 )
 from headway.sources.topics import batch_options, recorded_topic, replay_topic, stream_options
 from headway.storage import files_below
+from workload import queries
 from workload.queries import vehicle_records
 
 
@@ -138,3 +139,12 @@ def test_listing_files_asks_for_no_file_by_itself(spark, tmp_path, monkeypatch):
     found = files_below(spark, str(tmp_path / "t"))
     assert [name.rpartition("/")[0] for name in found] == ["a=0/b=0", "a=0/b=2", "a=1/b=1", "a=1/b=3"]
     assert files_below(spark, str(tmp_path / "none")) == []
+
+
+def test_landing_modes_sorts_no_messages(spark, monkeypatch):
+    before, seen = spark.conf.get(queries.OPEN_FILES), []
+    written = SimpleNamespace(parquet=lambda path: seen.append(spark.conf.get(queries.OPEN_FILES)))
+    snapshots = SimpleNamespace(sparkSession=spark, write=SimpleNamespace(partitionBy=lambda name: written))
+    monkeypatch.setattr(queries, "move", lambda *_: None)
+    queries._land(snapshots, "base", TRIP_UPDATES)
+    assert seen == ["3"] and spark.conf.get(queries.OPEN_FILES) == before
