@@ -147,6 +147,8 @@ def _start_sinks(
         writer_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         kept = [batch.persist()]
         try:
+            # Fills the cache. Several uses that start at once would wait for each other's tasks, or parse again elsewhere.
+            kept[0].count()
             rows = steps.silver(kept[0])
             if both and rows is not kept[0]:
                 kept.append(rows.persist())

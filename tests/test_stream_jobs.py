@@ -2,6 +2,7 @@ import dataclasses
 import json
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from headway.sources.topics import replay_topic
 from headway.streaming import jobs, keyed_state
 from headway.streaming.jobs import start_feed, start_trip_updates, start_vehicle_positions
 from workload import fixtures as fx
+from workload import queries
 from workload.queries import _land, latest_routes, latest_stops, latest_trips, trip_records, vehicle_records, write_static
 
 NOW = 1_712_000_000
@@ -328,3 +330,44 @@ def test_keyed_state_takes_rows_and_not_a_frame_for_each_key(spark):
     )
     plan = keyed_state.keyed_entries(rows, DELAY_VIEW)._jdf.queryExecution().analyzed().toString()
     assert "TransformWithStateInPySpark" in plan and "InPandas" not in plan.replace("MapInPandas", "")
+
+
+def test_the_batches_of_a_job_follow_the_cores_and_not_its_topic(spark, tmp_path, monkeypatch):
+    """With parts as small beside this topic as the default ones are beside a large one."""
+    small = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    seen, paths, append, replay = [], [], jobs.append_batch, queries.replay_topic
+    monkeypatch.setattr(queries, "ROW_GROUP", 16 << 10)
+    monkeypatch.setattr(jobs, "append_batch", lambda rows, path, number, *rest: seen.append(number) or append(rows, path, number, *rest))
+    monkeypatch.setattr(queries, "replay_topic", lambda spark, path, **more: paths.append(path) or replay(spark, path, **more))
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        stored = queries.all_queries()["silver_trip_updates_stream"](spark, SF_DIR)
+        assert {key: spark.conf.get(key) for key in small} == small
+        assert stored.count() == fx.silver_updates(spark, SF_DIR).count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert 1 <= len(seen) <= 2
+    files = [file.removeprefix("file://") for file in spark.read.parquet(paths[0]).inputFiles()]
+    assert max(pq.ParquetFile(file).num_row_groups for file in files) > 1
+
+
+def test_a_batch_is_kept_before_it_is_used(spark, tmp_path, monkeypatch):
+    """Uses that start at once would each occupy tasks with the same parsing."""
+    config = config_at(spark, str(tmp_path), enable_silver_sink=True)
+    trip_records(spark, SF_DIR).repartition(2).write.parquet(str(tmp_path / "topic"))
+    join, kept = jobs.delayed_stops, []
+
+    def seen(*given):
+        kept.append([(i.numCachedPartitions(), i.numPartitions()) for i in spark._jsc.sc().getRDDStorageInfo()])
+        return join(*given)
+
+    monkeypatch.setattr(jobs, "delayed_stops", seen)
+    run(start_trip_updates, spark, config, str(tmp_path / "topic"))
+    assert len(kept) == 1 and any(done == parts > 0 for done, parts in kept[0])
