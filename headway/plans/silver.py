@@ -14,6 +14,7 @@ STOP_TIME_KEYS = ("trip_id", "stop_sequence")
 STOP_TIME_COLUMNS = ("trip_id", "arrival_time", "departure_time", "stop_sequence")
 ROUTE_COLUMNS = ("route_id", "route_short_name", "route_long_name")
 TRIP_COLUMNS = ("trip_id", "trip_headsign")
+TRIP_KEYS = ("trip_id",)
 
 
 def silver_trip_updates(records: DataFrame, schedule: DataFrame, zone: str) -> DataFrame:

@@ -7,17 +7,20 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from headway.config import JobConfig
 from headway.operators.key_filter import key_bits, only_matching
+from headway.operators.latest import latest_by
 from headway.operators.live import DELAY_VIEW, VEHICLE_VIEW, LiveView, live_entries
 from headway.plans.silver import (
     ROUTE_COLUMNS,
     STOP_TIME_COLUMNS,
     STOP_TIME_KEYS,
     TRIP_COLUMNS,
+    TRIP_KEYS,
     delayed_stops,
     flat_trip_updates,
     named_positions,
@@ -37,11 +40,15 @@ from headway.streaming.keyed_state import STATE_SETTINGS, keyed_entries
 
 @dataclass(frozen=True)
 class Steps:
-    """What a job makes of a topic: flat rows of the stream, silver rows of a batch of these, live rows of the silver ones."""
+    """What a job makes of a topic: flat rows of the stream, silver rows of a batch of these, live rows of the silver ones.
+
+    ``live`` takes a batch and may give the newest row of each trip alone; ``live_stream`` takes a stream, row by row.
+    """
 
     flat: Callable[[DataFrame], DataFrame]
     silver: Callable[[DataFrame], DataFrame]
     live: Callable[[DataFrame], DataFrame]
+    live_stream: Callable[[DataFrame], DataFrame]
 
 
 def start_trip_updates(
@@ -65,7 +72,7 @@ def start_trip_updates(
         return delayed_stops(stops, needed, config.timezone)
 
     flat = functools.partial(flat_trip_updates, schema=_message_schema(config, TRIP_UPDATES, TRIP_UPDATE_MESSAGE))
-    steps = Steps(flat, silver, lambda updates: updates)
+    steps = Steps(flat, silver, lambda updates: updates, lambda updates: updates)
     records = records or stream_topic(spark, TRIP_UPDATES, config.kafka_bootstrap_servers)
     return _start_sinks(config, TRIP_UPDATES, records, steps, DELAY_VIEW, trigger, clock)
 
@@ -83,7 +90,19 @@ def start_vehicle_positions(
     routes, trips = _static(spark, config, "routes", ROUTE_COLUMNS), _static(spark, config, "trips", TRIP_COLUMNS)
     schema = _message_schema(config, VEHICLE_POSITIONS, VEHICLE_POSITION_MESSAGE)
     flat = functools.partial(silver_vehicle_positions, schema=schema)
-    steps = Steps(flat, lambda rows: rows, lambda rows: named_positions(rows, routes, trips))
+
+    def live(rows: DataFrame) -> DataFrame:
+        """Names for the newest row of each trip, from the trips of the batch; no other trip is shuffled to it.
+
+        A name follows from the ids of its row, so what is newest does not depend on it, with repeated ids neither.
+        """
+        given = [text for text in VEHICLE_VIEW.fields.values() if text in rows.columns]
+        ties = [name for name in given if name not in (VEHICLE_VIEW.key, *VEHICLE_VIEW.order)]
+        newest = latest_by(rows.filter(F.col(VEHICLE_VIEW.key).isNotNull()), [VEHICLE_VIEW.key], VEHICLE_VIEW.order, ties)
+        needed = only_matching(trips, key_bits(rows, TRIP_KEYS), TRIP_KEYS)
+        return named_positions(newest, routes, needed)
+
+    steps = Steps(flat, lambda rows: rows, live, lambda rows: named_positions(rows, routes, trips))
     records = records or stream_topic(spark, VEHICLE_POSITIONS, config.kafka_bootstrap_servers)
     return _start_sinks(config, VEHICLE_POSITIONS, records, steps, VEHICLE_VIEW, trigger, clock)
 
@@ -172,7 +191,7 @@ def _start_sinks(
     if keyed:
         for key, value in STATE_SETTINGS.items():
             spark.conf.set(key, value)
-        queries.append(start(keyed_entries(steps.live(steps.silver(flat)), view), write_changes, "live"))
+        queries.append(start(keyed_entries(steps.live_stream(steps.silver(flat)), view), write_changes, "live"))
     if config.enable_silver_sink or not keyed:
         queries.append(start(flat, write, "sinks"))
     return queries

@@ -11,12 +11,13 @@ from headway.__main__ import main
 from headway.config import MODES, JobConfig
 from headway.operators.live import DELAY_VIEW, VEHICLE_VIEW, live_view
 from headway.plans.marts import dedup_latest, refresh_marts
-from headway.plans.silver import service_schedule, silver_trip_updates
+from headway.plans.silver import named_positions, service_schedule, silver_trip_updates, silver_vehicle_positions
 from headway.schemas import VEHICLE_POSITION_MESSAGE
 from headway.sinks import tables
 from headway.sinks.live import LiveChanges, LiveTable
 from headway.sinks.tables import read_mart, read_table
 from headway.sources.feeds import TRIP_UPDATES, VEHICLE_POSITIONS
+from headway.sources.static import read_static
 from headway.sources.topics import replay_topic
 from headway.streaming import jobs, keyed_state
 from headway.streaming.jobs import start_feed, start_trip_updates, start_vehicle_positions
@@ -371,3 +372,28 @@ def test_a_batch_is_kept_before_it_is_used(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "delayed_stops", seen)
     run(start_trip_updates, spark, config, str(tmp_path / "topic"))
     assert len(kept) == 1 and any(done == parts > 0 for done, parts in kept[0])
+
+
+def test_the_live_view_looks_up_its_own_trips_once(spark, rows, tmp_path, monkeypatch):
+    """Names are looked up for the newest row of each trip, among the trips of the batch; repeated ids change nothing."""
+    config = config_at(spark, str(tmp_path), enable_live_sink=True)
+    rows([("1", "a"), ("1", "z"), (None, "n")], "trip_id string, trip_headsign string").write.mode("append").parquet(
+        f"{config.static_path}/bus/trips"
+    )
+    rows([("1", "0", None)] * 2 + [("1", "Z", "l")], "route_id string, route_short_name string, route_long_name string").write.mode(
+        "append"
+    ).parquet(f"{config.static_path}/bus/routes")
+    records = vehicle_records(spark, SF_DIR)
+    records.unionAll(records.limit(30)).write.parquet(str(tmp_path / "topic"))
+    met = []
+
+    def seen(positions, routes, trips):
+        met.append((positions.count(), positions.select("trip_id").distinct().count(), trips.count()))
+        return named_positions(positions, routes, trips)
+
+    monkeypatch.setattr(jobs, "named_positions", seen)
+    run(start_vehicle_positions, spark, config, str(tmp_path / "topic"))
+    routes, trips = (read_static(spark, config.static_paths(name)) for name in ("routes", "trips"))
+    expected = live_view(named_positions(silver_vehicle_positions(records), routes, trips), VEHICLE_VIEW, NOW)
+    assert sorted_rows(LiveTable(spark, config.live_table(VEHICLE_POSITIONS), VEHICLE_VIEW).read(NOW)) == sorted_rows(expected)
+    assert met and all(rows == keys and looked_up < trips.count() / 4 for rows, keys, looked_up in met)
