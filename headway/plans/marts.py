@@ -17,12 +17,15 @@ from headway.operators.incremental import (
     dated,
     hours_among,
     hours_from,
+    in_hours,
     is_loaded,
+    joint_path,
     newest_hour,
     plan_upsert,
+    publish_together,
     replace_hours,
-    replace_together,
     settle_together,
+    stage_jointly,
     stored_hour,
     stored_mark,
     upsert_latest,
@@ -157,23 +160,29 @@ def recount(deduped: DataFrame, target_path: str, table_format: str = "parquet",
     counts.unpersist()
 
 
-def changed_counts(planned: Upsert, target_path: str) -> dict[str, DataFrame]:
-    """Both tables' counts of the touched hours: the stored ones, plus the rows gained, less the rows lost.
+def changed_counts(planned: Upsert, staged: str) -> DataFrame:
+    """Counts of the rows that an upsert has gained, less those of the rows lost, by stop and by trip.
 
-    Reads no row of the deduplicated table but the ones that are lost. A count that has come to zero is left out.
+    Hours that were not stored before consist of gained rows, which are read from where the deduplicated table is ``staged``,
+    so that no new row is ranked or kept for its count. Of the stored hours only the rows that are gained or lost are read.
     """
     needed = [*COUNTS.values(), *HOUR, "delay_seconds"]
-    changes = planned.gained.select(*needed, F.lit(1).alias("weight"))
-    if planned.lost is not None:
-        changes = changes.unionByName(planned.lost.select(*needed, F.lit(-1).alias("weight")))
-    difference, renewed = weighed_counts(changes, "weight").persist(), {}
-    for name, key in COUNTS.items():
-        path = f"{target_path}/{name}"
-        rows, found = _of_table(difference, name), hours_among(changes.sparkSession, path, planned.hours)
-        both = rows if found is None else rows.unionByName(found[0].select(rows.columns))
-        sums = [F.sum(column).alias(column) for column in ("total_stops", "on_time_stops")]
-        renewed[path] = both.groupBy(key, *HOUR).agg(*sums).filter("total_stops != 0")
-    return renewed
+    rows = planned.rows.sparkSession.read.schema(planned.rows.schema).parquet(staged)
+    if planned.stored:
+        rows = rows.filter(~in_hours(planned.stored))
+    changes = rows.select(*needed, F.lit(1).alias("weight"))
+    for changed, weight in ((planned.regained, 1), (planned.lost, -1)):
+        if changed is not None:
+            changes = changes.unionByName(changed.select(*needed, F.lit(weight).alias("weight")))
+    return weighed_counts(changes, "weight")
+
+
+def renewed_counts(difference: DataFrame, name: str, path: str, hours: Sequence[tuple[int, ...]]) -> DataFrame:
+    """One table's counts of the touched hours: the stored ones and their change. A count that has come to zero is left out."""
+    rows, found = _of_table(difference, name), hours_among(difference.sparkSession, path, hours)
+    both = rows if found is None else rows.unionByName(found[0].select(rows.columns))
+    sums = [F.sum(column).alias(column) for column in ("total_stops", "on_time_stops")]
+    return both.groupBy(COUNTS[name], *HOUR).agg(*sums).filter("total_stops != 0")
 
 
 def refresh_tables(
@@ -194,7 +203,13 @@ def refresh_tables(
         planned = plan_upsert(spark, silver, deduped_path, spec, keep=True)
         together = planned.mark is not None  # a table without rows is loaded anew
         if together and planned.hours:
-            replace_together({deduped_path: planned.rows, **changed_counts(planned, target_path)}, marker)
+            stage_jointly(planned.rows, deduped_path)
+            difference = changed_counts(planned, joint_path(deduped_path)).persist()
+            for name in COUNTS:
+                path = f"{target_path}/{name}"
+                stage_jointly(renewed_counts(difference, name, path, planned.hours), path)
+            difference.unpersist()
+            publish_together(spark, paths, marker)
         planned.done()
     if not together:
         upsert_latest(spark, silver, deduped_path, spec, table_format)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from headway.functions import EVENT_PARTITIONS
+from headway.session import SHUFFLES_GO, set_for_now
 from headway.sinks.versions import Versions
 from headway.storage import child_names, delete, exists, files_below, rename
 
@@ -21,7 +22,8 @@ def gather_hours(df: DataFrame) -> DataFrame:
 
 def append_silver(df: DataFrame, path: str, table_format: str = "parquet") -> None:
     """Batch append by event hour."""
-    gather_hours(df).write.mode("append").format(table_format).partitionBy(*EVENT_PARTITIONS).save(path)
+    with set_for_now(df.sparkSession, SHUFFLES_GO):
+        gather_hours(df).write.mode("append").format(table_format).partitionBy(*EVENT_PARTITIONS).save(path)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, writer_id: str, table_format: str = "parquet") -> None:
@@ -52,7 +54,8 @@ def replace_mart(df: DataFrame, path: str, table_format: str = "parquet") -> Non
     if table_format == "parquet":
         Versions(df.sparkSession, path).add(df)
     else:
-        df.write.mode("overwrite").format(table_format).save(path)
+        with set_for_now(df.sparkSession, SHUFFLES_GO):
+            df.write.mode("overwrite").format(table_format).save(path)
 
 
 def read_mart(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:

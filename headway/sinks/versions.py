@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from headway.session import SHUFFLES_GO, set_for_now
 from headway.storage import child_names, delete, exists, modified_at
 
 RETAIN_SECONDS = 3600
@@ -43,7 +44,8 @@ class Versions:
         numbers = self._numbers()
         last = self._newest_finished(numbers)
         version = 0 if last is None else last + 1
-        df.write.mode("overwrite").parquet(self._folder(version))
+        with set_for_now(df.sparkSession, SHUFFLES_GO):
+            df.write.mode("overwrite").parquet(self._folder(version))
         self._forget([*(n for n in numbers if n < version), version])
 
     def _forget(self, finished: list[int]) -> None:
